@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from folio.plans import term_queries, text_queries  # noqa: F401
+from folio.plans import corpus_queries, score_queries, term_queries, text_queries  # noqa: F401
 from folio.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
