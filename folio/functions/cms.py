@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folio.functions.html import first_heading, long_text_body, time_attribute
+from folio.functions.arrays import let
 from folio.functions.text import first_non_blank, strip_html_tags, trim_spaces
 from folio.functions.urls import build_url
 from folio.schemas import CMS_ARTICLE
@@ -24,13 +24,15 @@ def embedded_json(html: Column) -> Column:
     The capture ends at the first ``};``, so such a pair inside a string spoils the
     object and the page is parsed as plain markup.
     """
-    text = F.nullif(F.regexp_extract(html, EMBEDDED_PATTERN, 1), F.lit(""))
-    return F.when(F.try_parse_json(text).isNotNull(), text)
+    return let(
+        F.regexp_extract(html, EMBEDDED_PATTERN, 1),
+        lambda text: F.when((text != "") & F.try_parse_json(text).isNotNull(), text),
+    )
 
 
 def extract_embedded_json(html: Column) -> Column:
     """The embedded article as a struct; null when absent or not valid JSON."""
-    return parse_json(embedded_json(html))
+    return let(embedded_json(html), parse_json)
 
 
 def parse_json(text: Column) -> Column:
@@ -112,31 +114,15 @@ def parse_cms_article(
     )
 
 
-def html_fallback_parse(html: Column, category: Column) -> Column:
+def html_fallback_article(title: Column, body: Column, stamp: Column, category: Column) -> Column:
     """Article struct of a page without usable embedded JSON."""
     blank = F.lit("")
     return F.struct(
-        first_heading(html).alias("title"),
+        title.alias("title"),
         blank.alias("subtitle"),
-        long_text_body(html).alias("body"),
-        parse_iso_utc(time_attribute(html)).alias("date"),
+        body.alias("body"),
+        parse_iso_utc(stamp).alias("date"),
         blank.alias("url"),
         blank.alias("author"),
         category.alias("category"),
     )
-
-
-def parse_with_fallback(html: Column, category: Column, *, site: str = SITE) -> Column:
-    """Article struct plus ``method``: embedded JSON if usable, else the page's own text.
-
-    A valid object with a short body does not fall back; an empty one does.
-    """
-    text = embedded_json(html)
-    article = parse_json(text)
-    embedded = parse_cms_article(article, category, site=site)
-    fallback = html_fallback_parse(html, category)
-    usable = text.isNotNull() & ~text.rlike(r"^\{\s*\}$")
-    fields = ("title", "subtitle", "body", "date", "url", "author", "category")
-    chosen = F.when(usable, embedded).otherwise(fallback)
-    method = F.when(usable, F.lit(METHOD_EMBEDDED)).otherwise(F.lit(METHOD_MARKUP))
-    return F.struct(*[chosen[name].alias(name) for name in fields], method.alias("method"))

@@ -9,7 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.functions.arrays import let
 from folio.functions.text import trim_spaces
 
 # Parts of a page that are not text.
@@ -60,15 +59,23 @@ def decode_entities(text: Column) -> Column:
     return F.coalesce(_unescape(F.when(text.rlike(_OTHER_ENTITY), text)), named)
 
 
-def text_nodes(html: Column) -> Column:
-    """The stripped, non-empty text nodes in page order."""
-    visible = F.regexp_replace(html, _INVISIBLE, _BREAK)
-    marked = decode_entities(F.regexp_replace(visible, "<[^>]*>", _BREAK))
+def mark_tags(html: Column) -> Column:
+    """Markup with every tag and every invisible part replaced by a break character."""
+    return F.regexp_replace(F.regexp_replace(html, _INVISIBLE, _BREAK), "<[^>]*>", _BREAK)
+
+
+def split_marked(decoded: Column) -> Column:
+    """The stripped, non-empty pieces between break characters."""
     return F.filter(
-        F.transform(F.split(marked, _BREAK), trim_spaces), lambda piece: piece != ""
+        F.transform(F.split(decoded, _BREAK), trim_spaces), lambda piece: piece != ""
     )
 
 
+def text_nodes(html: Column) -> Column:
+    """The stripped, non-empty text nodes in page order."""
+    return split_marked(decode_entities(mark_tags(html)))
+
+
 def html_to_text(html: Column) -> Column:
     """Markup to text: nodes joined by one blank; null stays null."""
     return F.when(html.isNotNull(), F.array_join(text_nodes(html), " "))
@@ -86,13 +93,10 @@ def time_attribute(html: Column) -> Column:
     return F.regexp_extract(tag, r"""(?is)\bdatetime\s*=\s*["']([^"']*)["']""", 1)
 
 
-def long_text_body(html: Column, min_chars: int = 60, max_nodes: int = 50) -> Column:
+def long_nodes(nodes: Column, min_chars: int = 60, max_nodes: int = 50) -> Column:
     """The first ``max_nodes`` text nodes longer than ``min_chars``, joined by blanks."""
-    return let(
-        text_nodes(html),
-        lambda nodes: F.array_join(
-            F.slice(F.filter(nodes, lambda n: F.length(n) > min_chars), 1, max_nodes), " "
-        ),
+    return F.array_join(
+        F.slice(F.filter(nodes, lambda n: F.length(n) > min_chars), 1, max_nodes), " "
     )
 
 

@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from folio.plans import corpus_queries, score_queries, term_queries, text_queries  # noqa: F401
+from folio.plans import (  # noqa: F401
+    corpus_queries,
+    score_queries,
+    source_queries,
+    term_queries,
+    text_queries,
+)
 from folio.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

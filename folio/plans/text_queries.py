@@ -7,12 +7,10 @@ from folio.functions import text as tx
 from folio.functions.html import (
     extract_between_markers,
     extract_links,
-    first_heading,
-    html_to_text,
-    long_text_body,
 )
 from folio.functions.stopwords import STOPWORDS_ES
 from folio.functions.urls import is_article_url, map_section, resolve_url, url_slug
+from folio.operators.extract import html_fallback_parse, with_text_nodes
 from folio.operators.stemming import stem_vocabulary
 from folio.plans.inputs import (
     ARTICLES_SQL,
@@ -143,7 +141,8 @@ def _nodes_sql(html: str) -> str:
 
 @query("html_to_text", f"SELECT page_id, array_to_string({_nodes_sql('html')}, ' ') AS value FROM pages")
 def html_to_text_query(spark, sf):
-    return pages(spark, sf).select("page_id", html_to_text(F.col("html")).alias("value"))
+    rows = with_text_nodes(pages(spark, sf).select("page_id", "html"))
+    return rows.select("page_id", F.array_join("nodes", " ").alias("value"))
 
 
 _H1_SQL = "regexp_extract(html, '<h1\\b[^>]*>(.*?)</h1\\s*>', 1, 'is')"
@@ -155,11 +154,9 @@ _H1_SQL = "regexp_extract(html, '<h1\\b[^>]*>(.*?)</h1\\s*>', 1, 'is')"
        array_to_string(list_slice(list_filter({_nodes_sql('html')}, lambda x: length(x) > 60), 1, 50), ' ') AS body
 FROM pages""",
 )
-def html_fallback_parse(spark, sf):
-    html = F.col("html")
-    return pages(spark, sf).select(
-        "page_id", first_heading(html).alias("title"), long_text_body(html).alias("body")
-    )
+def fallback_parse(spark, sf):
+    rows = pages(spark, sf).select("page_id", "html", F.lit("noticias").alias("category"))
+    return html_fallback_parse(rows).select("page_id", "article.title", "article.body")
 
 
 @query(
