@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.config import META_C, STACKING_FOLDS
@@ -72,17 +74,23 @@ class VotingModel:
         return soft_voting(reduce(DataFrame.unionByName, parts), self.classes)
 
 
+def fit_together(spark: SparkSession, fits: Sequence[Callable], parallelism: int = 4) -> list:
+    """Run independent fits at the same time: each leaves the cluster idle between iterations."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(lambda fit: inheritable_thread_target(spark)(fit)(), fits))
+
+
 def fit_voting(train: DataFrame, classes: Sequence[str]) -> VotingModel:
     """The TF-IDF and the bag-of-words logistic regressions."""
-    members = tuple(fit_text_model(spec, train, classes) for spec in (TFIDF_LR, BOW_LR))
-    return VotingModel(members, tuple(classes))
+    fits = [lambda s=spec: fit_text_model(s, train, classes) for spec in (TFIDF_LR, BOW_LR)]
+    return VotingModel(tuple(fit_together(train.sparkSession, fits)), tuple(classes))
 
 
-def _fit_bases(train: DataFrame, classes: Sequence[str]) -> list:
+def _base_fits(train: DataFrame, classes: Sequence[str]) -> list[Callable]:
     return [
-        fit_text_model(TFIDF_LR, train, classes),
-        fit_text_model(BOW_LR, train, classes),
-        fit_naive_bayes(train, classes),
+        lambda: fit_text_model(TFIDF_LR, train, classes),
+        lambda: fit_text_model(BOW_LR, train, classes),
+        lambda: fit_naive_bayes(train, classes),
     ]
 
 
@@ -119,11 +127,15 @@ def fit_stacking(
     bases are then refitted on all rows. ``train`` has ``id, label, text``.
     """
     folded = stage(stratified_kfold(train, k).select("id", "label", "text", "fold"), "stacking-folds")
+    trains = [folded.filter(F.col("fold") != fold).drop("fold") for fold in range(k)]
+    fits = [fit for train_rows in [*trains, folded.drop("fold")] for fit in _base_fits(train_rows, classes)]
+    fitted = fit_together(train.sparkSession, fits)
+    size = len(fitted) // (k + 1)
+    groups = [fitted[i : i + size] for i in range(0, len(fitted), size)]
     held_out = []
     for fold in range(k):
-        bases = _fit_bases(folded.filter(F.col("fold") != fold).drop("fold"), classes)
         rows = folded.filter(F.col("fold") == fold).select("id", "label", "text")
-        held_out.append(_meta_features(bases, rows).select("id", "label", "features"))
+        held_out.append(_meta_features(groups[fold], rows).select("id", "label", "features"))
     meta_rows = stage(
         reduce(DataFrame.unionByName, held_out).withColumn(
             "label_idx", label_position(F.col("label"), classes)
@@ -131,5 +143,4 @@ def fit_stacking(
         "stacking-meta",
     )
     meta = logistic_regression(meta_rows.count(), c, max_iter=500).fit(meta_rows)
-    final = _fit_bases(folded.drop("fold"), classes)
-    return StackingModel(tuple(final), FittedModel("ensemble_stacking", tuple(classes), meta))
+    return StackingModel(tuple(groups[k]), FittedModel("ensemble_stacking", tuple(classes), meta))

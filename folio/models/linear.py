@@ -8,16 +8,20 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.config import LR_C, SVC_C
 from folio.models.vectorize import TextVectorizer
 from folio.operators.encode import class_list
 from folio.session import stage
 
+ROWS_PER_PARTITION = 2000
 
-def logistic_regression(n_rows: int, c: float = LR_C, max_iter: int = 1000, tol: float = 1e-5) -> LogisticRegression:
+
+def logistic_regression(n_rows: int, c: float = LR_C, max_iter: int = 1000, tol: float = 1e-4) -> LogisticRegression:
     """Multinomial logistic regression with an L2 penalty of strength 1/C."""
     return LogisticRegression(
         family="multinomial", regParam=1.0 / (c * n_rows), elasticNetParam=0.0, standardization=False,
@@ -45,6 +49,12 @@ def label_position(label: Column, classes: Sequence[str]) -> Column:
     return (F.array_position(F.lit(list(classes)), label) - 1).cast("double")
 
 
+def few_partitions(df: DataFrame, n_rows: int) -> DataFrame:
+    """Merge partitions of a small table: every optimiser iteration runs a task on each."""
+    wanted = max(1, n_rows // ROWS_PER_PARTITION)
+    return df.coalesce(wanted) if wanted < df.sparkSession.sparkContext.defaultParallelism else df
+
+
 @dataclass(frozen=True)
 class TextModelSpec:
     """A text classifier: vectoriser settings and learner ("lr" or "svc")."""
@@ -103,7 +113,8 @@ def fit_text_model(spec: TextModelSpec, train: DataFrame, classes: Sequence[str]
         vectorizer.transform(labelled.select("text", "label_idx")).select("features", "label_idx"),
         f"features-{spec.name}",
     )
-    classifier = spec.classifier(features.count()).fit(features)
+    n_rows = features.count()
+    classifier = spec.classifier(n_rows).fit(few_partitions(features, n_rows))
     return FittedModel(spec.name, classes, PipelineModel([*vectorizer.stages, classifier]))
 
 
@@ -126,7 +137,8 @@ def embedding_classifier(
     """Logistic regression on dense vectors; ``predict`` wants ``features`` too."""
     classes = tuple(classes or class_list(train))
     rows = dense_features(train, vector).withColumn("label_idx", label_position(F.col("label"), classes))
-    model = logistic_regression(rows.count(), c).fit(rows)
+    n_rows = rows.count()
+    model = logistic_regression(n_rows, c).fit(few_partitions(rows, n_rows))
     return FittedModel("emb_lr", classes, model)
 
 
@@ -136,9 +148,6 @@ def sparse_rows(postings: DataFrame, columns: DataFrame, size: int) -> DataFrame
     ``columns`` is small (selected features) and is broadcast; a document collects at
     most ``size`` entries. Staged, because optimisers read it many times.
     """
-    from pyspark.ml.linalg import VectorUDT
-    from pyspark.sql import types as T
-
     joined = postings.join(F.broadcast(columns.select("term", "term_idx")), "term")
     entries = joined.groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("term_idx", "n"))).alias("entries")

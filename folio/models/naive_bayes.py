@@ -59,19 +59,22 @@ def log_prior(docs: DataFrame) -> DataFrame:
 
 def log_theta(vocabulary: DataFrame, classes: Sequence[str], alpha: float = NB_ALPHA) -> DataFrame:
     """``term, w``: smoothed log probabilities per class over the kept vocabulary."""
+    k = range(len(classes))
     totals = vocabulary.agg(
         F.struct(
             F.count(F.lit(1)).alias("size"),
-            F.array(*[F.sum(F.get("counts", F.lit(i))) for i in range(len(classes))]).alias("sums"),
+            F.array(*[F.sum(F.get("counts", F.lit(i))) for i in k]).alias("sums"),
         ).alias("t")
     ).scalar()
-    return vocabulary.select(
-        "term",
-        F.transform(
-            "counts",
-            lambda n, i: F.log((n + F.lit(alpha)) / (F.get(totals["sums"], i) + F.lit(alpha) * totals["size"])),
-        ).alias("w"),
-    )
+    smooth = F.lit(alpha)
+    weights = [
+        F.log(
+            (F.get("counts", F.lit(i)) + smooth)
+            / (F.get(totals["sums"], F.lit(i)) + smooth * totals["size"])
+        )
+        for i in k
+    ]
+    return vocabulary.select("term", F.array(*weights).alias("w"))
 
 
 def naive_bayes_fit(
