@@ -7,6 +7,7 @@ prior is not smoothed (MLlib's is).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -157,48 +158,39 @@ def naive_bayes_cross_predict(
     vocabulary limits are applied per fold to those differences, so nothing leaks from
     a test fold. ``postings`` and ``docs`` carry ``label`` and ``fold``.
     """
-    folds = range(k)
-    in_fold = {f: F.col("fold") == f for f in folds}
-    stats = postings.groupBy("term").agg(
-        F.array(*[F.count_if(in_fold[f]) for f in folds]).alias("dfs"),
-        F.array(
-            *[
-                F.array(
-                    *[
-                        F.sum(F.when(in_fold[f] & (F.col("label") == c), F.col("n")).otherwise(0))
-                        for c in classes
-                    ]
-                )
-                for f in folds
-            ]
-        ).alias("cells"),
+    folds, indices = range(k), range(len(classes))
+    numbered = postings.select(
+        "term", "n", "fold", (F.array_position(F.lit(list(classes)), F.col("label")) - 1).alias("c")
+    )
+    cell = ", ".join(
+        "array(" + ", ".join(f"sum(if(fold = {f} AND c = {i}, n, 0))" for i in indices) + ")" for f in folds
+    )
+    stats = stage(
+        numbered.groupBy("term").agg(
+            F.count(F.lit(1)).alias("df"),
+            F.expr("array(" + ", ".join(f"count_if(fold = {f})" for f in folds) + ")").alias("dfs"),
+            F.expr("array(" + ", ".join(f"sum(if(c = {i}, n, 0))" for i in indices) + ")").alias("counts"),
+            F.expr(f"array({cell})").alias("cells"),
+        ),
+        "nb-fold-stats",
     )
-    stats = stage(stats, "nb-fold-stats")
     sizes = docs.groupBy("fold").agg(
         _class_array(classes, lambda c: F.count_if(F.col("label") == c)).alias("docs")
     )
     sizes = {row["fold"]: row["docs"] for row in sizes.collect()}  # k rows
     weights, priors = [], []
     for f in folds:
-        train_docs = [
-            sum(sizes[g][i] for g in sizes if g != f) for i in range(len(classes))
-        ]
-        counts = F.array(
-            *[
-                sum((F.get(F.get("cells", F.lit(g)), F.lit(i)) for g in folds if g != f), F.lit(0))
-                for i in range(len(classes))
-            ]
-        )
+        train_docs = [sum(sizes[g][i] for g in sizes if g != f) for i in indices]
         train = stats.select(
             "term",
-            (_sum_array(F.col("dfs")) - F.get("dfs", F.lit(f))).alias("df"),
-            counts.alias("counts"),
+            (F.col("df") - F.get("dfs", F.lit(f))).alias("df"),
+            F.zip_with("counts", F.get("cells", F.lit(f)), lambda total, held: total - held).alias("counts"),
         ).withColumn("total", _sum_array(F.col("counts")))
         kept = top_vocabulary(
             prune_by_df(train, F.lit(sum(train_docs)), min_df, max_df), max_features
         )
         weights.append(kept.withColumn("fold", F.lit(f)))
-        priors.append((f, [float(n) for n in train_docs]))
+        priors.append((f, [math.log(n / sum(train_docs)) if n else -math.inf for n in train_docs]))
     vocabulary = stage(_union(weights), "nb-fold-vocabulary")
     theta = _union(
         [
@@ -206,16 +198,7 @@ def naive_bayes_cross_predict(
             for f in folds
         ]
     )
-    prior_rows = F.create_map(
-        *[
-            part
-            for f, counts in priors
-            for part in (
-                F.lit(f),
-                F.array(*[F.log(F.lit(n) / F.lit(sum(counts))) for n in counts]),
-            )
-        ]
-    )
+    prior_rows = F.create_map(*[F.lit(part) for pair in priors for part in pair])
     scored = joint_log_likelihood(
         postings.select("id", "fold", "term", "n"),
         docs,

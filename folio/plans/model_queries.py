@@ -126,7 +126,7 @@ predictions AS MATERIALIZED (
 
 
 def nb_out_of_fold(spark, sf):
-    folds = stratified_kfold(labels(spark, sf)).select("id", "label", "fold")
+    folds = stage(stratified_kfold(labels(spark, sf)).select("id", "label", "fold"), "cv-folds")
     rows = stage(postings(spark, sf).join(folds.select("id", "fold"), "id"), "cv-postings")
     return naive_bayes_cross_predict(rows, folds, CLASSES, 5)
 
