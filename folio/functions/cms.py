@@ -54,7 +54,9 @@ def parse_iso_utc(text: Column) -> Column:
         .when(text.rlike(_ISO_NAIVE), F.concat(text, F.lit("Z")))
         .when(text.rlike(_ISO_DATE), F.concat(text, F.lit("T00:00:00Z")))
     )
-    return micros_to_ntz(F.unix_micros(F.try_to_timestamp(zoned)))
+    # Spark wants seconds before an offset
+    whole = F.regexp_replace(zoned, r"([T ]\d{2}:\d{2})(?=[Z+-])", "$1:00")
+    return micros_to_ntz(F.unix_micros(F.try_to_timestamp(whole)))
 
 
 def micros_to_ntz(micros: Column) -> Column:
