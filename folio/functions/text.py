@@ -60,13 +60,25 @@ def _accent_table() -> tuple[str, str, str]:
     return "".join(source), "".join(target), "".join(same)
 
 
+def _ranges(chars: str) -> str:
+    """Character class body of the characters, runs merged to ranges."""
+    codes = sorted(map(ord, chars))
+    starts = [c for c in codes if c - 1 not in set(codes)]
+    ends = [c for c in codes if c + 1 not in set(codes)]
+    return "".join(f"\\u{a:04X}-\\u{b:04X}" for a, b in zip(starts, ends))
+
+
 _ACCENTED, _PLAIN, _UNACCENTED = _accent_table()
 # ASCII, the letters of the table, and dashes, quotes, bullets that NFKD keeps
 _NFKD_SIMPLE = (
     r"\x00-\x7F\u2010\u2012-\u2016\u2018-\u201F\u2020-\u2023\u2030-\u2032\u20AC"
-    + "".join(f"\\u{ord(c):04X}" for c in _ACCENTED + _UNACCENTED)
+    + _ranges(_ACCENTED + _UNACCENTED)
 )
 
+# One-range tests that clear most texts before the exact classes are tried.
+_BEYOND_LATIN = r"[\u0300-\x{10FFFF}]"
+_BEYOND_LATIN1 = r"[\xBC-\xBE\u0100-\x{10FFFF}]"
+
 
 @F.pandas_udf(T.StringType())
 def _nfc(texts: pd.Series) -> pd.Series:
@@ -93,7 +105,8 @@ def strip_html_tags(text: Column) -> Column:
 
 
 def normalize_nfc(text: Column) -> Column:
-    return F.coalesce(_nfc(F.when(text.rlike(f"[^{NFC_STABLE}]"), text)), text)
+    unstable = text.rlike(_BEYOND_LATIN) & text.rlike(f"[^{NFC_STABLE}]")
+    return F.coalesce(_nfc(F.when(unstable, text)), text)
 
 
 def lowercase(text: Column) -> Column:
@@ -102,7 +115,7 @@ def lowercase(text: Column) -> Column:
 
 def remove_accents(text: Column) -> Column:
     """Compatibility decomposition without combining marks (ñ becomes n)."""
-    special = F.when(text.rlike(f"[^{_NFKD_SIMPLE}]"), text)
+    special = F.when(text.rlike(_BEYOND_LATIN1) & text.rlike(f"[^{_NFKD_SIMPLE}]"), text)
     return F.coalesce(_nfkd_plain(special), F.translate(text, _ACCENTED, _PLAIN))
 
 
