@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folio.functions.stopwords import STOPWORDS_ES
 from folio.functions.text import clean_tokens, vectorizer_terms
 from folio.operators.terms import term_counts
+from folio.session import stage
 from folio.sources.tables import read_table
 
 CLASSES = ("de", "en", "es", "fr")
@@ -64,6 +65,11 @@ def postings(spark: SparkSession, sf: str, ngram_range=(1, 1)) -> DataFrame:
     return term_counts(docs, clean_terms(), ("id", "label"), ngram_range=ngram_range)
 
 
+def staged_postings(spark: SparkSession, sf: str, ngram_range=(1, 1)) -> DataFrame:
+    """Postings written once, for queries that pass over them again: cleaning costs more than storing."""
+    return stage(postings(spark, sf, ngram_range), "postings")
+
+
 def labels(spark: SparkSession, sf: str) -> DataFrame:
     """``id, label`` per document."""
     return spark.read.parquet(f"{sf}/documents.parquet").select(

@@ -28,6 +28,7 @@ from folio.plans.inputs import (
     documents,
     labels,
     postings,
+    staged_postings,
 )
 from folio.plans.registry import query
 from folio.plans.score_queries import (
@@ -52,7 +53,7 @@ priors AS (SELECT lang AS label, ln(count(*)::DOUBLE / (SELECT count(*) FROM doc
 
 
 def _nb(spark, sf):
-    rows = postings(spark, sf)
+    rows = staged_postings(spark, sf)
     return rows, naive_bayes_fit(rows, labels(spark, sf), CLASSES)
 
 
@@ -304,7 +305,7 @@ def vectorizer_pipeline(spark, sf):
 def _selected(spark, sf):
     """Folded labels and sparse rows of the 150 terms chosen on the training folds."""
     folds = stage(stratified_kfold(labels(spark, sf)).select("id", "label", "fold"), "folds")
-    rows = postings(spark, sf).join(folds.select("id", "fold"), "id")
+    rows = stage(postings(spark, sf).join(folds.select("id", "fold"), "id"), "fold-postings")
     best = terms.select_k_best(rows.filter("fold <> 0"), folds.filter("fold <> 0"))
     columns = terms.vocabulary_index(best)
     return folds, linear.sparse_rows(rows, columns, K_BEST)

@@ -17,6 +17,7 @@ from folio.plans.inputs import (
     labels,
     pages,
     postings,
+    staged_postings,
 )
 from folio.plans.registry import query
 from folio.plans.score_queries import CV_SUMMARY_SQL, predictions
@@ -292,9 +293,10 @@ WORD_VECTORS_SQL = f"""word_vectors AS (
   FROM vocabulary, (SELECT unnest(range({WORD_DIM})) AS i))"""
 
 
-def word_vectors(spark, sf):
+def word_vectors(spark, sf, rows=None):
     """``word, vec``: eight hash digits per vocabulary term."""
-    vocabulary = terms.fit_vocabulary(postings(spark, sf), terms.count_rows(labels(spark, sf)))
+    rows = postings(spark, sf) if rows is None else rows
+    vocabulary = terms.fit_vocabulary(rows, terms.count_rows(labels(spark, sf)))
 
     def value(i):
         digest = F.md5(F.concat("term", F.lit(f":{i}")))
@@ -335,7 +337,7 @@ SELECT id, label, term_idx, n FROM postings JOIN idx USING (term)""",
 def term_matrix(spark, sf):
     """Three tables written for a later job and joined again from what was stored."""
     path = scratch_path(spark, "matrix")
-    rows = postings(spark, sf)
+    rows = staged_postings(spark, sf)
     vocabulary = terms.fit_vocabulary(rows, terms.count_rows(labels(spark, sf)))
     artifacts.write_term_matrix(
         rows.select("id", "term", "n"),

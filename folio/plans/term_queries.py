@@ -17,8 +17,10 @@ from folio.plans.inputs import (
     documents,
     labels,
     postings,
+    staged_postings,
 )
 from folio.plans.registry import query
+from folio.session import stage
 
 
 @query("term_counts", f"WITH {POSTINGS_SQL} SELECT id, term, n FROM postings")
@@ -73,7 +75,7 @@ def smooth_idf(spark, sf):
 
 @query("tfidf", f"WITH {TFIDF_SQL} SELECT id, term, round(tfidf, 6) AS tfidf FROM tfidf")
 def tfidf(spark, sf):
-    done = terms.tfidf(postings(spark, sf), terms.count_rows(labels(spark, sf)))
+    done = terms.tfidf(staged_postings(spark, sf), terms.count_rows(labels(spark, sf)))
     return done.select("id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -88,7 +90,7 @@ WHERE rank <= 10""",
 )
 def top_tfidf_terms(spark, sf):
     """The ten terms of largest total TF-IDF weight in every language."""
-    done = terms.tfidf(postings(spark, sf), terms.count_rows(labels(spark, sf)))
+    done = terms.tfidf(staged_postings(spark, sf), terms.count_rows(labels(spark, sf)))
     sums = done.groupBy("label", "term").agg(F.round(F.sum("tfidf"), 5).alias("weight"))
     top = terms.top_features_per_class(sums, 10)
     return top.select("label", "term", "weight", F.col("rank").cast("bigint"))
@@ -113,7 +115,7 @@ vocabulary AS MATERIALIZED (
 def _split(spark, sf):
     """Postings with their document's fold."""
     folds = stratified_kfold(labels(spark, sf)).select("id", "fold")
-    return postings(spark, sf).join(folds, "id")
+    return stage(postings(spark, sf).join(folds, "id"), "fold-postings")
 
 
 @query(
@@ -152,7 +154,7 @@ WHERE rank <= 20""",
 )
 def top_features(spark, sf):
     """Terms of largest mean TF-IDF weight per class."""
-    done = terms.tfidf(postings(spark, sf), terms.count_rows(labels(spark, sf)))
+    done = terms.tfidf(staged_postings(spark, sf), terms.count_rows(labels(spark, sf)))
     sizes = labels(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
     weights = (
         done.groupBy("label", "term")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from folio.operators import vectors
-from folio.plans.inputs import POSTINGS_SQL, VOCABULARY_SQL, articles, labels, postings
+from folio.plans.inputs import POSTINGS_SQL, VOCABULARY_SQL, articles, labels, staged_postings
 from folio.plans.registry import query
 from folio.plans.source_queries import WORD_DIM, WORD_VECTORS_SQL, word_vectors
 from folio.functions.text import embed_text
@@ -25,9 +25,10 @@ FROM documents CROSS JOIN (SELECT unnest(range({WORD_DIM})) AS i) d
 LEFT JOIN means m ON m.id = doc_id AND m.i = d.i""",
 )
 def mean_word_vector(spark, sf):
+    rows = staged_postings(spark, sf)
     # the word table is cut from a vocabulary of at most 50,000 terms
     done = vectors.mean_word_vector(
-        labels(spark, sf).select("id"), postings(spark, sf), word_vectors(spark, sf), WORD_DIM, n_words=50_000
+        labels(spark, sf).select("id"), rows, word_vectors(spark, sf, rows), WORD_DIM, n_words=50_000
     )
     return by_dimension(done, "id")
 
