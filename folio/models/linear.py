@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,3 +165,33 @@ def sparse_rows(postings: DataFrame, columns: DataFrame, size: int) -> DataFrame
     )
     # the written struct is the storage form of a vector, so it is read back as one
     return stage(entries.select("id", vector.alias("features")), "sparse-rows", schema)
+
+
+def coefficient_weights(spark: SparkSession, model: FittedModel) -> DataFrame:
+    """``label, term, weight`` of a fitted linear text pipeline, for ``top_features_per_class``.
+
+    The coefficients already are on the driver: classes x vocabulary cap numbers.
+    """
+    terms = next(s.vocabulary for s in model.pipeline.stages if isinstance(s, CountVectorizerModel))
+    fitted = model.pipeline.stages[-1]
+    if isinstance(fitted, OneVsRestModel):
+        rows = [m.coefficients.toArray() for m in fitted.models]
+    else:
+        rows = list(fitted.coefficientMatrix.toArray())
+    frame = pd.concat(
+        [pd.DataFrame({"label": c, "term": terms, "weight": w}) for c, w in zip(model.classes, rows)]
+    )
+    return spark.createDataFrame(frame)
+
+
+def stored_entries(df: DataFrame, key: str = "id", vector: str = "features") -> DataFrame:
+    """``key, term_idx, weight``: a row per stored entry of sparse vectors.
+
+    Written as vectors and read back in their storage form, so nothing turns dense.
+    """
+    storage = T.StructType([df.schema[key], T.StructField(vector, VectorUDT.sqlType())])
+    stored = stage(df.select(key, vector), "entries", storage)
+    pairs = F.arrays_zip(F.col(f"{vector}.indices").alias("i"), F.col(f"{vector}.values").alias("v"))
+    return stored.select(key, F.explode(pairs).alias("e")).select(
+        key, F.col("e.i").alias("term_idx"), F.col("e.v").alias("weight")
+    )

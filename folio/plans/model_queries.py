@@ -1,6 +1,5 @@
 """Classifiers, ensembles, validation runs, prompts and reports."""
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from folio.config import K_BEST, SVC_C
@@ -20,6 +19,7 @@ from folio.operators.splits import stratified_kfold
 from folio.operators.terms import term_counts
 from folio.plans.inputs import (
     ARTICLES_SQL,
+    BIGRAM_POSTINGS_SQL,
     CLASSES,
     POSTINGS_SQL,
     VOCABULARY_SQL,
@@ -294,12 +294,19 @@ def linear_svc(spark, sf):
     return _held_out(labelled_texts(spark, sf), lambda train, test: linear.linear_svc_fit(train).predict(test))
 
 
-@query("vectorizer_pipeline")
+@query(
+    "vectorizer_pipeline",
+    f"""WITH {BIGRAM_POSTINGS_SQL}, {VOCABULARY_SQL},
+columns AS (SELECT *, row_number() OVER (ORDER BY term) - 1 AS term_idx FROM vocabulary),
+weighted AS (SELECT id, term_idx, (1 + ln(n)) * idf AS w FROM postings JOIN columns USING (term)),
+norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY id)
+SELECT id, CAST(term_idx AS INTEGER) AS term_idx, round(w / norm, 6) AS weight FROM weighted JOIN norms USING (id)""",
+)
 def vectorizer_pipeline(spark, sf):
-    """Sparse TF-IDF of raw text by a fitted pipeline, as one row per stored entry."""
-    texts = labelled_texts(spark, sf)
+    """TF-IDF of raw text over one- and two-word terms by a fitted pipeline, entry by entry."""
+    texts = stage(labelled_texts(spark, sf).select("id", "text"), "texts")
     done = linear.TFIDF_LR.vectorizer().fit(texts).transform(texts)
-    return done.select("id", F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("entries"))
+    return linear.stored_entries(done).withColumn("weight", F.round("weight", 6))
 
 
 def _selected(spark, sf):

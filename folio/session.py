@@ -54,3 +54,10 @@ def stage(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataF
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the staged tables of this application, once nothing reads them any more."""
+    root = f"{scratch_root(spark)}/folio/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,10 +9,10 @@ from folio.schemas import ARTICLES
 
 
 def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """Parquet table; with ``key``, rows of a table of few files are spread over the cores.
+    """Parquet table; with ``key``, rows of a small table are spread over the cores.
 
-    A scan is split by row groups, so one small file is one task. A table of at least
-    as many files as the cluster has cores is left as it is: it needs no shuffle.
+    A scan is split by row groups, so one small file is one task. A table whose scan has
+    at least as many partitions as the cluster has cores is left as it is: no shuffle.
     """
     df = spark.read.parquet(path)
     return spread(df, key) if key else df
@@ -20,9 +20,7 @@ def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFr
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def read_articles(spark: SparkSession, path: str, schema: T.StructType = ARTICLES) -> DataFrame:

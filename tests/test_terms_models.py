@@ -153,6 +153,10 @@ def test_linear_models_beat_the_majority(texts, spec):
     rows = model.predict(texts).collect()
     assert len(rows) == 62
     assert sum(r.label == r.p for r in rows) > 55
+    weights = linear.coefficient_weights(texts.sparkSession, model)
+    top = {(r.label, r.term) for r in terms.top_features_per_class(weights, 4).collect()}
+    assert len(top) == 8
+    assert not {t for c, t in top if c == "mar"} & {"monte", "nieve", "lobo"}
 
 
 def test_model_round_trip(spark, texts, tmp_path):
