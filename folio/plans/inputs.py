@@ -77,6 +77,16 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def folded_postings(spark: SparkSession, sf: str, folds: DataFrame) -> DataFrame:
+    """Staged ``id, label, fold, term, n``.
+
+    The fold joins the documents, not their far more numerous postings.
+    """
+    docs = documents(spark, sf).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), "text")
+    folded = docs.join(folds.select("id", "fold"), "id")
+    return stage(term_counts(folded, clean_terms(), ("id", "label", "fold")), "fold-postings")
+
+
 STOPWORD_SQL = ", ".join("'" + word + "'" for word in STOPWORDS_ES)
 CLEAN_SQL = (
     "regexp_replace(lower(regexp_replace(text, '<[^>]+>', ' ', 'g')), "

@@ -26,8 +26,8 @@ from folio.plans.inputs import (
     articles,
     clean_terms,
     documents,
+    folded_postings,
     labels,
-    postings,
     staged_postings,
 )
 from folio.plans.registry import query
@@ -128,8 +128,7 @@ predictions AS MATERIALIZED (
 
 def nb_out_of_fold(spark, sf):
     folds = stage(stratified_kfold(labels(spark, sf)).select("id", "label", "fold"), "cv-folds")
-    rows = stage(postings(spark, sf).join(folds.select("id", "fold"), "id"), "cv-postings")
-    return naive_bayes_cross_predict(rows, folds, CLASSES, 5)
+    return naive_bayes_cross_predict(folded_postings(spark, sf, folds), folds, CLASSES, 5)
 
 
 @query("naive_bayes_cross_predict", f"WITH {NB_CV_SQL} SELECT id, fold, y, p FROM predictions")
@@ -295,14 +294,14 @@ def linear_svc(spark, sf):
 
 
 @query(
-    "vectorizer_pipeline",
+    "vectorizer_model",
     f"""WITH {BIGRAM_POSTINGS_SQL}, {VOCABULARY_SQL},
 columns AS (SELECT *, row_number() OVER (ORDER BY term) - 1 AS term_idx FROM vocabulary),
 weighted AS (SELECT id, term_idx, (1 + ln(n)) * idf AS w FROM postings JOIN columns USING (term)),
 norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY id)
 SELECT id, CAST(term_idx AS INTEGER) AS term_idx, round(w / norm, 6) AS weight FROM weighted JOIN norms USING (id)""",
 )
-def vectorizer_pipeline(spark, sf):
+def vectorizer_model(spark, sf):
     """TF-IDF of raw text over one- and two-word terms by a fitted pipeline, entry by entry."""
     texts = stage(labelled_texts(spark, sf).select("id", "text"), "texts")
     done = linear.TFIDF_LR.vectorizer().fit(texts).transform(texts)
@@ -312,7 +311,7 @@ def vectorizer_pipeline(spark, sf):
 def _selected(spark, sf):
     """Folded labels and sparse rows of the 150 terms chosen on the training folds."""
     folds = stage(stratified_kfold(labels(spark, sf)).select("id", "label", "fold"), "folds")
-    rows = stage(postings(spark, sf).join(folds.select("id", "fold"), "id"), "fold-postings")
+    rows = folded_postings(spark, sf, folds)
     best = terms.select_k_best(rows.filter("fold <> 0"), folds.filter("fold <> 0"))
     columns = terms.vocabulary_index(best)
     return folds, linear.sparse_rows(rows, columns, K_BEST)

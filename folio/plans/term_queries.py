@@ -15,6 +15,7 @@ from folio.plans.inputs import (
     VOCABULARY_SQL,
     clean_terms,
     documents,
+    folded_postings,
     labels,
     postings,
     staged_postings,
@@ -96,16 +97,16 @@ def top_tfidf_terms(spark, sf):
     return top.select("label", "term", "weight", F.col("rank").cast("bigint"))
 
 
-_TRAIN_FOLD = 0
+_HELD_OUT = 0
 FOLDS_SQL = """folds AS MATERIALIZED (
   SELECT doc_id AS id, lang AS label,
          CAST((row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR || ':42')) - 1) % 5 AS INTEGER)
          AS fold
   FROM documents)"""
 TRAIN_VOCABULARY_SQL = f"""{POSTINGS_SQL}, {FOLDS_SQL},
-train_docs AS (SELECT count(*) AS n_docs FROM folds WHERE fold <> {_TRAIN_FOLD}),
+train_docs AS (SELECT count(*) AS n_docs FROM folds WHERE fold <> {_HELD_OUT}),
 train_postings AS MATERIALIZED (
-  SELECT p.* FROM postings p JOIN folds f USING (id) WHERE f.fold <> {_TRAIN_FOLD}),
+  SELECT p.* FROM postings p JOIN folds f USING (id) WHERE f.fold <> {_HELD_OUT}),
 vocabulary AS MATERIALIZED (
   SELECT term, df, total, ln((1.0 + n_docs) / (1.0 + df)) + 1 AS idf
   FROM (SELECT term, count(*) AS df, sum(n) AS total FROM train_postings GROUP BY term), train_docs
@@ -113,9 +114,9 @@ vocabulary AS MATERIALIZED (
 
 
 def _split(spark, sf):
-    """Postings with their document's fold."""
-    folds = stratified_kfold(labels(spark, sf)).select("id", "fold")
-    return stage(postings(spark, sf).join(folds, "id"), "fold-postings")
+    """Documents with their folds, and the postings with them."""
+    folds = stage(stratified_kfold(labels(spark, sf)).select("id", "label", "fold"), "folds")
+    return folds, folded_postings(spark, sf, folds)
 
 
 @query(
@@ -123,18 +124,17 @@ def _split(spark, sf):
     f"""WITH {TRAIN_VOCABULARY_SQL},
 weighted AS (
   SELECT p.id, p.term, (1 + ln(n)) * idf AS w
-  FROM postings p JOIN folds f USING (id) JOIN vocabulary v USING (term) WHERE f.fold = {_TRAIN_FOLD}),
+  FROM postings p JOIN folds f USING (id) JOIN vocabulary v USING (term) WHERE f.fold = {_HELD_OUT}),
 norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM weighted GROUP BY id)
 SELECT id, term, round(w / norm, 6) AS tfidf FROM weighted JOIN norms USING (id)""",
 )
 def transform_unseen(spark, sf):
     """Fold 0 under the vocabulary of the other folds."""
-    split = _split(spark, sf)
-    folds = stratified_kfold(labels(spark, sf))
+    folds, split = _split(spark, sf)
     vocabulary = terms.fit_vocabulary(
-        split.filter(F.col("fold") != _TRAIN_FOLD), terms.count_rows(folds.filter(F.col("fold") != _TRAIN_FOLD))
+        split.filter(F.col("fold") != _HELD_OUT), terms.count_rows(folds.filter(F.col("fold") != _HELD_OUT))
     )
-    done = terms.transform_with_vocabulary(split.filter(F.col("fold") == _TRAIN_FOLD), vocabulary)
+    done = terms.transform_with_vocabulary(split.filter(F.col("fold") == _HELD_OUT), vocabulary)
     return done.select("id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -197,7 +197,7 @@ def rank_features(spark, sf):
 
 # Scores are rounded before ranking, so that equal scores tie in both engines.
 _TRAIN_CHI2_SQL = f"""WITH {POSTINGS_SQL}, {FOLDS_SQL},
-train AS (SELECT * FROM folds WHERE fold <> {_TRAIN_FOLD}),
+train AS (SELECT * FROM folds WHERE fold <> {_HELD_OUT}),
 train_postings AS MATERIALIZED (SELECT p.* FROM postings p JOIN train USING (id)),
 classes AS (SELECT label, count(*)::DOUBLE / (SELECT count(*) FROM train) AS share FROM train GROUP BY label),
 features AS (SELECT term, sum(n) AS total FROM train_postings GROUP BY term),
@@ -215,10 +215,10 @@ def _rounded_chi2(train_postings, train_labels):
 
 
 def _best(spark, sf):
-    split = _split(spark, sf)
-    train = stratified_kfold(labels(spark, sf)).filter(F.col("fold") != _TRAIN_FOLD)
+    folds, split = _split(spark, sf)
+    train = folds.filter(F.col("fold") != _HELD_OUT)
     return split, terms.select_k_best(
-        split.filter(F.col("fold") != _TRAIN_FOLD), train, score=_rounded_chi2
+        split.filter(F.col("fold") != _HELD_OUT), train, score=_rounded_chi2
     )
 
 
