@@ -58,24 +58,32 @@ def log_prior(docs: DataFrame) -> DataFrame:
     return docs.select(F.transform("docs", lambda d: F.log(d / total)).alias("prior"))
 
 
-def log_theta(vocabulary: DataFrame, classes: Sequence[str], alpha: float = NB_ALPHA) -> DataFrame:
-    """``term, w``: smoothed log probabilities per class over the kept vocabulary."""
+def log_theta(
+    vocabulary: DataFrame, classes: Sequence[str], alpha: float = NB_ALPHA, by: Sequence[str] = ()
+) -> DataFrame:
+    """``by, term, w``: smoothed log probabilities per class over the kept vocabulary.
+
+    ``by`` keeps the vocabularies of several runs apart (one row of totals per run).
+    """
     k = range(len(classes))
-    totals = vocabulary.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("size"),
-            F.array(*[F.sum(F.get("counts", F.lit(i))) for i in k]).alias("sums"),
-        ).alias("t")
-    ).scalar()
+    totals = F.struct(
+        F.count(F.lit(1)).alias("size"),
+        F.array(*[F.sum(F.get("counts", F.lit(i))) for i in k]).alias("sums"),
+    ).alias("__t")
+    if by:
+        rows = vocabulary.join(F.broadcast(vocabulary.groupBy(*by).agg(totals)), list(by))
+        total = F.col("__t")
+    else:
+        rows, total = vocabulary, vocabulary.agg(totals).scalar()
     smooth = F.lit(alpha)
     weights = [
         F.log(
             (F.get("counts", F.lit(i)) + smooth)
-            / (F.get(totals["sums"], F.lit(i)) + smooth * totals["size"])
+            / (F.get(total["sums"], F.lit(i)) + smooth * total["size"])
         )
         for i in k
     ]
-    return vocabulary.select("term", F.array(*weights).alias("w"))
+    return rows.select(*by, "term", F.array(*weights).alias("w"))
 
 
 def naive_bayes_fit(
@@ -192,12 +200,7 @@ def naive_bayes_cross_predict(
         weights.append(kept.withColumn("fold", F.lit(f)))
         priors.append((f, [math.log(n / sum(train_docs)) if n else -math.inf for n in train_docs]))
     vocabulary = stage(_union(weights), "nb-fold-vocabulary")
-    theta = _union(
-        [
-            log_theta(vocabulary.filter(F.col("fold") == f), classes, alpha).withColumn("fold", F.lit(f))
-            for f in folds
-        ]
-    )
+    theta = log_theta(vocabulary, classes, alpha, by=("fold",))
     prior_rows = F.create_map(*[F.lit(part) for pair in priors for part in pair])
     scored = joint_log_likelihood(
         postings.select("id", "fold", "term", "n"),
