@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from folio.config import K_BEST, SVC_C
-from folio.evaluation.metrics import class_report, cv_summary, leaderboard, summary_scores
+from folio.evaluation.metrics import cv_summary
 from folio.evaluation.reports import report_lines
-from folio.evaluation.validation import cross_predict, temporal_validation
+from folio.evaluation.validation import temporal_validation
 from folio.functions import prompts
 from folio.models import ensembles, linear
 from folio.models.naive_bayes import (

@@ -227,7 +227,7 @@ def cms_html(spark, sf):
         F.when(doc % 4 == 0, F.lit("track();"))
         .when(doc % 4 == 1, F.lit("Fusion.globalContent = { };"))
         .otherwise(
-            F.concat(F.lit('Fusion.arcSite="x";Fusion.globalContent = '), F.to_json("article"), F.lit(";Fusion.y=1;"))
+            F.concat(F.lit('Fusion.site="x";Fusion.globalContent = '), F.to_json("article"), F.lit(";Fusion.y=1;"))
         )
     )
     html = F.concat(

@@ -11,7 +11,6 @@ from folio.plans.inputs import (
     DF_SQL,
     POSTINGS_SQL,
     TFIDF_SQL,
-    TOKENS_SQL,
     VOCABULARY_SQL,
     clean_terms,
     documents,

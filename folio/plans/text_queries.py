@@ -14,7 +14,6 @@ from folio.operators.extract import html_fallback_parse, with_text_nodes
 from folio.operators.stemming import stem_vocabulary
 from folio.plans.inputs import (
     ARTICLES_SQL,
-    CLEAN_SQL,
     SPLIT_SQL,
     STOPWORD_SQL,
     articles,
