@@ -179,7 +179,7 @@ def mix(
     source_col: str = "source",
     text_col: str = "text",
 ) -> DataFrame:
-    """``id, size, source, source_size, target, copies, taken``: how often the mix takes each row.
+    """``id, size, source, text_hash, source_size, target, copies, taken``: how often the mix takes each row.
 
     Sizes count words; a null text has none. Rows of one source and size have one rate, so all sums run over bins
     (source, size): a hot source is as many bins as any other, and texts are read once. Which rows of a bin get its
@@ -192,10 +192,11 @@ def mix(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             n_words(F.col(text_col)).alias("size"),
-            F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.xxhash64(text_col).cast("string"))).alias("digest"),
+            F.xxhash64(text_col).alias("text_hash"),
         ),
         "mix-rows",
     )
+    digest = F.md5(F.concat_ws(":", F.col("id").cast("string"), F.col("text_hash").cast("string")))
     bins = stage(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-bins")
     sources = bins.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
     wanted = stage(targets(sources, weights, share, max_repeat), "mix-targets")
@@ -204,12 +205,34 @@ def mix(
     plan = plan.alias("a").join(wanted.alias("b"), a.eqNullSafe(b)).select(
         "a.source", "size", "base", "extra", F.col("words").alias("source_size"), "target"
     )
-    ranked = hash_rank(rows, ["source", "size"], F.col("digest"), "place")
+    ranked = hash_rank(rows, ["source", "size"], digest, "place")
     same_bin = a.eqNullSafe(b) & (F.col("a.size") == F.col("b.size"))
     count = F.col("base") + F.when(F.col("place") <= F.col("extra"), 1).otherwise(0)
     return (
         ranked.alias("a")
         .join(plan.alias("b"), same_bin)
-        .select("a.id", "a.size", "a.source", "source_size", "target", count.alias("copies"))
+        .select("a.id", "a.size", "a.source", "text_hash", "source_size", "target", count.alias("copies"))
         .withColumn("taken", F.col("copies") * F.col("size"))
     )
+
+
+def repeat_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with all its columns.
+
+    Counts are found by id, source and text hash. Of rows equal in all three one stands for all, as often as they are
+    taken together.
+    """
+    key = ["id", "source", "text_hash"]
+    mixed = mix(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
+    counts = stage(mixed.groupBy(*key).agg(F.sum("copies").cast("int").alias("copies"), F.count(F.lit(1)).alias("rows")), "mix-counts")
+    named = {c: f"__{c}" for c in (*key, "copies")}
+    keyed = docs.withColumns({named["id"]: F.col(id_col), named["source"]: F.col(source_col), named["text_hash"]: F.xxhash64(text_col)})
+    if not counts.where("rows > 1").isEmpty():
+        keyed = keyed.dropDuplicates([named[c] for c in key])
+    wanted = counts.where("copies > 0").select(*[F.col(c).alias(f"__w_{c}") for c in key], F.col("copies").alias(named["copies"]))
+    same = [F.col(named[c]).eqNullSafe(F.col(f"__w_{c}")) for c in key]
+    return (
+        keyed.join(wanted, same)
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col(named["copies"]))))
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import mixing, quality, secret_scan, sharding, simhash
+from folio.llm import decontamination, html_text, mixing, quality, recurrent_lm, secret_scan, sharding, simhash, token_planes
 from folio.llm.common import table
 
 
@@ -14,6 +14,18 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary file of the token output; operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = token_planes.encode_and_read(table(spark, sf_dir, "documents"), tokenizer_path())
+    return read.withColumnRenamed("id", "doc_id")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -23,6 +35,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("item").alias("item_id"),
+        F.col("start").alias("start_word"),
+        F.col("end").alias("end_word"),
+        "agreement",
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.cascade(table(spark, sf_dir, "documents"), measures=True)
     failed = (F.col("n_words") < quality.MIN_WORDS) | (
@@ -72,6 +95,17 @@ FROM j
 """
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
+def op7_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.assign_shards(table(spark, sf_dir, "documents"))
     return shards.select(
@@ -91,8 +125,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_token_planes": op2_token_planes,
     "op3_simhash": op3_simhash,
+    "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op6_html_text": op6_html_text,
+    "op7_recurrent_lm": op7_recurrent_lm,
     "op8_sharding": op8_sharding,
     "op10_secret_scan": op10_secret_scan,
 }
