@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontamination, html_text, mixing, quality, recurrent_lm, secret_scan, sharding, simhash, token_planes
+from folio.llm import decontamination, html_text, mixing, passages, quality, recurrent_lm, secret_scan, sharding, simhash, token_planes
 from folio.llm.common import table
 
 
@@ -119,6 +119,19 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.shared_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("start").alias("start_word"),
+        F.col("end").alias("end_word"),
+        F.col("other").alias("source_doc_id"),
+        F.col("other_start").alias("source_start"),
+        F.col("other_end").alias("source_end"),
+        "identity",
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -132,6 +145,7 @@ QUERIES = {
     "op6_html_text": op6_html_text,
     "op7_recurrent_lm": op7_recurrent_lm,
     "op8_sharding": op8_sharding,
+    "op9_passages": op9_passages,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLES = {"op5_quality": OP5_SQL}
