@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folio.llm.common import n_words
+from folio.llm.common import fresh, n_words
 from folio.operators.ranking import hash_rank, staged_rank
 from folio.session import stage
 
@@ -225,14 +225,14 @@ def repeat_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     key = ["id", "source", "text_hash"]
     mixed = mix(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
     counts = stage(mixed.groupBy(*key).agg(F.sum("copies").cast("int").alias("copies"), F.count(F.lit(1)).alias("rows")), "mix-counts")
-    named = {c: f"__{c}" for c in (*key, "copies")}
+    named = {c: fresh(docs, f"__{c}") for c in (*key, "copies", "wanted", "copy")}
     keyed = docs.withColumns({named["id"]: F.col(id_col), named["source"]: F.col(source_col), named["text_hash"]: F.xxhash64(text_col)})
     if not counts.where("rows > 1").isEmpty():
         keyed = keyed.dropDuplicates([named[c] for c in key])
-    wanted = counts.where("copies > 0").select(*[F.col(c).alias(f"__w_{c}") for c in key], F.col("copies").alias(named["copies"]))
-    same = [F.col(named[c]).eqNullSafe(F.col(f"__w_{c}")) for c in key]
+    wanted = counts.where("copies > 0").select(F.struct(*key).alias(named["wanted"]), F.col("copies").alias(named["copies"]))
+    same = [F.col(named[c]).eqNullSafe(F.col(named["wanted"])[c]) for c in key]
     return (
         keyed.join(wanted, same)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col(named["copies"]))))
+        .withColumn(named["copy"], F.explode(F.sequence(F.lit(1), F.col(named["copies"]))))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
