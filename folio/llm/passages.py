@@ -26,7 +26,7 @@ _NULL = -(1 << 63)
 
 
 def seed_table(docs: DataFrame, k: int = K, spacing: int = SPACING) -> DataFrame:
-    """``seed, id, at``: the minimisers of every text, each once per text at its first place.
+    """``seed, id, at, first``: the minimisers of every text; ``first`` at a seed's first place in its text.
 
     Two texts that share ``k + spacing - 1`` words in a row share a seed there, whatever surrounds them. A text of at least
     ``k`` words has a seed.
@@ -45,25 +45,25 @@ def seed_table(docs: DataFrame, k: int = K, spacing: int = SPACING) -> DataFrame
                         some = inside[start : start + (1 << 16)]
                         chosen.append(some + windows[some].argmin(1))
                 for t in np.flatnonzero((group.counts >= k) & (group.counts < k + spacing - 1)):
-                    first = group.starts[t]
-                    chosen.append(first + hashes[first : first + group.counts[t] - k + 1].argmin(keepdims=True))
+                    begin = group.starts[t]
+                    chosen.append(begin + hashes[begin : begin + group.counts[t] - k + 1].argmin(keepdims=True))
                 if not chosen:
                     continue
                 place = np.unique(np.concatenate(chosen))
                 order = np.lexsort((place, hashes[place], group.text[place]))
                 place = place[order]
-                fresh = np.r_[True, (hashes[place][1:] != hashes[place][:-1]) | (group.text[place][1:] != group.text[place][:-1])]
-                place = place[fresh]
+                first = np.r_[True, (hashes[place][1:] != hashes[place][:-1]) | (group.text[place][1:] != group.text[place][:-1])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(hashes[place].view(np.int64)),
                         batch.column(0).take(pa.array(group.rows[group.text[place]])),
                         pa.array(group.at[place].astype(np.int32)),
+                        pa.array(first),
                     ],
-                    names=["seed", "id", "at"],
+                    names=["seed", "id", "at", "first"],
                 )
 
-    return docs.mapInArrow(cut, "seed long, id long, at int")
+    return docs.mapInArrow(cut, "seed long, id long, at int, first boolean")
 
 
 class _PrefixMax:
@@ -134,22 +134,30 @@ def _reach(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return (top + 1, int(same[: top + 1].sum())) if score[top] > 0 else (0, 0)
 
 
-def align(ours: np.ndarray, theirs: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = K) -> tuple[int, int, int, int, float]:
-    """``start, end, other start, other end, identity`` of a chain of matches between two word arrays.
+def align(ours: np.ndarray, theirs: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = K) -> list[tuple[int, int, int, int, float]]:
+    """``start, end, other start, other end, identity`` of the passages of a chain of matches between two word arrays.
 
-    Stretches between matches at one distance are compared word by word, others by longest common subsequence; both
-    ends are extended while that gains. Identity is matched words over the longer of the two passages.
+    Stretches between matches at one distance are compared word by word, others by longest common subsequence. Where
+    less than half of a stretch agrees the chain is cut; both ends of a passage are extended while that gains. Identity is
+    matched words over the longer of its two sides.
     """
-    matched = k
+    matched = [0]
+    cuts = [0]
     for i in range(1, len(x)):
         dx, dy = x[i] - x[i - 1], y[i] - y[i - 1]
         a, b = ours[x[i - 1] : x[i]], theirs[y[i - 1] : y[i]]
-        matched += int((a == b).sum()) if dx == dy else _gap_matches(a, b)
-    left, left_same = _reach(ours[: x[0]][::-1], theirs[: y[0]][::-1])
-    right, right_same = _reach(ours[x[-1] + k :], theirs[y[-1] + k :])
-    start, end, other, other_end = x[0] - left, x[-1] + k + right, y[0] - left, y[-1] + k + right
-    identity = (matched + left_same + right_same) / max(end - start, other_end - other)
-    return int(start), int(end), int(other), int(other_end), float(identity)
+        matched.append(int((a == b).sum()) if dx == dy else _gap_matches(a, b))
+        if 2 * (matched[-1] - k) < max(dx, dy) - k and max(dx, dy) > 2 * k:
+            cuts.append(i)
+    found = []
+    for first, after in zip(cuts, [*cuts[1:], len(x)]):
+        last = after - 1
+        left, left_same = _reach(ours[: x[first]][::-1], theirs[: y[first]][::-1])
+        right, right_same = _reach(ours[x[last] + k :], theirs[y[last] + k :])
+        start, end, other, other_end = x[first] - left, x[last] + k + right, y[first] - left, y[last] + k + right
+        same = k + sum(matched[first + 1 : after]) + left_same + right_same
+        found.append((int(start), int(end), int(other), int(other_end), float(same / max(end - start, other_end - other))))
+    return found
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table]:
@@ -266,7 +274,8 @@ def shared_passages(
     )
     seeds = stage(seed_table(rows, k, spacing), "passage-seeds")
     owners = (
-        seeds.groupBy("seed")
+        seeds.where("first")
+        .groupBy("seed")
         .agg(F.min("id").alias("other"), F.min_by("at", "id").alias("y"), F.max("id").alias("last"))
         .where("other < last")
         .drop("last")
@@ -319,9 +328,9 @@ def shared_passages(
                 (fx, ours), (fy, theirs) = sides
                 if len(ours) < x[-1] + k - fx or len(theirs) < y[-1] + k - fy:
                     continue  # of rows that share an id, another text was fetched
-                s, e, t, f, same = align(ours, theirs, x - fx, y - fy, k)
-                if same >= identity:
-                    passages.append((s + fx, e + fx, others[a].as_py(), t + fy, f + fy, same))
+                for s, e, t, f, same in align(ours, theirs, x - fx, y - fy, k):
+                    if same >= identity:
+                        passages.append((s + fx, e + fx, others[a].as_py(), t + fy, f + fy, same))
             kept = settle(passages)
             if kept:
                 columns = list(zip(*kept))
