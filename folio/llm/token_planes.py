@@ -12,13 +12,16 @@ of its planes, and each document's id, null flag and number of ids.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -32,8 +35,10 @@ MAGIC = b"BITPLNS1"
 BLOCK = 1 << 16
 LEVEL = 3
 END_ID = 2
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000  # in each of two generations
 CACHED_LENGTH = 64
+GROUP_BYTES = 6 << 20
+SEPARATOR = "\U0001f602"
 
 
 def open_fs(path: str) -> tuple[fs.FileSystem, str]:
@@ -45,11 +50,19 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+# Printable ASCII without capitals and apostrophes needs no normalising, and a splitter parts it into letters, single
+# digits and runs of other signs: such pieces go to the library's model directly.
+PLAIN = re.compile(rb"[!-&(-@\[-~]{1,200}")
+PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+
+
 class WordEncoder:
     """Ids of whole texts, with the ids of recent words kept.
 
-    For a tokenizer whose normaliser and splitter treat white space as a boundary, the ids of a text are those of its
-    words in turn. Each new word goes through the library; a full cache is emptied, so memory is bounded.
+    For a tokenizer that ignores case in A-Z and whose normaliser and splitter treat white space as a boundary, the ids of
+    a text are those of its words in turn. Words not seen lately go through the library, many at a time with a
+    separator between them that encodes as one id of its own; words that hold the separator or a special token go
+    through it alone. Two generations of words are kept, the older one goes when the newer is full.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -60,23 +73,71 @@ class WordEncoder:
         self.planes = 16 if self.tokenizer.get_vocab_size() <= 1 << 16 else 32
         self.dtype = np.dtype("<u2" if self.planes == 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.mark = self._ids(SEPARATOR)
+        if len(self.mark) != 1 or self._ids(f"a {SEPARATOR} b").tolist() != [*self._ids("a"), *self.mark, *self._ids("b")]:
+            raise ValueError("the separator is not a word of one id in this vocabulary")
+        for probe in (b"ab12cd", b"end.", b"!?word&;", b"(x)"):
+            if self._encode_words([probe])[probe] != self._ids(probe.decode()).tobytes():
+                raise ValueError("the vocabulary does not part words at letters, digits and signs")
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out, plain = {}, []
+        tokenize, kind = self.tokenizer.model.tokenize, self.dtype
+        for word in words:
+            if b"<|" not in word and PLAIN.fullmatch(word):
+                ids = [token.id for piece in PIECES.findall(word) for token in tokenize(piece.decode())]
+                out[word] = np.array(ids, kind).tobytes()
+                continue
+            text = word.decode("utf-8", "replace")
+            if SEPARATOR in text or "<|" in text or len(word) > CACHED_LENGTH:
+                out[word] = self._ids(text).tobytes()
+            else:
+                plain.append((word, text))
+        width = self.dtype.itemsize
+        for start in range(0, len(plain), 1000):
+            part = plain[start : start + 1000]
+            ids = self._ids(f" {SEPARATOR} ".join(text for _, text in part))
+            data, at = ids.tobytes(), 0
+            for (word, _), end in zip(part, [*np.flatnonzero(ids == self.mark[0]).tolist(), len(ids)], strict=True):
+                out[word] = data[at * width : end * width]
+                at = end + 1
+        return out
 
-    def _ids(self, words: list[bytes]) -> Iterator[bytes]:
-        for found in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False):
-            yield np.array(found.ids, self.dtype).tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (strings without nulls). Each distinct word of the array is looked up once."""
+        # a special token is spelled in one case: texts with anything like it keep theirs
+        lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lower)
+        coded = split.flatten().cast(pa.binary()).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
+        found = {w: self.older[w] for w in new if w in self.older}
+        found |= self._encode_words([w for w in new if w not in found])
+        ids = [self.known[w] if w in self.known else found[w] for w in words]
+        self.known.update((w, i) for w, i in found.items() if len(w) <= CACHED_LENGTH)
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        split = [t.split() for t in texts]
-        new = list({w for words in split for w in words} - self.known.keys())
-        ids = dict(zip(new, self._ids(new)))
-        out = []
-        for words in split:
-            got = [self.known.get(w) or ids.get(w) or b"" for w in words]
-            out.append(np.frombuffer(b"".join(got), self.dtype))
-        self.known.update((w, i) for w, i in ids.items() if len(w) <= CACHED_LENGTH)
-        return out
+            self.known, self.older = {}, self.known
+
+        pool = np.frombuffer(b"".join(ids), self.dtype)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        word = coded.indices.to_numpy()
+        counts = sizes[word]
+        ends = np.cumsum(counts)
+        # the ids of word i stand at its place in the pool, moved to where the word begins
+        moved = (np.cumsum(sizes) - sizes)[word] - (ends - counts)
+        stream = pool[np.repeat(moved, counts) + np.arange(ends[-1] if len(ends) else 0)]
+        last = np.r_[0, ends][np.cumsum(pc.list_value_length(split).to_numpy())]
+        return np.split(stream, last[:-1])
+
+
+@lru_cache(maxsize=2)
+def word_encoder(tokenizer_path: str) -> WordEncoder:
+    """One encoder per Python worker: later tasks find its words."""
+    return WordEncoder(tokenizer_path)
 
 
 def to_planes(ids: np.ndarray, planes: int) -> list[bytes]:
@@ -209,7 +270,7 @@ def write_tokens(
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("id", F.col("text").cast("binary"))
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, writer, sink, target = TaskContext.get().partitionId(), None, None, None
@@ -221,13 +282,15 @@ def write_tokens(
                 system.create_dir(root, recursive=True)
                 name = f"part-{part:05d}-{uuid.uuid4().hex}.planes"
                 target, sink = f"{path}/{name}", system.open_output_stream(f"{root}/{name}")
-                encoder = WordEncoder(tokenizer_path)
+                encoder = word_encoder(tokenizer_path)
                 end = np.array([end_id], encoder.dtype)
                 writer = PlaneWriter(sink, encoder.planes, block)
             ids, texts = batch.column(0), batch.column(1)
-            for start in range(0, batch.num_rows, 256):
-                some = [v.as_py() for v in texts[start : start + 256]]
-                for doc_id, found in zip(ids[start : start + 256], encoder.encode(some)):
+            # some megabytes at a time, or one longer text
+            part_of = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // GROUP_BYTES
+            cuts = np.r_[0, np.flatnonzero(np.diff(part_of)) + 1, batch.num_rows]
+            for start, stop in zip(cuts, cuts[1:]):
+                for doc_id, found in zip(ids[start:stop], encoder.encode(texts[start:stop])):
                     writer.add(doc_id.as_py(), np.concatenate([found, end]))
         if writer is not None:
             writer.close()

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -25,12 +26,18 @@ def encoder():
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \t\n\x0b\x0c\r\x1c\x85\xa0 '<|>ΣŜé̈")), max_size=60))
 def test_words_encode_as_the_whole_text(tokenizer, encoder, text):
-    assert encoder.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.encode(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("text", ["it's I'll they're 12 3rd", "<|endoftext|> a<|startoftext|>b", "don't\x0bdo!!! ???", "ΌΔΟΣ ΟΔΟΣ. İstanbul ǅ", ""])
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1'.,!#<|>&\x00\x7fAé ́s", max_size=40))
+def test_ascii_pieces_encode_as_the_whole_text(tokenizer, encoder, text):
+    assert encoder.encode(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["it's I'll they're 12 3rd", "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|>", "ha😂ha 😂 X 😂😂", "Kelvin K é", "w" * 200, "don't\x0bdo!!! ???", "ΌΔΟΣ ΟΔΟΣ. İstanbul ǅ", ""])
 def test_odd_words(tokenizer, encoder, text):
-    assert encoder.encode([text.encode(), b""])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert [x.tolist() for x in encoder.encode(pa.array(["", text, ""]))] == [[], tokenizer.encode(text, add_special_tokens=False).ids, []]
 
 
 @pytest.mark.parametrize("planes", [16, 32])
