@@ -23,6 +23,3 @@ EMBED_BODY_CHARS = 200
 EMBED_BATCH = 64
 ENCODE_LENGTH = 128
 BATCH_SIZE = 32
-
-# A table of at most this many short rows (term, id, weight) may be broadcast.
-BROADCAST_TERMS = 500_000

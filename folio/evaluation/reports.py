@@ -22,9 +22,8 @@ def _row(*cells: Column | str) -> Column:
 
 
 def _fixed(df: DataFrame, section: int, lines: list[str]) -> DataFrame:
-    """Constant lines of a section, taken from a one-row aggregate of any table."""
-    one = df.agg(F.lit(1).alias("one"))
-    return one.select(
+    """Constant lines of a section."""
+    return df.sparkSession.range(1).select(
         F.lit(section).alias("section"), F.posexplode(F.lit(lines)).alias("ord", "line")
     )
 

@@ -48,7 +48,8 @@ def temporal_validation(
 
 def cross_predict(df: DataFrame, fit_predict: FitPredict, k: int = CV_FOLDS) -> DataFrame:
     """Out-of-fold predictions ``fold, id, y, p`` by fitting once per fold."""
-    folded = stage(stratified_kfold(df, k), "cv-folds")
+    folds = stratified_kfold(df.select("id", "label"), k).select("id", "fold")
+    folded = stage(df.join(folds, "id"), "cv-folds")
     parts = []
     for fold in range(k):
         train = folded.filter(F.col("fold") != fold).drop("fold")

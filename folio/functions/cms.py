@@ -39,9 +39,11 @@ def parse_json(text: Column) -> Column:
     return F.when(text.isNotNull(), F.from_json(text, CMS_ARTICLE))
 
 
-_ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-_ISO_NAIVE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?$"
-_ISO_ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|[+-]\d{2}:?\d{2})$"
+# date, hour, minute, second, fraction; sign, hours, minutes and seconds of the offset; with or without separators
+_ISO = (
+    r"^(\d{4})(-?)(\d{2})\2(\d{2})"
+    r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9}))?)?)?(?:Z|([+-])(\d{2})(?::?(\d{2})(?::?(\d{2}))?)?)?)?$"
+)
 
 
 def parse_iso_utc(text: Column) -> Column:
@@ -49,14 +51,14 @@ def parse_iso_utc(text: Column) -> Column:
 
     Values without an offset count as UTC, whatever the session zone is.
     """
-    zoned = (
-        F.when(text.rlike(_ISO_ZONED), F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2"))
-        .when(text.rlike(_ISO_NAIVE), F.concat(text, F.lit("Z")))
-        .when(text.rlike(_ISO_DATE), F.concat(text, F.lit("T00:00:00Z")))
-    )
-    # Spark wants seconds before an offset
-    whole = F.regexp_replace(zoned, r"([T ]\d{2}:\d{2})(?=[Z+-])", "$1:00")
-    return micros_to_ntz(F.unix_micros(F.try_to_timestamp(whole)))
+    part = lambda i: F.regexp_extract(text, _ISO, i)
+    number = lambda i: F.coalesce(part(i).try_cast("int"), F.lit(0))
+    clock = lambda i: F.lpad(number(i).cast("string"), 2, "0")
+    day = F.concat_ws("-", part(1), part(3), part(4))
+    time = F.concat(clock(5), F.lit(":"), clock(6), F.lit(":"), clock(7), F.lit("."), F.rpad(part(8), 6, "0"))
+    offset = (number(10) * 3600 + number(11) * 60 + number(12)) * F.when(part(9) == "-", -1).otherwise(1)
+    local = F.unix_micros(F.try_to_timestamp(F.concat(day, F.lit("T"), time, F.lit("Z"))))
+    return F.when(text.rlike(_ISO), micros_to_ntz(local - offset.cast("long") * 1_000_000))
 
 
 def micros_to_ntz(micros: Column) -> Column:

@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 
 from folio.functions.text import trim_spaces
 
-# Parts of a page that are not text.
-_INVISIBLE = r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>"
+# The rest of a tag after its "<": a quoted attribute value may hold ">".
+_TAG_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>"""
+# Parts of a page that are not text; one that is never closed reaches to the page's end.
+_INVISIBLE = rf"(?is)<!--.*?(?:-->|\z)|<(script|style|template)(?=[\s/>]){_TAG_REST}.*?(?:</\1\s*>|\z)"
 _BREAK = "\u0001"
 
 # Entities decoded without leaving the JVM; &amp; must come last.
@@ -61,7 +63,7 @@ def decode_entities(text: Column) -> Column:
 
 def mark_tags(html: Column) -> Column:
     """Markup with every tag and every invisible part replaced by a break character."""
-    return F.regexp_replace(F.regexp_replace(html, _INVISIBLE, _BREAK), "<[^>]*>", _BREAK)
+    return F.regexp_replace(F.regexp_replace(html, _INVISIBLE, _BREAK), f"<{_TAG_REST}|<[^>]*>", _BREAK)
 
 
 def split_marked(decoded: Column) -> Column:
@@ -103,11 +105,20 @@ def long_nodes(nodes: Column, min_chars: int = 60, max_nodes: int = 50) -> Colum
 def extract_between_markers(text: Column, start: str, end: str) -> Column:
     r"""Greedy capture between two literal markers after dropping newlines; null without one."""
     joined = F.replace(text, F.lit("\n"), F.lit(""))
-    return F.nullif(F.regexp_extract(joined, rf"\Q{start}\E(.+)\Q{end}\E", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(joined, rf"(?s)\Q{start}\E(.+)\Q{end}\E", 1), F.lit(""))
+
+
+# An anchor up to the value of its first href attribute; "data-href" and text inside other values do not count.
+_HREF = (
+    r"""(?is)<a(?=\s)(?:[^>=\s]++|\s(?!href\s*=)|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
+    r"""\shref\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+)
 
 
 def extract_links(html: Column) -> Column:
-    """The href values of all anchors, in page order."""
-    return F.regexp_extract_all(
-        html, F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""), F.lit(1)
-    )
+    """The href values of all anchors, in page order, quoted or not, with entities decoded."""
+    raw = F.regexp_extract_all(html, F.lit(_HREF), F.lit(1))
+    bare = F.transform(raw, lambda v: F.regexp_replace(v, r"""^(["'])(.*)\1$""", "$2"))
+    # the decoder works on texts, so the values of a page go through it as one
+    decoded = F.split(decode_entities(F.array_join(bare, _BREAK)), _BREAK)
+    return F.when(F.size(raw) > 0, decoded).otherwise(F.when(raw.isNotNull(), F.array().cast("array<string>")))

@@ -14,7 +14,16 @@ from pyspark.sql import functions as F
 
 from folio.config import META_C, STACKING_FOLDS
 from folio.functions.text import clean_tokens, vectorizer_terms
-from folio.models.linear import BOW_LR, TFIDF_LR, FittedModel, fit_text_model, label_position, logistic_regression
+from folio.models.linear import (
+    BOW_LR,
+    TFIDF_LR,
+    FittedModel,
+    TrainingSet,
+    fit_text_model,
+    label_position,
+    logistic_regression,
+    with_terms,
+)
 from folio.models.naive_bayes import (
     NaiveBayesModel,
     naive_bayes_fit,
@@ -52,10 +61,14 @@ class FittedNaiveBayes:
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         scored = naive_bayes_predict(self.model, _postings(df, ("id",)), df)
-        return scored.withColumn("scores", softmax(F.col("scores"))).select(*df.columns, "scores")
+        kept = [c for c in df.columns if c != "terms"]
+        return scored.withColumn("scores", softmax(F.col("scores"))).select(*kept, "scores")
 
 
 def _postings(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Counts of single words, of texts or of rows that have one- and two-word terms."""
+    if "terms" in df.columns:
+        return term_counts(df, F.filter("terms", lambda t: ~F.contains(t, F.lit(" "))), keep)
     return term_counts(df, vectorizer_terms(clean_tokens(F.col("text"))), keep)
 
 
@@ -70,7 +83,8 @@ class VotingModel:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """``id, scores, p`` of every document."""
-        parts = [m.predict_proba(df.select("id", "text")).select("id", "scores") for m in self.members]
+        rows = with_terms(df)
+        parts = [m.predict_proba(rows).select("id", "scores") for m in self.members]
         return soft_voting(reduce(DataFrame.unionByName, parts), self.classes)
 
 
@@ -80,30 +94,27 @@ def fit_together(spark: SparkSession, fits: Sequence[Callable], parallelism: int
         return list(pool.map(lambda fit: inheritable_thread_target(spark)(fit)(), fits))
 
 
-def fit_voting(train: DataFrame, classes: Sequence[str]) -> VotingModel:
-    """The TF-IDF and the bag-of-words logistic regressions."""
-    fits = [lambda s=spec: fit_text_model(s, train, classes) for spec in (TFIDF_LR, BOW_LR)]
-    return VotingModel(tuple(fit_together(train.sparkSession, fits)), tuple(classes))
+def fit_voting(train: DataFrame | TrainingSet, classes: Sequence[str]) -> VotingModel:
+    """The TF-IDF and the bag-of-words logistic regressions, on one vocabulary and one count matrix."""
+    data = train if isinstance(train, TrainingSet) else TrainingSet(train, classes)
+    fits = [lambda s=spec: fit_text_model(s, data) for spec in (TFIDF_LR, BOW_LR)]
+    return VotingModel(tuple(fit_together(data.rows.sparkSession, fits)), tuple(classes))
 
 
-def _base_fits(train: DataFrame, classes: Sequence[str]) -> list[Callable]:
+def _base_fits(data: TrainingSet) -> list[Callable]:
     return [
-        lambda: fit_text_model(TFIDF_LR, train, classes),
-        lambda: fit_text_model(BOW_LR, train, classes),
-        lambda: fit_naive_bayes(train, classes),
+        lambda: fit_text_model(TFIDF_LR, data),
+        lambda: fit_text_model(BOW_LR, data),
+        lambda: fit_naive_bayes(data.rows, data.classes),
     ]
 
 
 def _meta_features(bases: Sequence, df: DataFrame) -> DataFrame:
-    """``df`` plus ``features``: the base probabilities one after the other.
-
-    The base models only add columns to the same rows, except naive Bayes, which
-    aggregates by document and therefore comes last.
-    """
-    rows = df
-    names = []
+    """``df`` without its terms, plus ``features``: the base probabilities one after the other."""
+    rows, names = df.drop("terms"), []
     for i, base in enumerate(bases):
-        rows = base.predict_proba(rows).withColumnRenamed("scores", f"__p{i}")
+        found = base.predict_proba(df.select("id", "terms")).withColumnRenamed("scores", f"__p{i}")
+        rows = rows.join(found, "id")
         names.append(f"__p{i}")
     return rows.withColumn("features", array_to_vector(F.concat(*names))).drop(*names)
 
@@ -115,7 +126,7 @@ class StackingModel:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """``id, p`` of every document."""
-        return self.meta.predict(_meta_features(self.bases, df.select("id", "text"))).select("id", "p")
+        return self.meta.predict(_meta_features(self.bases, with_terms(df).select("id", "terms"))).select("id", "p")
 
 
 def fit_stacking(
@@ -124,18 +135,23 @@ def fit_stacking(
     """Logistic regression on out-of-fold probabilities of three base models.
 
     Every inner fold fits the bases, vocabularies included, on the other folds; the
-    bases are then refitted on all rows. ``train`` has ``id, label, text``.
+    bases are then refitted on all rows. ``train`` has ``id, label`` and ``text`` or ``terms``. Terms are cleaned
+    once for all folds, and each training set has one count matrix.
     """
-    folded = stage(stratified_kfold(train, k).select("id", "label", "text", "fold"), "stacking-folds")
+    rows = with_terms(train)
+    folds = stratified_kfold(rows.select("id", "label"), k)
+    folded = stage(rows.join(folds.select("id", "fold"), "id"), "stacking-folds")
     trains = [folded.filter(F.col("fold") != fold).drop("fold") for fold in range(k)]
-    fits = [fit for train_rows in [*trains, folded.drop("fold")] for fit in _base_fits(train_rows, classes)]
-    fitted = fit_together(train.sparkSession, fits)
+    sets = fit_together(
+        train.sparkSession, [lambda t=part: TrainingSet(t, classes) for part in [*trains, folded.drop("fold")]]
+    )
+    fitted = fit_together(train.sparkSession, [fit for data in sets for fit in _base_fits(data)])
     size = len(fitted) // (k + 1)
     groups = [fitted[i : i + size] for i in range(0, len(fitted), size)]
     held_out = []
     for fold in range(k):
-        rows = folded.filter(F.col("fold") == fold).select("id", "label", "text")
-        held_out.append(_meta_features(groups[fold], rows).select("id", "label", "features"))
+        part = folded.filter(F.col("fold") == fold).drop("fold")
+        held_out.append(_meta_features(groups[fold], part).select("id", "label", "features"))
     meta_rows = stage(
         reduce(DataFrame.unionByName, held_out).withColumn(
             "label_idx", label_position(F.col("label"), classes)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from threading import Lock
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
@@ -16,13 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.config import LR_C, SVC_C
-from folio.models.vectorize import TextVectorizer
+from folio.functions.arrays import count_items
+from folio.models.vectorize import DropColumns, TextCleaner, TextVectorizer, TfidfScaler
 from folio.operators.encode import class_list
+from folio.operators.terms import count_rows, fit_vocabulary
 from folio.session import stage
 
-ROWS_PER_PARTITION = 2000
-
-
 def logistic_regression(n_rows: int, c: float = LR_C, max_iter: int = 1000, tol: float = 1e-4) -> LogisticRegression:
     """Multinomial logistic regression with an L2 penalty of strength 1/C."""
     return LogisticRegression(
@@ -51,12 +52,6 @@ def label_position(label: Column, classes: Sequence[str]) -> Column:
     return (F.array_position(F.lit(list(classes)), label) - 1).cast("double")
 
 
-def few_partitions(df: DataFrame, n_rows: int) -> DataFrame:
-    """Merge partitions of a small table: every optimiser iteration runs a task on each."""
-    wanted = max(1, n_rows // ROWS_PER_PARTITION)
-    return df.coalesce(wanted) if wanted < df.sparkSession.sparkContext.defaultParallelism else df
-
-
 @dataclass(frozen=True)
 class TextModelSpec:
     """A text classifier: vectoriser settings and learner ("lr" or "svc")."""
@@ -90,34 +85,78 @@ class FittedModel:
     classes: tuple[str, ...]
     pipeline: Transformer
 
+    def _apply(self, df: DataFrame) -> DataFrame:
+        """The pipeline on ``text``, or from ``terms`` on where the rows were cleaned already."""
+        if "terms" in df.columns:
+            return PipelineModel(self.pipeline.stages[1:]).transform(df)
+        return self.pipeline.transform(df)
+
     def predict(self, df: DataFrame) -> DataFrame:
-        """Adds the predicted class ``p``."""
+        """Adds the predicted class ``p``; ``terms`` are dropped."""
         names = F.lit(list(self.classes))
-        done = self.pipeline.transform(df)
-        predicted = done.withColumn("p", F.get(names, F.col("prediction").cast("int")))
-        return predicted.select(*df.columns, "p")
+        predicted = self._apply(df).withColumn("p", F.get(names, F.col("prediction").cast("int")))
+        return predicted.select(*[c for c in df.columns if c != "terms"], "p")
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
-        """Adds ``scores``: the class probabilities in class order."""
-        done = self.pipeline.transform(df)
-        return done.withColumn("scores", vector_to_array("probability")).select(*df.columns, "scores")
+        """Adds ``scores``: the class probabilities in class order, 0 for a class the training rows lacked."""
+        found = vector_to_array("probability")
+        scores = F.array(*[F.coalesce(F.get(found, F.lit(i)), F.lit(0.0)) for i in range(len(self.classes))])
+        return self._apply(df).withColumn("scores", scores).select(*[c for c in df.columns if c != "terms"], "scores")
+
 
+def with_terms(df: DataFrame, max_n: int = 2) -> DataFrame:
+    """``text`` cleaned to ``terms``, written once; rows that have ``terms`` stay as they are."""
+    if "terms" in df.columns:
+        return df
+    return stage(TextCleaner(maxN=max_n).transform(df).drop("text"), "terms")
 
-def fit_text_model(spec: TextModelSpec, train: DataFrame, classes: Sequence[str] | None = None) -> FittedModel:
-    """Clean, vectorise and classify ``text`` with ``label`` as one fitted pipeline.
 
-    The feature matrix is staged, because the optimiser passes over it many times.
+class TrainingSet:
+    """The rows of one fit with their vocabulary and features, which all models fitted on them share.
+
+    Texts are cleaned once, the vocabulary is counted once, and the count matrix is written once; TF-IDF weights are derived
+    from that matrix. Rows without a known term keep an empty vector.
     """
-    classes = tuple(classes or class_list(train))
-    vectorizer = spec.vectorizer().fit(train)
-    labelled = train.withColumn("label_idx", label_position(F.col("label"), classes))
-    features = stage(
-        vectorizer.transform(labelled.select("text", "label_idx")).select("features", "label_idx"),
-        f"features-{spec.name}",
-    )
-    n_rows = features.count()
-    classifier = spec.classifier(n_rows).fit(few_partitions(features, n_rows))
-    return FittedModel(spec.name, classes, PipelineModel([*vectorizer.stages, classifier]))
+
+    def __init__(self, train: DataFrame, classes: Sequence[str] | None = None, max_n: int = 2):
+        self.rows = with_terms(train, max_n)
+        self.classes = tuple(classes or class_list(self.rows))
+        self.max_n = max_n
+        postings = self.rows.select(F.inline(count_items(F.col("terms"))))
+        kept = fit_vocabulary(postings, count_rows(self.rows)).select("term", "idf").collect()
+        if not kept:
+            raise ValueError("no term survives the document frequency limits")
+        kept.sort()
+        self.terms, self.idf = [r["term"] for r in kept], [r["idf"] for r in kept]
+        labelled = self.rows.select("terms", label_position(F.col("label"), self.classes).alias("label_idx"))
+        self._features = {False: stage(self._counter().transform(labelled).drop("terms"), "counts")}
+        self.n_rows = self._features[False].count()
+        self._lock = Lock()
+
+    def _counter(self, output: str = "features") -> CountVectorizerModel:
+        return CountVectorizerModel.from_vocabulary(self.terms, inputCol="terms", outputCol=output)
+
+    def features(self, tfidf: bool) -> DataFrame:
+        """``label_idx, features``: counts, or the weights made of them."""
+        with self._lock:
+            if tfidf not in self._features:
+                counts = self._features[False].withColumnRenamed("features", "counts")
+                self._features[tfidf] = stage(TfidfScaler(idf=self.idf).transform(counts), "weights")
+        return self._features[tfidf]
+
+    def stages(self, tfidf: bool) -> list[Transformer]:
+        """From text to features."""
+        cleaner, drop = TextCleaner(maxN=self.max_n), DropColumns(columns=["terms"])
+        if tfidf:
+            return [cleaner, self._counter("counts"), drop, TfidfScaler(idf=self.idf)]
+        return [cleaner, self._counter(), drop]
+
+
+def fit_text_model(spec: TextModelSpec, train: DataFrame | TrainingSet, classes: Sequence[str] | None = None) -> FittedModel:
+    """Clean, vectorise and classify ``text`` (or ``terms``) with ``label`` as one fitted pipeline."""
+    data = train if isinstance(train, TrainingSet) else TrainingSet(train, classes, spec.max_n)
+    classifier = spec.classifier(data.n_rows).fit(data.features(spec.tfidf))
+    return FittedModel(spec.name, data.classes, PipelineModel([*data.stages(spec.tfidf), classifier]))
 
 
 def logistic_fit(train: DataFrame, spec: TextModelSpec = TFIDF_LR) -> FittedModel:
@@ -139,49 +178,46 @@ def embedding_classifier(
     """Logistic regression on dense vectors; ``predict`` wants ``features`` too."""
     classes = tuple(classes or class_list(train))
     rows = dense_features(train, vector).withColumn("label_idx", label_position(F.col("label"), classes))
-    n_rows = rows.count()
-    model = logistic_regression(n_rows, c).fit(few_partitions(rows, n_rows))
+    model = logistic_regression(rows.count(), c).fit(rows)
     return FittedModel("emb_lr", classes, model)
 
 
-def sparse_rows(postings: DataFrame, columns: DataFrame, size: int) -> DataFrame:
-    """MLlib ``features`` of documents from postings and a ``(term, term_idx)`` table.
+def sparse_rows(docs: DataFrame, postings: DataFrame, columns: DataFrame, size: int) -> DataFrame:
+    """``docs`` with MLlib ``features`` from their postings and a ``(term, term_idx)`` table of ``size`` selected terms.
 
-    ``columns`` is small (selected features) and is broadcast; a document collects at
-    most ``size`` entries. Staged, because optimisers read it many times.
+    A document collects at most ``size`` entries; one without a selected term has an empty vector. Staged, because
+    optimisers read it many times.
     """
-    joined = postings.join(F.broadcast(columns.select("term", "term_idx")), "term")
+    joined = postings.join(columns.select("term", "term_idx"), "term")
     entries = joined.groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("term_idx", "n"))).alias("entries")
+        F.sort_array(F.collect_list(F.struct(F.col("term_idx").cast("int").alias("i"), F.col("n").cast("double").alias("x")))).alias("__entries")
     )
+    rows = docs.join(entries, "id", "left").withColumn("__entries", F.coalesce("__entries", F.array().cast("array<struct<i:int,x:double>>")))
     vector = F.struct(
         F.lit(0).cast("tinyint").alias("type"),
         F.lit(size).alias("size"),
-        F.transform("entries", lambda e: e["term_idx"].cast("int")).alias("indices"),
-        F.transform("entries", lambda e: e["n"].cast("double")).alias("values"),
-    )
-    schema = T.StructType(
-        [entries.schema["id"], T.StructField("features", VectorUDT())]
+        F.transform("__entries", lambda e: e["i"]).alias("indices"),
+        F.transform("__entries", lambda e: e["x"]).alias("values"),
     )
+    schema = T.StructType([*docs.schema.fields, T.StructField("features", VectorUDT())])
     # the written struct is the storage form of a vector, so it is read back as one
-    return stage(entries.select("id", vector.alias("features")), "sparse-rows", schema)
+    return stage(rows.select(*docs.columns, vector.alias("features")), "sparse-rows", schema)
 
 
 def coefficient_weights(spark: SparkSession, model: FittedModel) -> DataFrame:
     """``label, term, weight`` of a fitted linear text pipeline, for ``top_features_per_class``.
 
-    The coefficients already are on the driver: classes x vocabulary cap numbers.
+    One row per term goes out with its coefficients as an array; the classes are unfolded by Spark.
     """
     terms = next(s.vocabulary for s in model.pipeline.stages if isinstance(s, CountVectorizerModel))
     fitted = model.pipeline.stages[-1]
     if isinstance(fitted, OneVsRestModel):
-        rows = [m.coefficients.toArray() for m in fitted.models]
+        columns = np.stack([m.coefficients.toArray() for m in fitted.models], 1)
     else:
-        rows = list(fitted.coefficientMatrix.toArray())
-    frame = pd.concat(
-        [pd.DataFrame({"label": c, "term": terms, "weight": w}) for c, w in zip(model.classes, rows)]
-    )
-    return spark.createDataFrame(frame)
+        columns = fitted.coefficientMatrix.toArray().T
+    rows = spark.createDataFrame(pd.DataFrame({"term": terms, "weights": list(columns)}), "term string, weights array<double>")
+    names = F.lit(list(model.classes))
+    return rows.select("term", F.posexplode("weights").alias("c", "weight")).select(F.get(names, F.col("c")).alias("label"), "term", "weight")
 
 
 def stored_entries(df: DataFrame, key: str = "id", vector: str = "features") -> DataFrame:

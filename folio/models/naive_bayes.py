@@ -1,7 +1,7 @@
 """Multinomial naive Bayes as aggregates over postings.
 
-Closed form, so it is fitted with one aggregation by term and scored with one
-broadcast join and one aggregation by document; both combine map-side. The class
+Closed form, so it is fitted with one aggregation by term and scored with one join and
+one aggregation by document; both combine map-side. The class
 prior is not smoothed (MLlib's is).
 """
 
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.config import BROADCAST_TERMS, MAX_DF, MAX_FEATURES, MIN_DF, NB_ALPHA
+from folio.config import MAX_DF, MAX_FEATURES, MIN_DF, NB_ALPHA
 from folio.operators.terms import prune_by_df, top_vocabulary
 from folio.session import stage
 
@@ -55,7 +55,7 @@ def _sum_array(column: Column) -> Column:
 def log_prior(docs: DataFrame) -> DataFrame:
     """Unsmoothed log priors of one row of class document counts."""
     total = _sum_array(F.col("docs"))
-    return docs.select(F.transform("docs", lambda d: F.log(d / total)).alias("prior"))
+    return docs.select(F.transform("docs", lambda d: F.when(d > 0, F.log(d / total)).otherwise(float("-inf"))).alias("prior"))
 
 
 def log_theta(
@@ -71,7 +71,7 @@ def log_theta(
         F.array(*[F.sum(F.get("counts", F.lit(i))) for i in k]).alias("sums"),
     ).alias("__t")
     if by:
-        rows = vocabulary.join(F.broadcast(vocabulary.groupBy(*by).agg(totals)), list(by))
+        rows = vocabulary.join(vocabulary.groupBy(*by).agg(totals), list(by))
         total = F.col("__t")
     else:
         rows, total = vocabulary, vocabulary.agg(totals).scalar()
@@ -96,16 +96,14 @@ def naive_bayes_fit(
     """
     docs = class_documents(labels, classes)
     n_docs = docs.select(_sum_array(F.col("docs")).alias("n")).scalar()
-    kept = top_vocabulary(
-        prune_by_df(term_class_stats(postings, classes), n_docs, min_df, max_df), max_features
-    )
-    vocabulary = stage(kept, "nb-vocabulary")
+    stats = stage(prune_by_df(term_class_stats(postings, classes), n_docs, min_df, max_df), "nb-vocabulary")
+    vocabulary = top_vocabulary(stats, max_features)
     return NaiveBayesModel(tuple(classes), log_theta(vocabulary, classes, alpha), log_prior(docs))
 
 
 def joint_log_likelihood(
     postings: DataFrame, docs: DataFrame, weights: DataFrame, prior: Column, k: int, *,
-    on: Sequence[str] = ("term",), small: bool = True,
+    on: Sequence[str] = ("term",),
 ) -> DataFrame:
     """``docs`` columns plus ``scores`` (array per class) of every document.
 
@@ -113,7 +111,7 @@ def joint_log_likelihood(
     document for the shuffle. Documents without known terms keep their priors.
     """
     keys = list(on)
-    joined = postings.join(F.broadcast(weights) if small else weights, keys)
+    joined = postings.join(weights, keys)
     sums = joined.groupBy("id").agg(
         *[F.sum(F.col("n") * F.get("w", F.lit(i))).alias(f"__s{i}") for i in range(k)]
     )
@@ -140,9 +138,7 @@ def softmax(scores: Column) -> Column:
     )
 
 
-def naive_bayes_predict(
-    model: NaiveBayesModel, postings: DataFrame, docs: DataFrame, max_features: int | None = MAX_FEATURES
-) -> DataFrame:
+def naive_bayes_predict(model: NaiveBayesModel, postings: DataFrame, docs: DataFrame) -> DataFrame:
     """``docs`` plus ``scores`` and the predicted class ``p``."""
     scored = joint_log_likelihood(
         postings.select("id", "term", "n"),
@@ -150,7 +146,6 @@ def naive_bayes_predict(
         model.weights,
         model.prior.scalar(),
         len(model.classes),
-        small=max_features is not None and max_features <= BROADCAST_TERMS,
     )
     return scored.withColumn("p", predicted_class(F.col("scores"), model.classes))
 
@@ -209,7 +204,6 @@ def naive_bayes_cross_predict(
         F.try_element_at(prior_rows, F.col("fold")),
         len(classes),
         on=("fold", "term"),
-        small=max_features * k <= BROADCAST_TERMS,
     )
     return scored.withColumn("p", predicted_class(F.col("scores"), classes))
 

@@ -17,6 +17,10 @@ from folio.config import MIN_BODY_CHARS, PAGE_SIZE
 from folio.operators.ranking import staged_rank
 
 
+# Tasks that share the first cut of one class.
+CAP_SLICES = 256
+
+
 def first_per_key(df: DataFrame, key: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
     """The first row of every key in a total order."""
     window = Window.partitionBy(*key).orderBy(*order)
@@ -43,7 +47,10 @@ def dedupe_url_accepted(df: DataFrame, classes: Sequence[str]) -> DataFrame:
 
 def dedupe_url_claimed(df: DataFrame, min_chars: int = MIN_BODY_CHARS) -> DataFrame:
     """Per class the first occurrence claims the URL before short bodies are dropped."""
-    return min_body_filter(first_per_key(df, ["category", "url"], ["id"]), min_chars)
+    # the length test travels as a flag; bodies are read again for the rows that stay
+    narrow = df.select("id", "category", "url", (F.length("body") >= min_chars).alias("__long"))
+    kept = first_per_key(narrow, ["category", "url"], ["id"]).filter("__long").select("id")
+    return df.join(kept, "id", "left_semi")
 
 
 def drop_duplicate_urls(df: DataFrame) -> DataFrame:
@@ -58,9 +65,12 @@ def dedupe_slug_last(df: DataFrame, keys: Sequence[str], order: str) -> DataFram
 
 def cap_per_class(df: DataFrame, limit: int, by: str = "category", order: str = "id") -> DataFrame:
     """At most ``limit`` rows per class in arrival order, however large the class."""
-    ranked = staged_rank(df.select(by, order), [by], [order])
-    kept = ranked.filter(F.col("rank") <= limit).select(order)
-    return df.join(kept, order, "left_semi")
+    # no slice of a class can add more than the limit, so slices are cut before the class meets
+    rows = df.select(by, order).withColumn("__slice", F.pmod(F.xxhash64(order), F.lit(CAP_SLICES)))
+    for keys in ([by, "__slice"], [by]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+        rows = rows.withColumn("__place", place).filter(F.col("__place") <= limit).drop("__place")
+    return df.join(rows.select(order), order, "left_semi")
 
 
 def systematic_page_sample(
@@ -72,7 +82,7 @@ def systematic_page_sample(
     """
     ranked = staged_rank(df, by, order)
     totals = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
-    joined = ranked.join(F.broadcast(totals), list(by)) if by else ranked.withColumn("__total", totals.scalar())
+    joined = ranked.join(totals, list(by)) if by else ranked.withColumn("__total", totals.scalar())
     max_page = F.greatest(F.lit(1), F.floor(F.col("__total") / page_size))
     wanted = F.lit(max(1, -(-target // page_size)))
     needed = F.least(wanted, max_page)

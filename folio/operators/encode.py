@@ -20,13 +20,13 @@ def encode_fixed_length(
 ) -> DataFrame:
     """``id, input_ids, attention_mask, token_type_ids``, each of length ``max_len``.
 
-    ``vocabulary`` is ``(term, token_id)`` of capped size and is broadcast. Tokens past
+    ``vocabulary`` is ``(term, token_id)``. Tokens past
     the length the encoding holds are cut before anything is shuffled; the pieces of a
     document are at most ``max_len - 2`` rows.
     """
     room = max_len - 2
     kept = df.select("id", F.posexplode_outer(F.slice(tokens, 1, room)).alias("pos", "term"))
-    coded = kept.join(F.broadcast(vocabulary), "term", "left").withColumn(
+    coded = kept.join(vocabulary, "term", "left").withColumn(
         "token_id", F.when(F.col("pos").isNotNull(), F.coalesce("token_id", F.lit(UNK)))
     )
     collected = coded.groupBy("id").agg(
@@ -69,12 +69,9 @@ def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows per class index."""
     index = label_index_sorted(df, label)
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(F.broadcast(index), label).select("label_idx", label, "n")
+    return counts.join(index, label).select("label_idx", label, "n")
 
 
-def class_list(df: DataFrame, label: str = "label", limit: int = 1000) -> list[str]:
-    """The sorted label vocabulary; more than ``limit`` classes is an error, not a cut."""
-    rows = df.select(label).distinct().filter(F.col(label).isNotNull()).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct labels in {label!r}")
-    return sorted(row[0] for row in rows)
+def class_list(df: DataFrame, label: str = "label") -> list[str]:
+    """The sorted label vocabulary."""
+    return sorted(row[0] for row in df.select(label).distinct().filter(F.col(label).isNotNull()).collect())

@@ -2,20 +2,31 @@
 
 Postings come out of each document row without a shuffle (``count_items``), so every
 later aggregate starts from one row per document and term and combines map-side.
-A vocabulary is cut to ``max_features`` terms; below ``BROADCAST_TERMS`` it is
-broadcast, above it joins by shuffle, where adaptive execution splits frequent terms.
+Joins with a vocabulary carry no hint: its measured size decides whether it is broadcast, and in
+a shuffle adaptive execution splits frequent terms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from folio.config import BROADCAST_TERMS, K_BEST, MAX_DF, MAX_FEATURES, MIN_DF, TOP_FEATURES
+from folio.config import K_BEST, MAX_DF, MAX_FEATURES, MIN_DF, TOP_FEATURES
 from folio.functions.arrays import count_items, ngrams
+from folio.operators.ranking import staged_rank
+from folio.session import stage
+
+
+def term_bags(df: DataFrame, tokens: Column, keep: Sequence[str] = ("id",), *, ngram_range=(1, 1)) -> DataFrame:
+    """Bag of words in the document's row: ``keep`` columns and ``bag``, an array of (term, n)."""
+    return df.select(*keep, count_items(ngrams(tokens, *ngram_range)).alias("bag"))
 
 
 def term_counts(df: DataFrame, tokens: Column, keep: Sequence[str] = ("id",), *, ngram_range=(1, 1)) -> DataFrame:
@@ -37,15 +48,30 @@ def prune_by_df(stats: DataFrame, n_docs: Column, min_df: int = MIN_DF, max_df:
 
 
 def top_vocabulary(stats: DataFrame, max_features: int | None = MAX_FEATURES) -> DataFrame:
-    """The ``max_features`` most frequent terms; equal counts are kept in term order."""
+    """The ``max_features`` most frequent terms; equal counts are kept in term order.
+
+    Terms are counted per total first, a table with far fewer rows than terms, which tells the total at which the
+    cut falls. Terms above it are filtered where they are; only those at it are ranked, by a range sort. ``stats`` is read
+    several times: stage it if it is expensive.
+    """
     if max_features is None:
         return stats
-    return stats.orderBy(F.desc("total"), "term").limit(max_features)
+    sizes = stats.groupBy("total").agg(F.count(F.lit(1)).alias("terms"))
+    through = F.sum("terms").over(Window.orderBy(F.desc("total")))
+    cut = sizes.withColumn("through", through).filter(F.col("through") > max_features).orderBy(F.desc("total")).first()
+    if cut is None:
+        return stats
+    spare = max_features - (cut["through"] - cut["terms"])
+    above = stats.filter(F.col("total") > cut["total"])
+    if not spare:
+        return above
+    ties = staged_rank(stats.filter(F.col("total") == cut["total"]), [], ["term"])
+    return above.unionByName(ties.filter(F.col("rank") <= spare).select(*stats.columns))
 
 
 def vocabulary_index(vocabulary: DataFrame) -> DataFrame:
-    """Adds the lexicographic ``term_idx`` of a capped vocabulary (one small sort)."""
-    return vocabulary.withColumn("term_idx", F.row_number().over(Window.orderBy("term")) - 1)
+    """Adds the lexicographic ``term_idx``, by a range sort."""
+    return staged_rank(vocabulary, [], ["term"], "term_idx").withColumn("term_idx", F.col("term_idx") - 1)
 
 
 def sublinear_tf(n: Column) -> Column:
@@ -66,40 +92,72 @@ def fit_vocabulary(
     max_features: int | None = MAX_FEATURES,
 ) -> DataFrame:
     """``term, df, total, idf`` of the kept terms."""
-    kept = top_vocabulary(prune_by_df(document_frequency(postings), n_docs, min_df, max_df), max_features)
+    stats = stage(prune_by_df(document_frequency(postings), n_docs, min_df, max_df), "term-stats")
+    kept = top_vocabulary(stats, max_features)
     return kept.withColumn("idf", smooth_idf(F.col("df"), n_docs))
 
 
-def join_vocabulary(postings: DataFrame, vocabulary: DataFrame, max_features: int | None = MAX_FEATURES) -> DataFrame:
+def join_vocabulary(postings: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Postings of known terms with their vocabulary columns; unknown terms drop out."""
-    small = max_features is not None and max_features <= BROADCAST_TERMS
-    return postings.join(F.broadcast(vocabulary) if small else vocabulary, "term")
+    return postings.join(vocabulary, "term")
 
 
-def tfidf_weights(postings: DataFrame, vocabulary: DataFrame, max_features: int | None = MAX_FEATURES) -> DataFrame:
+def tfidf_weights(postings: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Unnormalised ``w`` = sublinear tf x idf."""
-    joined = join_vocabulary(postings, vocabulary, max_features)
-    return joined.withColumn("w", sublinear_tf(F.col("n")) * F.col("idf"))
+    return join_vocabulary(postings, vocabulary).withColumn("w", sublinear_tf(F.col("n")) * F.col("idf"))
 
 
-def transform_with_vocabulary(
-    postings: DataFrame, vocabulary: DataFrame, max_features: int | None = MAX_FEATURES
-) -> DataFrame:
+def transform_with_vocabulary(bags: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """TF-IDF of documents under a fitted vocabulary, each document L2-normalised.
 
-    One shuffle of the pruned postings by document, for the norm.
+    ``bags`` has a ``bag`` (term, n) per document; the other columns are kept, with ``term, n, tfidf``. A document is
+    weighed and normalised in its own row: no shuffle. The vocabulary is capped, so its terms and weights are collected
+    and sent to every task; for one without a cap there is ``transform_postings``.
     """
-    weighted = tfidf_weights(postings, vocabulary, max_features)
+    rows = vocabulary.select("term", "idf").collect()
+    known = bags.sparkSession.sparkContext.broadcast(
+        (pa.array([r["term"] for r in rows], pa.string()), np.array([r["idf"] for r in rows], float))
+    )
+    kept = [f for f in bags.schema.fields if f.name != "bag"]
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, idf = known.value
+        for batch in batches:
+            bag = batch.column("bag")
+            row = np.repeat(np.arange(len(bag)), bag.value_lengths().fill_null(0).to_numpy())
+            flat = bag.flatten()
+            place = pc.index_in(flat.field("term"), value_set=terms)
+            found = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False))
+            taken = pa.array(found)
+            n = flat.field("n").take(taken)
+            w = (1.0 + np.log(n.to_numpy())) * idf[place.take(taken).to_numpy()]
+            norm = np.sqrt(np.bincount(row[found], w * w, len(bag)))
+            of = pa.array(row[found])
+            columns = [batch.column(f.name).take(of) for f in kept]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, flat.field("term").take(taken), n, pa.array(w / norm[row[found]])],
+                names=[*[f.name for f in kept], "term", "n", "tfidf"],
+            )
+
+    n_type = bags.schema["bag"].dataType.elementType["n"].dataType
+    added = [T.StructField("term", T.StringType()), T.StructField("n", n_type), T.StructField("tfidf", T.DoubleType())]
+    return bags.mapInArrow(weigh, T.StructType([*kept, *added]))
+
+
+def transform_postings(postings: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """TF-IDF from postings under a vocabulary of any size: one shuffle of the pruned postings by document, for the norm."""
+    weighted = tfidf_weights(postings, vocabulary)
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
     return weighted.withColumn("tfidf", F.col("w") / norm).drop("w")
 
 
-def tfidf(postings: DataFrame, n_docs: Column, **limits) -> DataFrame:
-    """Fit on and transform the same documents."""
-    vocabulary = fit_vocabulary(postings, n_docs, **limits)
-    return transform_with_vocabulary(
-        postings, vocabulary.drop("total"), limits.get("max_features", MAX_FEATURES)
-    )
+def tfidf(bags: DataFrame, n_docs: Column, *, max_features: int | None = MAX_FEATURES, **limits) -> DataFrame:
+    """Fit on and transform the same documents; ``bags`` (``id, bag``) is read twice."""
+    postings = bags.select("*", F.inline("bag")).drop("bag")
+    vocabulary = fit_vocabulary(postings, n_docs, max_features=max_features, **limits)
+    if max_features is None:
+        return transform_postings(postings, vocabulary.select("term", "idf"))
+    return transform_with_vocabulary(bags, vocabulary)
 
 
 def top_features_per_class(weights: DataFrame, n: int = TOP_FEATURES, label: str = "label") -> DataFrame:
@@ -119,8 +177,7 @@ def chi2_scores(postings: DataFrame, labels: DataFrame) -> DataFrame:
     n_docs = count_rows(labels)
     shares = labels.groupBy("label").agg((F.count(F.lit(1)) / n_docs).alias("share"))
     cells = postings.groupBy("term", "label").agg(F.sum("n").alias("obs"))
-    # one row per class: bounded by the label vocabulary
-    joined = cells.join(F.broadcast(shares), "label")
+    joined = cells.join(shares, "label")
     return (
         joined.groupBy("term")
         .agg(F.sum("obs").alias("total"), F.sum(F.col("obs") * F.col("obs") / F.col("share")).alias("__q"))

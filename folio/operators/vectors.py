@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.config import BROADCAST_TERMS, EMBED_BATCH
+from folio.config import EMBED_BATCH
 
 
 def _dense(vec: Column) -> Column:
@@ -35,17 +35,15 @@ def sum_vectors(df: DataFrame, keys: Sequence[str], vec: str = "vec") -> DataFra
 
 def mean_word_vector(
     docs: DataFrame, postings: DataFrame, words: DataFrame, dim: int, *,
-    denominator: str = "tokens", n_words: int | None = None,
+    denominator: str = "tokens",
 ) -> DataFrame:
     """``id, vec``: mean vector of a document's known tokens, zeros without any.
 
     ``docs`` has ``id`` (and ``text`` for ``denominator="chars"``, which divides the sum
-    by the text length instead of the matched tokens). ``words`` is broadcast only when
-    ``n_words`` says that it is small.
+    by the text length instead of the matched tokens).
     """
-    small = n_words is not None and n_words <= BROADCAST_TERMS
     table = words.select(F.col("word").alias("term"), "vec")
-    matched = postings.join(F.broadcast(table) if small else table, "term")
+    matched = postings.join(table, "term")
     means = matched.groupBy("id").agg(
         vector_to_array(Summarizer.mean(_dense(F.col("vec")), F.col("n").cast("double"))).alias("vec"),
         F.sum("n").alias("__matched"),
@@ -95,11 +93,11 @@ def combine_subwords(pieces: DataFrame, keys: Sequence[str] = ("doc", "word_id")
 
 def embed_batch(
     df: DataFrame, text: str, make_encoder: Callable[[], Callable[[np.ndarray], np.ndarray]],
-    batch_size: int = EMBED_BATCH,
+    batch_size: int = EMBED_BATCH, element: T.DataType = T.FloatType(),
 ) -> DataFrame:
     """Adds ``embedding`` from a user-supplied encoder, built once per Python worker."""
     encode = predict_batch_udf(
-        make_encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size
+        make_encoder, return_type=T.ArrayType(element), batch_size=batch_size
     )
     return df.withColumn("embedding", encode(F.col(text)))
 
@@ -108,13 +106,13 @@ def hashing_encoder(dim: int = 16) -> Callable[[], Callable[[np.ndarray], np.nda
     """Stand-in encoder without a model file: L2-normalised token hashing."""
 
     def make() -> Callable[[np.ndarray], np.ndarray]:
-        from zlib import crc32
+        from hashlib import md5
 
         def encode(texts: np.ndarray) -> np.ndarray:
-            out = np.zeros((len(texts), dim), dtype=np.float32)
+            out = np.zeros((len(texts), dim))
             for row, text in enumerate(texts):
                 for token in str(text).lower().split():
-                    code = crc32(token.encode())
+                    code = int(md5(token.encode()).hexdigest()[:8], 16)
                     out[row, code % dim] += 1.0 if code & 0x10000 else -1.0
             norms = np.linalg.norm(out, axis=1, keepdims=True)
             return out / np.where(norms == 0.0, 1.0, norms)

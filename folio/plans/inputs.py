@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.functions.stopwords import STOPWORDS_ES
-from folio.functions.text import clean_tokens, vectorizer_terms
-from folio.operators.terms import term_counts
+from folio.config import LEGACY_MAX_DF
+from folio.functions.stem import stem_es
+from folio.functions.stopwords import STOPWORDS_ES, STOPWORDS_ES_PLAIN
+from folio.functions.text import (
+    LEGACY_TOKEN,
+    clean_tokens,
+    drop_stopwords,
+    remove_accents,
+    tokenize_regex,
+    vectorizer_terms,
+)
+from folio.operators.terms import count_rows, document_frequency, prune_by_df, term_bags, term_counts
 from folio.session import stage
 from folio.sources.tables import read_table
 
@@ -70,6 +79,12 @@ def staged_postings(spark: SparkSession, sf: str, ngram_range=(1, 1)) -> DataFra
     return stage(postings(spark, sf, ngram_range), "postings")
 
 
+def staged_bags(spark: SparkSession, sf: str) -> DataFrame:
+    """``id, label, bag`` of the documents, written once."""
+    docs = documents(spark, sf).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), "text")
+    return stage(term_bags(docs, clean_terms(), ("id", "label")), "bags")
+
+
 def labels(spark: SparkSession, sf: str) -> DataFrame:
     """``id, label`` per document."""
     return spark.read.parquet(f"{sf}/documents.parquet").select(
@@ -77,14 +92,30 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def folded_bags(spark: SparkSession, sf: str, folds: DataFrame) -> DataFrame:
+    """Staged ``id, label, bag, fold``: counted terms meet the folds, texts are not shuffled."""
+    return stage(staged_bags(spark, sf).join(folds.select("id", "fold"), "id"), "fold-bags")
+
+
 def folded_postings(spark: SparkSession, sf: str, folds: DataFrame) -> DataFrame:
-    """Staged ``id, label, fold, term, n``.
+    """``id, label, fold, term, n``."""
+    return folded_bags(spark, sf, folds).select("id", "label", "fold", F.inline("bag"))
 
-    The fold joins the documents, not their far more numerous postings.
-    """
+
+def legacy_bags(spark: SparkSession, sf: str, stem: bool = False) -> DataFrame:
+    """Staged ``id, label, bag`` of the older vectoriser: accents off, its own token pattern, accent-free stopwords, one- and two-word terms."""
+    tokens = tokenize_regex(remove_accents(F.lower(F.col("text"))))
+    if stem:
+        tokens = F.transform(tokens, stem_es)
+    tokens = drop_stopwords(tokens, STOPWORDS_ES_PLAIN)
     docs = documents(spark, sf).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), "text")
-    folded = docs.join(folds.select("id", "fold"), "id")
-    return stage(term_counts(folded, clean_terms(), ("id", "label", "fold")), "fold-postings")
+    return stage(term_bags(docs, tokens, ("id", "label"), ngram_range=(1, 2)), "legacy-bags")
+
+
+def legacy_terms(bags: DataFrame) -> DataFrame:
+    """The terms of the older vectoriser's vocabulary, staged: document frequency limits and no cap."""
+    stats = document_frequency(bags.select("id", F.inline("bag")))
+    return stage(prune_by_df(stats, count_rows(bags), max_df=LEGACY_MAX_DF), "legacy-terms")
 
 
 STOPWORD_SQL = ", ".join("'" + word + "'" for word in STOPWORDS_ES)
@@ -112,6 +143,21 @@ grams AS (
   FROM terms2 WHERE len(t) >= 2),
 postings AS MATERIALIZED (SELECT id, label, term, count(*) AS n FROM grams GROUP BY id, label, term),
 n_docs AS (SELECT count(*) AS n_docs FROM documents)"""
+_PLAIN_STOPWORD_SQL = ", ".join("'" + word + "'" for word in STOPWORDS_ES_PLAIN)
+LEGACY_SQL = f"""legacy AS MATERIALIZED (
+  SELECT doc_id AS id, lang AS label,
+         list_filter(regexp_extract_all(strip_accents(lower(text)), '{LEGACY_TOKEN}'),
+                     lambda x: x NOT IN ({_PLAIN_STOPWORD_SQL})) AS t
+  FROM documents),
+legacy_grams AS (
+  SELECT id, label, unnest(t) AS term FROM legacy
+  UNION ALL
+  SELECT id, label, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS term
+  FROM legacy WHERE len(t) >= 2),
+legacy_postings AS MATERIALIZED (SELECT id, label, term, count(*) AS n FROM legacy_grams GROUP BY id, label, term),
+legacy_terms AS (
+  SELECT term FROM legacy_postings GROUP BY term
+  HAVING count(*) >= 3 AND count(*) <= {LEGACY_MAX_DF}::DOUBLE * (SELECT count(*) FROM documents))"""
 DF_SQL = """stats AS (
   SELECT term, count(*) AS df, CAST(sum(n) AS BIGINT) AS total FROM postings GROUP BY term)"""
 VOCABULARY_SQL = f"""{DF_SQL},

@@ -1,11 +1,14 @@
 """Classifiers, ensembles, validation runs, prompts and reports."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.config import K_BEST, SVC_C
-from folio.evaluation.metrics import cv_summary
+from folio.config import CV_FOLDS, K_BEST, SVC_C
+from folio.evaluation.metrics import auc_hard, cv_summary
 from folio.evaluation.reports import report_lines
-from folio.evaluation.validation import temporal_validation
+from folio.evaluation.validation import cross_predict, temporal_validation
 from folio.functions import prompts
 from folio.models import ensembles, linear
 from folio.models.naive_bayes import (
@@ -15,7 +18,7 @@ from folio.models.naive_bayes import (
 )
 from folio.operators import terms
 from folio.operators.encode import class_list, label_index_sorted
-from folio.operators.splits import stratified_kfold
+from folio.operators.splits import stratified_kfold, temporal_split
 from folio.operators.terms import term_counts
 from folio.plans.inputs import (
     ARTICLES_SQL,
@@ -28,6 +31,8 @@ from folio.plans.inputs import (
     documents,
     folded_postings,
     labels,
+    legacy_bags,
+    legacy_terms,
     staged_postings,
 )
 from folio.plans.registry import query
@@ -230,6 +235,26 @@ def temporal(spark, sf):
     return temporal_validation(_dated_texts(spark, sf), nb_fit_predict, model="bow_nb")
 
 
+@query(
+    "temporal_linear_validation",
+    f"""WITH {_TEMPORAL_SQL}
+SELECT model, label AS class, (SELECT n FROM train_size) AS train_size, (SELECT count(*) FROM split WHERE is_test) AS test_size,
+       true AS above_majority
+FROM (SELECT DISTINCT label FROM split WHERE is_test), (SELECT unnest(['tfidf_lr', 'tfidf_svc']) AS model)""",
+)
+def temporal_linear(spark, sf):
+    """The temporal run of both linear TF-IDF models, and whether each beats the largest class's share of the test rows."""
+    rows = linear.with_terms(_dated_texts(spark, sf))
+    sizes = temporal_split(rows).filter("split = 'test'").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    share = sizes.agg((F.max("n") / F.sum("n")).alias("share")).scalar()
+    parts = []
+    for spec in (linear.TFIDF_LR, linear.TFIDF_SVC):
+        run = temporal_validation(rows, _spec_predict(spec), model=spec.name)
+        above = F.col("accuracy") > share
+        parts.append(run.select("model", "class", "train_size", "test_size", above.alias("above_majority")))
+    return parts[0].unionByName(parts[1])
+
+
 _ARGMAX_SQL = """ranked AS (
   SELECT *, row_number() OVER (PARTITION BY {0} ORDER BY prob DESC, label) AS rn FROM {1})"""
 
@@ -256,41 +281,53 @@ def soft_voting(spark, sf):
     return done.select("id", "p", F.round(F.array_max("scores"), 6).alias("prob"))
 
 
-def quality_texts(spark, sf):
-    """``id, label, text`` of the documents with a quality label, the harder target."""
-    marks = spark.read.parquet(f"{sf}/labels.parquet").select(
-        "doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("label")
-    )
-    joined = documents(spark, sf).select("doc_id", "text").join(marks, "doc_id")
-    return joined.select(F.col("doc_id").alias("id"), "label", "text")
+def _staged_terms(spark, sf):
+    """``id, label, terms`` of every document: cleaned once for all folds and models."""
+    return linear.with_terms(labelled_texts(spark, sf))
+
 
+def _checked(scored):
+    """``id, fold, y`` of out-of-fold predictions, and whether they beat the share of the largest class."""
+    scored = stage(scored, "out-of-fold")
+    total = F.count(F.lit(1))
+    accuracy = scored.agg((F.count_if(F.col("y") == F.col("p")) / total).alias("a")).scalar()
+    shares = scored.groupBy("y").agg(total.alias("n")).agg((F.max("n") / F.sum("n")).alias("share"))
+    return scored.select("id", "fold", "y", (accuracy > shares.scalar()).alias("above_majority"))
 
-def _held_out(rows, fit_predict, k=5):
-    """Scores of one stratified hold-out: fold 0 against the rest."""
-    folded = stage(stratified_kfold(rows, k), "holdout")
-    train = folded.filter("fold <> 0").drop("fold")
-    test = folded.filter("fold = 0").drop("fold")
-    return fit_predict(train, test).select("id", F.col("label").alias("y"), "p")
 
+def folds_sql(table="documents", key="doc_id", label="lang"):
+    return f"""SELECT {key} AS id, CAST((row_number() OVER (PARTITION BY {label}
+    ORDER BY md5({key}::VARCHAR || ':42')) - 1) % 5 AS INTEGER) AS fold, {label} AS y, true AS above_majority
+FROM {table}"""
 
-@query("logistic_fit")
+
+def _spec_predict(spec):
+    return lambda train, test: linear.fit_text_model(spec, train, class_list(train)).predict(test)
+
+
+@query("logistic_fit", folds_sql())
 def logistic(spark, sf):
-    """Held-out predictions of TF-IDF logistic regression."""
-    return _held_out(labelled_texts(spark, sf), lambda train, test: linear.logistic_fit(train).predict(test))
+    """Out-of-fold predictions of TF-IDF logistic regression, all documents and folds."""
+    return _checked(cross_predict(_staged_terms(spark, sf), _spec_predict(linear.TFIDF_LR)))
 
 
-@query("bow_logistic_fit")
+@query("bow_logistic_fit", folds_sql())
 def bow_logistic(spark, sf):
-    """Held-out predictions of logistic regression on counts, for the quality label."""
-    return _held_out(
-        quality_texts(spark, sf), lambda train, test: linear.logistic_fit(train, linear.BOW_LR).predict(test)
-    )
+    """Out-of-fold predictions of logistic regression on counts."""
+    return _checked(cross_predict(_staged_terms(spark, sf), _spec_predict(linear.BOW_LR)))
 
 
-@query("linear_svc_fit")
+@query("linear_svc_fit", folds_sql())
 def linear_svc(spark, sf):
-    """Held-out predictions of the one-vs-rest linear SVM on TF-IDF."""
-    return _held_out(labelled_texts(spark, sf), lambda train, test: linear.linear_svc_fit(train).predict(test))
+    """Out-of-fold predictions of the one-vs-rest linear SVM on TF-IDF."""
+    return _checked(cross_predict(_staged_terms(spark, sf), _spec_predict(linear.TFIDF_SVC)))
+
+
+@query("coefficient_features")
+def coefficient_features(spark, sf):
+    """The twenty terms of largest coefficient per class of TF-IDF logistic regression on all documents."""
+    fitted = linear.fit_text_model(linear.TFIDF_LR, _staged_terms(spark, sf))
+    return terms.top_features_per_class(linear.coefficient_weights(spark, fitted))
 
 
 @query(
@@ -308,25 +345,41 @@ def vectorizer_model(spark, sf):
     return linear.stored_entries(done).withColumn("weight", F.round("weight", 6))
 
 
-def _selected(spark, sf):
-    """Folded labels and sparse rows of the 150 terms chosen on the training folds."""
+def _chi2_svc_predictions(spark, sf):
+    """Out-of-fold ``fold, id, y, p`` of the older pipeline: its vectoriser, chi-square on the training rows, linear SVM."""
     folds = stage(stratified_kfold(labels(spark, sf)).select("id", "label", "fold"), "folds")
-    rows = folded_postings(spark, sf, folds)
-    best = terms.select_k_best(rows.filter("fold <> 0"), folds.filter("fold <> 0"))
-    columns = terms.vocabulary_index(best)
-    return folds, linear.sparse_rows(rows, columns, K_BEST)
+    bags = legacy_bags(spark, sf)
+    kept = bags.select("id", "label", F.inline("bag")).join(legacy_terms(bags).select("term"), "term", "left_semi")
+    rows = stage(kept.join(folds.select("id", "fold"), "id"), "legacy-postings")
+    parts = []
+    for fold in range(CV_FOLDS):
+        train = folds.filter(F.col("fold") != fold)
+        columns = terms.vocabulary_index(terms.select_k_best(rows.filter(F.col("fold") != fold), train))
+        ready = linear.sparse_rows(folds, rows.select("id", "term", "n"), columns, K_BEST)
+        ready = ready.withColumn("label_idx", linear.label_position(F.col("label"), CLASSES))
+        fitted = linear.one_vs_rest(linear.linear_svc(train.count(), SVC_C)).fit(ready.filter(F.col("fold") != fold))
+        done = linear.FittedModel("svc_chi2", CLASSES, fitted).predict(ready.filter(F.col("fold") == fold))
+        parts.append(done.select("fold", "id", F.col("label").alias("y"), "p"))
+    return stage(reduce(DataFrame.unionByName, parts), "chi2-predictions")
+
+
+@query("kernel_svc_linear_fit", folds_sql())
+def chi2_svc(spark, sf):
+    return _checked(_chi2_svc_predictions(spark, sf))
 
 
-@query("kernel_svc_linear_fit")
-def chi2_svc(spark, sf):
-    """The linear SVM on the chi-square selected terms; documents without one are left out of fitting."""
-    folds, vectors = _selected(spark, sf)
-    rows = folds.join(vectors, "id").withColumn("label_idx", linear.label_position(F.col("label"), CLASSES))
-    train = rows.filter("fold <> 0")
-    n_rows = train.count()
-    model = linear.one_vs_rest(linear.linear_svc(n_rows, SVC_C)).fit(linear.few_partitions(train, n_rows))
-    done = linear.FittedModel("svc_chi2", CLASSES, model).predict(rows.filter("fold = 0"))
-    return done.select("id", F.col("label").alias("y"), "p")
+@query("legacy_fold_scores")
+def legacy_fold_scores(spark, sf):
+    """Accuracy of every fold of the older pipeline, and the AUC of each class from hard predictions."""
+    scored = _chi2_svc_predictions(spark, sf)
+    accuracy = scored.groupBy("fold").agg(F.avg((F.col("y") == F.col("p")).cast("double")).alias("accuracy"))
+    return auc_hard(scored, ["fold"]).join(accuracy, "fold").select("fold", "class", "accuracy", "auc")
+
+
+@query("legacy_confusion")
+def legacy_confusion(spark, sf):
+    """Confusion counts of every fold of the older pipeline."""
+    return _chi2_svc_predictions(spark, sf).groupBy("fold", "y", "p").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _embeddings(spark, sf):
@@ -334,62 +387,68 @@ def _embeddings(spark, sf):
     return rows.select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("label"), "embedding")
 
 
-@query("one_vs_rest")
+def _embedding_folds_sql():
+    return folds_sql("embeddings", "vec_id", "label::VARCHAR")
+
+
+@query("one_vs_rest", _embedding_folds_sql())
 def one_vs_rest(spark, sf):
-    """A binary model per class on the embeddings."""
-    rows = _embeddings(spark, sf)
-    classes = tuple(class_list(rows))
-    ready = linear.dense_features(rows, "embedding").withColumn(
-        "label_idx", linear.label_position(F.col("label"), classes)
-    )
-    n_rows = ready.count()
-    model = linear.one_vs_rest(linear.linear_svc(n_rows, SVC_C)).fit(linear.few_partitions(ready, n_rows))
-    done = linear.FittedModel("ovr", classes, model).predict(ready)
-    return done.select("id", F.col("label").alias("y"), "p")
+    """Out-of-fold predictions of a binary model per class on the embeddings."""
+
+    def fit_predict(train, test):
+        classes = tuple(class_list(train))
+        ready = linear.dense_features(train, "embedding").withColumn("label_idx", linear.label_position(F.col("label"), classes))
+        fitted = linear.one_vs_rest(linear.linear_svc(train.count(), SVC_C)).fit(ready)
+        return linear.FittedModel("ovr", classes, fitted).predict(linear.dense_features(test, "embedding"))
+
+    return _checked(cross_predict(_embeddings(spark, sf), fit_predict))
 
 
-@query("embedding_classifier")
+@query("embedding_classifier", _embedding_folds_sql())
 def embedding_classifier(spark, sf):
-    rows = _embeddings(spark, sf)
-    model = linear.embedding_classifier(rows)
-    done = model.predict(linear.dense_features(rows, "embedding"))
-    return done.select("id", F.col("label").alias("y"), "p")
+    """Out-of-fold predictions of logistic regression on the embeddings."""
 
+    def fit_predict(train, test):
+        return linear.embedding_classifier(train).predict(linear.dense_features(test, "embedding"))
+
+    return _checked(cross_predict(_embeddings(spark, sf), fit_predict))
 
-@query("save_model")
+
+@query("save_model", _embedding_folds_sql())
 def save_model(spark, sf):
-    """A classifier stored with its label index, loaded and applied."""
-    path = scratch_path(spark, "model")
-    rows = _embeddings(spark, sf)
-    fitted = linear.embedding_classifier(rows)
-    artifacts.save_model(linear.PipelineModel([fitted.pipeline]), label_index_sorted(rows), path)
-    model, index = artifacts.load_model(spark, path)
-    done = model.transform(linear.dense_features(rows, "embedding"))
-    return done.join(F.broadcast(index), F.col("prediction") == F.col("label_idx")).select(
-        "id", index["label"].alias("p")
-    )
+    """Each fold's classifier stored with its label index, loaded and applied to the fold."""
+
+    def fit_predict(train, test):
+        path = scratch_path(spark, "model")
+        fitted = linear.embedding_classifier(train)
+        artifacts.save_model(linear.PipelineModel([fitted.pipeline]), label_index_sorted(train), path)
+        model, index = artifacts.load_model(spark, path)
+        done = model.transform(linear.dense_features(test, "embedding"))
+        return done.join(index.withColumnRenamed("label", "p"), F.col("prediction") == F.col("label_idx"))
+
+    return _checked(cross_predict(_embeddings(spark, sf), fit_predict))
 
 
-@query("voting_fit")
+@query("voting_fit", folds_sql())
 def voting(spark, sf):
-    """Held-out predictions of the soft vote of two logistic regressions."""
+    """Out-of-fold predictions of the soft vote of two logistic regressions."""
 
     def fit_predict(train, test):
         model = ensembles.fit_voting(train, class_list(train))
         return test.select("id", "label").join(model.predict(test).select("id", "p"), "id")
 
-    return _held_out(quality_texts(spark, sf), fit_predict)
+    return _checked(cross_predict(_staged_terms(spark, sf), fit_predict))
 
 
-@query("stacking")
+@query("stacking", folds_sql())
 def stacking(spark, sf):
-    """Held-out predictions of the stacked ensemble."""
+    """Out-of-fold predictions of the stacked ensemble."""
 
     def fit_predict(train, test):
         model = ensembles.fit_stacking(train, class_list(train))
         return test.select("id", "label").join(model.predict(test), "id")
 
-    return _held_out(quality_texts(spark, sf), fit_predict)
+    return _checked(cross_predict(_staged_terms(spark, sf), fit_predict))
 
 
 _EXAMPLES_SQL = """ranked AS (
@@ -456,6 +515,6 @@ def report_tables(spark, sf):
     from folio.functions.text import clean_tokens
 
     corpus = articles(spark, sf).select("category", "date", F.size(clean_tokens(F.col("body"))).alias("n_tokens"))
-    cv = cv_summary(predictions(spark, sf))
-    temporal_rows = temporal_validation(_dated_texts(spark, sf), nb_fit_predict, model="bow_nb")
-    return report_lines(corpus, cv, temporal_rows)
+    cv = stage(cv_summary(predictions(spark, sf)), "report-cv")
+    temporal_rows = stage(temporal_validation(_dated_texts(spark, sf), nb_fit_predict, model="bow_nb"), "report-temporal")
+    return report_lines(stage(corpus, "report-corpus"), cv, temporal_rows)

@@ -347,7 +347,7 @@ def term_matrix(spark, sf):
     )
     stored, targets, names = artifacts.read_term_matrix(spark, path)
     return (
-        stored.join(F.broadcast(names), "term")
+        stored.join(names, "term")
         .join(targets, "id")
         .select("id", "label", F.col("term_idx").cast("bigint").alias("term_idx"), "n")
     )

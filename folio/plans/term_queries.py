@@ -9,15 +9,19 @@ from folio.plans.inputs import (
     BIGRAM_POSTINGS_SQL,
     CLASSES,
     DF_SQL,
+    LEGACY_SQL,
     POSTINGS_SQL,
     TFIDF_SQL,
     VOCABULARY_SQL,
     clean_terms,
     documents,
+    folded_bags,
     folded_postings,
     labels,
+    legacy_bags,
+    legacy_terms,
     postings,
-    staged_postings,
+    staged_bags,
 )
 from folio.plans.registry import query
 from folio.session import stage
@@ -75,7 +79,7 @@ def smooth_idf(spark, sf):
 
 @query("tfidf", f"WITH {TFIDF_SQL} SELECT id, term, round(tfidf, 6) AS tfidf FROM tfidf")
 def tfidf(spark, sf):
-    done = terms.tfidf(staged_postings(spark, sf), terms.count_rows(labels(spark, sf)))
+    done = terms.tfidf(staged_bags(spark, sf), terms.count_rows(labels(spark, sf)))
     return done.select("id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -90,12 +94,31 @@ WHERE rank <= 10""",
 )
 def top_tfidf_terms(spark, sf):
     """The ten terms of largest total TF-IDF weight in every language."""
-    done = terms.tfidf(staged_postings(spark, sf), terms.count_rows(labels(spark, sf)))
+    done = terms.tfidf(staged_bags(spark, sf), terms.count_rows(labels(spark, sf)))
     sums = done.groupBy("label", "term").agg(F.round(F.sum("tfidf"), 5).alias("weight"))
     top = terms.top_features_per_class(sums, 10)
     return top.select("label", "term", "weight", F.col("rank").cast("bigint"))
 
 
+@query(
+    "legacy_term_counts",
+    f"WITH {LEGACY_SQL} SELECT id, term, n FROM legacy_postings JOIN legacy_terms USING (term)",
+)
+def legacy_term_counts(spark, sf):
+    """Counts of the older vectoriser's vocabulary."""
+    bags = legacy_bags(spark, sf)
+    kept = legacy_terms(bags).select("term")
+    return bags.select("id", F.inline("bag")).join(kept, "term", "left_semi").select("id", "term", "n")
+
+
+@query("legacy_stemmed_counts")
+def legacy_stemmed_counts(spark, sf):
+    """The same with every token stemmed."""
+    bags = legacy_bags(spark, sf, stem=True)
+    kept = legacy_terms(bags).select("term")
+    return bags.select("id", F.inline("bag")).join(kept, "term", "left_semi").select("id", "term", "n")
+
+
 _HELD_OUT = 0
 FOLDS_SQL = """folds AS MATERIALIZED (
   SELECT doc_id AS id, lang AS label,
@@ -129,11 +152,11 @@ SELECT id, term, round(w / norm, 6) AS tfidf FROM weighted JOIN norms USING (id)
 )
 def transform_unseen(spark, sf):
     """Fold 0 under the vocabulary of the other folds."""
-    folds, split = _split(spark, sf)
-    vocabulary = terms.fit_vocabulary(
-        split.filter(F.col("fold") != _HELD_OUT), terms.count_rows(folds.filter(F.col("fold") != _HELD_OUT))
-    )
-    done = terms.transform_with_vocabulary(split.filter(F.col("fold") == _HELD_OUT), vocabulary)
+    folds = stage(stratified_kfold(labels(spark, sf)).select("id", "label", "fold"), "folds")
+    bags = folded_bags(spark, sf, folds)
+    train = bags.filter(F.col("fold") != _HELD_OUT)
+    vocabulary = terms.fit_vocabulary(train.select("id", F.inline("bag")), terms.count_rows(train))
+    done = terms.transform_with_vocabulary(bags.filter(F.col("fold") == _HELD_OUT), vocabulary)
     return done.select("id", "term", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -153,12 +176,12 @@ WHERE rank <= 20""",
 )
 def top_features(spark, sf):
     """Terms of largest mean TF-IDF weight per class."""
-    done = terms.tfidf(staged_postings(spark, sf), terms.count_rows(labels(spark, sf)))
+    done = terms.tfidf(staged_bags(spark, sf), terms.count_rows(labels(spark, sf)))
     sizes = labels(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
     weights = (
         done.groupBy("label", "term")
         .agg(F.sum("tfidf").alias("sum"))
-        .join(F.broadcast(sizes), "label")
+        .join(sizes, "label")
         .select("label", "term", F.round(F.col("sum") / F.col("docs"), 7).alias("weight"))
     )
     return terms.top_features_per_class(weights).withColumn("rank", F.col("rank").cast("bigint"))
@@ -243,8 +266,8 @@ all_vocabulary AS (
 SELECT v.term, v.term_idx FROM all_vocabulary v JOIN best USING (term)""",
 )
 def selected_names(spark, sf):
-    _, best = _best(spark, sf)
-    index = terms.vocabulary_index(_vocabulary(spark, sf))
+    split, best = _best(spark, sf)
+    index = terms.vocabulary_index(terms.fit_vocabulary(split, terms.count_rows(labels(spark, sf))))
     return terms.selected_feature_names(index, best).select("term", F.col("term_idx").cast("bigint"))
 
 
@@ -259,7 +282,7 @@ def _labelled(spark, sf):
 def label_index_sorted(spark, sf):
     docs = _labelled(spark, sf)
     index = encode.label_index_sorted(docs)
-    return docs.join(F.broadcast(index), "label").select("id", "label", F.col("label_idx").cast("bigint"))
+    return docs.join(index, "label").select("id", "label", F.col("label_idx").cast("bigint"))
 
 
 @query(
@@ -271,7 +294,7 @@ SELECT doc_id AS id, label, label_idx FROM documents JOIN idx ON lang = label"""
 def label_index_first_seen(spark, sf):
     docs = _labelled(spark, sf)
     index = encode.label_index_first_seen(docs, "id")
-    return docs.join(F.broadcast(index), "label").select("id", "label", F.col("label_idx").cast("bigint"))
+    return docs.join(index, "label").select("id", "label", F.col("label_idx").cast("bigint"))
 
 
 @query(
@@ -316,10 +339,12 @@ FROM framed"""
 
 @query("encode_fixed_length", _ENCODED_SQL)
 def encode_fixed_length(spark, sf):
-    index = terms.vocabulary_index(_vocabulary(spark, sf))
+    docs = documents(spark, sf).select(F.col("doc_id").alias("id"), clean_terms().alias("terms"))
+    docs = stage(docs, "tokens")
+    counted = terms.term_counts(docs, F.col("terms"))
+    index = terms.vocabulary_index(terms.fit_vocabulary(counted, terms.count_rows(docs)))
     vocabulary = index.select("term", (F.col("term_idx") + encode.FIRST_TERM_ID).alias("token_id"))
-    docs = documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
-    done = encode.encode_fixed_length(docs, clean_terms(), vocabulary)
+    done = encode.encode_fixed_length(docs, F.col("terms"), vocabulary)
     return done.select(
         "id",
         *[

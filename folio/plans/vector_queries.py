@@ -1,9 +1,10 @@
 """Dense vectors: word averages, pooling of hidden states, encoders."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.operators import vectors
-from folio.plans.inputs import POSTINGS_SQL, VOCABULARY_SQL, articles, labels, staged_postings
+from folio.plans.inputs import ARTICLES_SQL, POSTINGS_SQL, VOCABULARY_SQL, articles, documents, labels, staged_postings
 from folio.plans.registry import query
 from folio.plans.source_queries import WORD_DIM, WORD_VECTORS_SQL, word_vectors
 from folio.functions.text import embed_text
@@ -26,10 +27,8 @@ LEFT JOIN means m ON m.id = doc_id AND m.i = d.i""",
 )
 def mean_word_vector(spark, sf):
     rows = staged_postings(spark, sf)
-    # the word table is cut from a vocabulary of at most 50,000 terms
-    done = vectors.mean_word_vector(
-        labels(spark, sf).select("id"), rows, word_vectors(spark, sf, rows), WORD_DIM, n_words=50_000
-    )
+    words = word_vectors(spark, sf, rows)
+    done = vectors.mean_word_vector(labels(spark, sf).select("id"), rows, words, WORD_DIM)
     return by_dimension(done, "id")
 
 
@@ -102,9 +101,42 @@ def combine_subwords(spark, sf):
     return by_dimension(parts[0].unionByName(parts[1]), "kind", "doc", "word_id")
 
 
-@query("embed_batch")
+@query(
+    "mean_word_vector_by_chars",
+    f"""WITH {POSTINGS_SQL}, {VOCABULARY_SQL}, {WORD_VECTORS_SQL},
+sums AS (SELECT id, i, sum(n * x) AS value FROM postings JOIN word_vectors ON term = word GROUP BY id, i)
+SELECT doc_id AS id, CAST(d.i AS INTEGER) AS dim, round(coalesce(value / length(text), 0), 6) AS value
+FROM documents CROSS JOIN (SELECT unnest(range({WORD_DIM})) AS i) d
+LEFT JOIN sums m ON m.id = doc_id AND m.i = d.i""",
+)
+def mean_word_vector_by_chars(spark, sf):
+    """The older average: the sum over known tokens divided by the characters of the text."""
+    rows = staged_postings(spark, sf)
+    docs = documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
+    done = vectors.mean_word_vector(docs, rows, word_vectors(spark, sf, rows), WORD_DIM, denominator="chars")
+    return by_dimension(done, "id")
+
+
+@query(
+    "embed_batch",
+    f"""WITH {ARTICLES_SQL},
+texts AS (
+  SELECT id, trim(coalesce(title, '') || '. ' || coalesce(subtitle, '') || '. ' || left(coalesce(body, ''), 200)) AS text
+  FROM articles),
+codes AS (
+  SELECT id, CAST('0x' || left(md5(token), 8) AS BIGINT) AS code
+  FROM (SELECT id, unnest(list_filter(string_split_regex(lower(text), '\\s+'), lambda x: x <> '')) AS token FROM texts)),
+sums AS (
+  SELECT id, code % 16 AS dim, sum(CASE WHEN code & 65536 > 0 THEN 1.0 ELSE -1.0 END)::DOUBLE AS x FROM codes GROUP BY ALL),
+norms AS (SELECT id, sqrt(sum(x * x)) AS norm FROM sums GROUP BY id)
+SELECT doc_id AS id, CAST(d.dim AS INTEGER) AS dim,
+       round(coalesce(x, 0) / CASE WHEN coalesce(norm, 0) = 0 THEN 1 ELSE norm END, 6) AS value
+FROM documents CROSS JOIN (SELECT unnest(range(16)) AS dim) d
+LEFT JOIN sums s ON s.id = doc_id AND s.dim = d.dim LEFT JOIN norms n ON n.id = doc_id""",
+)
 def embed_batch(spark, sf):
     """Embeddings of title, subtitle and the start of the body by the stand-in encoder."""
     text = embed_text(F.col("title"), F.col("subtitle"), F.col("body"))
     rows = articles(spark, sf).select("id", text.alias("text"))
-    return vectors.embed_batch(rows, "text", vectors.hashing_encoder()).select("id", "embedding")
+    done = vectors.embed_batch(rows, "text", vectors.hashing_encoder(), element=T.DoubleType())
+    return by_dimension(done.withColumnRenamed("embedding", "vec"), "id")

@@ -30,10 +30,13 @@ def get_session(app_name: str = "folio", master: str | None = None, **conf) -> S
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can see, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own; executors of a
+    cluster could not share it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="folio-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -9,18 +9,14 @@ from folio.schemas import ARTICLES
 
 
 def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """Parquet table; with ``key``, rows of a small table are spread over the cores.
+    """Parquet table, as its files are split.
 
-    A scan is split by row groups, so one small file is one task. A table whose scan has
-    at least as many partitions as the cluster has cores is left as it is: no shuffle.
+    A file of one row group is one task. Who keeps a table in few such files can set
+    ``folio.input.partitions``: then tables read with a ``key`` are dealt out by it first.
     """
     df = spark.read.parquet(path)
-    return spread(df, key) if key else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    wanted = spark.conf.get("folio.input.partitions", None)
+    return df.repartition(int(wanted), key) if key and wanted else df
 
 
 def read_articles(spark: SparkSession, path: str, schema: T.StructType = ARTICLES) -> DataFrame:

@@ -20,10 +20,6 @@ def test_query_agrees_with_sql(spark, duck, name):
     assert check.compare(got, want).startswith("ok")
 
 
-# Fits that take many optimiser passes are covered on small fixtures in test_terms_models.
-SLOW = {"logistic_fit", "bow_logistic_fit", "linear_svc_fit", "voting_fit", "stacking", "one_vs_rest", "kernel_svc_linear_fit"}
-
-
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_query_without_sql_gives_rows(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from folio.functions import cms, html, urls
@@ -137,3 +138,63 @@ def test_word_files(spark, fixtures):
     }
     vectors = {r.word: r.vec for r in read_word_vectors(spark, str(fixtures / "words.vec")).collect()}
     assert len(vectors) == 5 and vectors["mar"] == [0.5, -0.5, 0.25]
+
+
+def one(spark, value, column):
+    return spark.createDataFrame([(value,)], "v string").select(column(F.col("v"))).first()[0]
+
+
+@pytest.mark.parametrize(
+    "page, links",
+    [
+        ('<a data-href="x" href="y">', ["y"]),
+        ("<a href=plain/path>t</a><a class=c href=b >", ["plain/path", "b"]),
+        ('<a href="/s?a=1&amp;b=2">', ["/s?a=1&b=2"]),
+        ("<A HREF='up'>", ["up"]),
+        ('<a title="a > href=no" href="z">', ["z"]),
+        ("<abbr href='no'><a>none</a>", []),
+        ('<a href="">', [""]),
+        ("<a name=n href = '1' href='2'>", ["1"]),
+        ("", []),
+    ],
+)
+def test_links_of_odd_anchors(spark, page, links):
+    assert one(spark, page, html.extract_links) == links
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<p title="a>b">hola</p>', "hola"),
+        ("<p>x</p><script>if (a<b) leak()", "x"),
+        ("<p>x</p><!-- never closed <p>y</p>", "x"),
+        ("<p title=it's>uno</p><p>d'os</p>", "uno d'os"),
+        ("<script src='a>b'>c</script>dos", "dos"),
+    ],
+)
+def test_odd_markup(spark, page, text):
+    assert one(spark, page, html.html_to_text) == text
+
+
+def test_markers_span_all_line_ends(spark):
+    assert one(spark, "x<a>uno\r\ndos tres\x85<b>y", lambda c: html.extract_between_markers(c, "<a>", "<b>")) == "uno\rdos tres\x85"
+
+
+@pytest.mark.parametrize(
+    "text, iso",
+    [
+        ("20240508", "2024-05-08 00:00:00"),
+        ("2024-05-08T10", "2024-05-08 10:00:00"),
+        ("20240508T101530", "2024-05-08 10:15:30"),
+        ("2024-05-08 10:15:30.5+02:00:30", "2024-05-08 08:15:00.500000"),
+        ("2024-05-08T10:15-03", "2024-05-08 13:15:00"),
+        ("2024-05-08T10:15:30Z", "2024-05-08 10:15:30"),
+        ("2024-05-0810", None),
+        ("2024-0508", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_iso_forms(spark, text, iso):
+    got = one(spark, text, cms.parse_iso_utc)
+    assert (None if got is None else str(got)) == iso

@@ -64,9 +64,19 @@ def brute_tfidf(docs, min_df=3, max_df=0.9):
 
 def test_tfidf_matches_brute_force(texts, postings, corpus):
     want = brute_tfidf({i: text.split() for i, _, text in corpus})
-    got = {(r.id, r.term): r.tfidf for r in terms.tfidf(postings, terms.count_rows(texts)).collect()}
-    assert got.keys() == want.keys()
-    assert all(got[k] == pytest.approx(want[k]) for k in want)
+    bags = terms.term_bags(texts, F.split("text", " "))
+    for limits in ({}, {"max_features": None}):  # in the document's row, and by a shuffle of postings
+        got = {(r.id, r.term): r.tfidf for r in terms.tfidf(bags, terms.count_rows(texts), **limits).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+@pytest.mark.parametrize("cap", [1, 2, 3, 4, 5, 6, 100])
+def test_vocabulary_cut_falls_like_a_sort(spark, cap):
+    rows = [("b", 3, 5), ("a", 3, 5), ("c", 3, 9), ("e", 3, 2), ("d", 3, 5)]
+    stats = spark.createDataFrame(rows, "term string, df long, total long")
+    want = [t for t, _, n in sorted(rows, key=lambda r: (-r[2], r[0]))][:cap]
+    assert sorted(r.term for r in terms.top_vocabulary(stats, cap).collect()) == sorted(want)
 
 
 def test_fitted_vectorizer_agrees_with_the_aggregates(spark, texts, corpus, tmp_path):
@@ -88,7 +98,7 @@ def test_vocabulary_cap_and_single_document(spark, texts, postings):
     assert {r.term for r in top} <= {t for t, n in counts.items() if n >= sorted(counts.values())[-4]}
     assert len(top) == 2
     one = spark.createDataFrame([(1, ["a", "a"])], "id long, t array<string>")
-    rows = terms.tfidf(terms.term_counts(one, F.col("t")), terms.count_rows(one), min_df=1, max_df=1.0).collect()
+    rows = terms.tfidf(terms.term_bags(one, F.col("t")), terms.count_rows(one), min_df=1, max_df=1.0).collect()
     assert [(r.term, r.tfidf) for r in rows] == [("a", 1.0)]
 
 
@@ -179,6 +189,15 @@ def test_ensembles(texts):
     assert sum(stacked[i] == truth[i] for i in truth) > 55
 
 
+def test_a_class_without_training_rows_gets_no_share(spark, texts):
+    classes = ["mar", "sierra", "valle"]
+    vote = ensembles.fit_voting(texts, classes).predict(texts).collect()
+    assert all(len(r.scores) == 3 and r.scores[2] < 1e-6 for r in vote)
+    rare = texts.unionByName(spark.createDataFrame([(999, "valle", "sol luna mar")], "id long, label string, text string").select(texts.columns))
+    stacked = ensembles.fit_stacking(rare, classes).predict(rare).collect()
+    assert len(stacked) == 63 and all(r.p in classes for r in stacked)
+
+
 def test_voting_ties_take_the_first_class(spark):
     df = spark.createDataFrame([("a", 1, [0.7, 0.3]), ("b", 1, [0.3, 0.7])], "model string, id int, scores array<double>")
     assert ensembles.soft_voting(df, ["x", "y"]).first().p == "x"
@@ -234,8 +253,7 @@ def test_label_indices(spark):
     df = spark.createDataFrame([(1, "z"), (2, "a"), (3, "z")], "id int, label string")
     assert {r.label: r.label_idx for r in encode.label_index_first_seen(df, "id").collect()} == {"z": 0, "a": 1}
     assert {r.label: r.label_idx for r in encode.label_index_sorted(df).collect()} == {"a": 0, "z": 1}
-    with pytest.raises(ValueError):
-        encode.class_list(df, limit=1)
+    assert encode.class_list(df) == ["a", "z"]
 
 
 def test_embedding_batches_have_unit_norm(spark):
