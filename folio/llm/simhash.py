@@ -162,7 +162,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
             if not len(fp):
                 continue
             # the last bucket may go on in the next batch
-            last = int(np.flatnonzero((slot != slot[-1]) | (key != key[-1]))[-1]) + 1 if ((slot != slot[-1]) | (key != key[-1])).any() else 0
+            earlier = np.flatnonzero((slot != slot[-1]) | (key != key[-1]))
+            last = int(earlier[-1]) + 1 if len(earlier) else 0
             if last:
                 yield from settle(slot[:last], key[:last], fp[:last])
             carry = (slot[last:], key[last:], fp[last:])
