@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.config import CUTOFF_MONTHS, CV_FOLDS, MIN_TEST_ROWS
 from folio.evaluation.metrics import class_report, cv_summary, summary_scores
+from folio.models.ensembles import fit_together
 from folio.operators.dedupe import require_min_rows
 from folio.operators.splits import stratified_kfold, temporal_split
 from folio.session import stage
@@ -47,22 +49,17 @@ def temporal_validation(
 
 
 def cross_predict(df: DataFrame, fit_predict: FitPredict, k: int = CV_FOLDS) -> DataFrame:
-    """Out-of-fold predictions ``fold, id, y, p`` by fitting once per fold."""
+    """Out-of-fold predictions ``fold, id, y, p`` by fitting once per fold, several folds at a time."""
     folds = stratified_kfold(df.select("id", "label"), k).select("id", "fold")
     folded = stage(df.join(folds, "id"), "cv-folds")
-    parts = []
-    for fold in range(k):
+
+    def run(fold: int) -> DataFrame:
         train = folded.filter(F.col("fold") != fold).drop("fold")
         test = folded.filter(F.col("fold") == fold).drop("fold")
-        parts.append(
-            fit_predict(train, test).select(
-                F.lit(fold).alias("fold"), "id", F.col("label").alias("y"), "p"
-            )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        return fit_predict(train, test).select(F.lit(fold).alias("fold"), "id", F.col("label").alias("y"), "p")
+
+    parts = fit_together(df.sparkSession, [lambda f=fold: run(f) for fold in range(k)])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def cross_validate(

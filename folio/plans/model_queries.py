@@ -295,9 +295,9 @@ def _checked(scored):
     return scored.select("id", "fold", "y", (accuracy > shares.scalar()).alias("above_majority"))
 
 
-def folds_sql(table="documents", key="doc_id", label="lang"):
+def folds_sql(table="documents", key="doc_id", label="lang", more=", true AS above_majority"):
     return f"""SELECT {key} AS id, CAST((row_number() OVER (PARTITION BY {label}
-    ORDER BY md5({key}::VARCHAR || ':42')) - 1) % 5 AS INTEGER) AS fold, {label} AS y, true AS above_majority
+    ORDER BY md5({key}::VARCHAR || ':42')) - 1) % 5 AS INTEGER) AS fold, {label} AS y{more}
 FROM {table}"""
 
 
@@ -351,15 +351,17 @@ def _chi2_svc_predictions(spark, sf):
     bags = legacy_bags(spark, sf)
     kept = bags.select("id", "label", F.inline("bag")).join(legacy_terms(bags).select("term"), "term", "left_semi")
     rows = stage(kept.join(folds.select("id", "fold"), "id"), "legacy-postings")
-    parts = []
-    for fold in range(CV_FOLDS):
+
+    def run(fold):
         train = folds.filter(F.col("fold") != fold)
         columns = terms.vocabulary_index(terms.select_k_best(rows.filter(F.col("fold") != fold), train))
         ready = linear.sparse_rows(folds, rows.select("id", "term", "n"), columns, K_BEST)
         ready = ready.withColumn("label_idx", linear.label_position(F.col("label"), CLASSES))
         fitted = linear.one_vs_rest(linear.linear_svc(train.count(), SVC_C)).fit(ready.filter(F.col("fold") != fold))
         done = linear.FittedModel("svc_chi2", CLASSES, fitted).predict(ready.filter(F.col("fold") == fold))
-        parts.append(done.select("fold", "id", F.col("label").alias("y"), "p"))
+        return done.select("fold", "id", F.col("label").alias("y"), "p")
+
+    parts = ensembles.fit_together(spark, [lambda f=fold: run(f) for fold in range(CV_FOLDS)])
     return stage(reduce(DataFrame.unionByName, parts), "chi2-predictions")
 
 
@@ -388,7 +390,8 @@ def _embeddings(spark, sf):
 
 
 def _embedding_folds_sql():
-    return folds_sql("embeddings", "vec_id", "label::VARCHAR")
+    # the labels of the embeddings are drawn at random: no classifier beats a majority there
+    return folds_sql("embeddings", "vec_id", "label::VARCHAR", "")
 
 
 @query("one_vs_rest", _embedding_folds_sql())
@@ -401,7 +404,7 @@ def one_vs_rest(spark, sf):
         fitted = linear.one_vs_rest(linear.linear_svc(train.count(), SVC_C)).fit(ready)
         return linear.FittedModel("ovr", classes, fitted).predict(linear.dense_features(test, "embedding"))
 
-    return _checked(cross_predict(_embeddings(spark, sf), fit_predict))
+    return _checked(cross_predict(_embeddings(spark, sf), fit_predict)).drop("above_majority")
 
 
 @query("embedding_classifier", _embedding_folds_sql())
@@ -411,7 +414,7 @@ def embedding_classifier(spark, sf):
     def fit_predict(train, test):
         return linear.embedding_classifier(train).predict(linear.dense_features(test, "embedding"))
 
-    return _checked(cross_predict(_embeddings(spark, sf), fit_predict))
+    return _checked(cross_predict(_embeddings(spark, sf), fit_predict)).drop("above_majority")
 
 
 @query("save_model", _embedding_folds_sql())
@@ -426,7 +429,7 @@ def save_model(spark, sf):
         done = model.transform(linear.dense_features(test, "embedding"))
         return done.join(index.withColumnRenamed("label", "p"), F.col("prediction") == F.col("label_idx"))
 
-    return _checked(cross_predict(_embeddings(spark, sf), fit_predict))
+    return _checked(cross_predict(_embeddings(spark, sf), fit_predict)).drop("above_majority")
 
 
 @query("voting_fit", folds_sql())
