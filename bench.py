@@ -21,7 +21,7 @@ HEADLINE = (
     "select_k_best mean_word_vector encode_fixed_length pool_tokens stratified_kfold random_split "
     "cv_summary token_stats token_density monthly_counts naive_bayes_predict cross_validate "
     "temporal_validation few_shot_prompt chat_messages vectorizer_model report_tables "
-    "logistic_fit bow_logistic_fit linear_svc_fit embedding_classifier voting_fit stacking"
+    "logistic_fit bow_logistic_fit linear_svc_fit embedding_classifier voting_fit"
 ).split()
 
 
