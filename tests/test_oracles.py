@@ -13,7 +13,7 @@ def duck():
     return check.connect(SF)
 
 
-# Sixty fits, minutes even on the smallest tables; the ensemble itself is tested in test_terms_models.
+# Sixty fits, 201 s at sf0.01; the ensemble itself is tested in test_terms_models.
 LONG = {"stacking"}
 
 
