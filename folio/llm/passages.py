@@ -13,11 +13,11 @@ from folio.llm.tokens import WordHashes, groups, window_hash
 from folio.session import stage
 
 K = 8  # words of a seed
-SPACING = 14  # of this many k-mers in a row the one of smallest hash is a seed
+SPACING = 8  # of this many k-mers in a row the one of smallest hash is a seed
 MIN_WORDS = 50
 IDENTITY = 0.8
 GAP_COST = 0.05  # per word of either text between two seeds of a chain
-MARGIN = 32  # words looked at beyond both ends of a chain
+MARGIN = 50  # words looked at beyond both ends of a chain: a single seed at one end of a passage of MIN_WORDS reaches the other
 JOIN_GAP = 4  # passages this close in a document count as one when their length is judged
 BLOCK = 64  # words of a fetched piece of text
 FILTER_BITS = 26
@@ -180,7 +180,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Tabl
 
 
 def _chained(matches: DataFrame, k: int) -> DataFrame:
-    """``id, chain, other, xs, ys``: chains of at least two seeds."""
+    """``id, chain, other, xs, ys``: chains of one seed and more; their alignment decides what they are worth."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches, 0):
@@ -188,8 +188,8 @@ def _chained(matches: DataFrame, k: int) -> DataFrame:
             edges = np.r_[0, np.flatnonzero(other[1:] != other[:-1]) + 1, len(other)]
             rows = []
             for a, b in zip(edges, edges[1:]):
-                if b - a > 1:
-                    rows += [(int(other[a]), x[a:b][c], y[a:b][c]) for c in chains(x[a:b], y[a:b], k) if len(c) > 1]
+                found = chains(x[a:b], y[a:b], k) if b - a > 1 else [slice(None)]
+                rows += [(int(other[a]), x[a:b][c], y[a:b][c]) for c in found]
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [

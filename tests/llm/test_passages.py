@@ -93,3 +93,33 @@ def test_all_exact_passages_are_found_and_nothing_else(spark, docs):
         assert len(own[d] - may[d]) <= 0.2 * len(own[d])
         assert not own[d] or len(own[d]) >= 50
     assert sum(1 for d in own if own[d]) > 50 and all(words[d] for d in own if own[d])
+
+
+def test_passages_with_changed_words_are_found(spark):
+    """Planted passages of 80 to 95 % identity, which brute force along the planted diagonal confirms."""
+    rng = random.Random(17)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    rows, planted = [], {}
+    for length in (55, 80, 120):
+        for percent in (5, 10, 15, 20):
+            for _ in range(25):
+                source = text(length)
+                copy = list(source)
+                for i in rng.sample(range(length), length * percent // 100):
+                    copy[i] = "changed" + str(i)
+                assert sum(a == b for a, b in zip(source, copy)) >= 0.8 * length
+                d, at = len(rows), rng.randint(0, 80)
+                rows.append((d, " ".join(text(40) + source + text(40))))
+                rows.append((d + 1, " ".join(text(at) + copy + text(40))))
+                planted[d + 1] = (length, percent, at)
+    hit = {}
+    for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r["id"] in planted and r["other"] == r["id"] - 1 and r["identity"] >= 0.8
+        length, _, at = planted[r["id"]]
+        hit[r["id"]] = hit.get(r["id"], 0) + min(r["end"], at + length) - max(r["start"], at)
+    recall = {
+        (n, p): sum(hit.get(d, 0) >= 0.7 * n for d, c in planted.items() if c[:2] == (n, p)) / 25 for n in (55, 80, 120) for p in (5, 10, 15, 20)
+    }
+    print(recall)
+    assert recall[80, 10] >= 0.95 and recall[120, 15] >= 0.9 and recall[55, 10] >= 0.8, recall
