@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontamination, html_text, mixing, passages, quality, recurrent_lm, secret_scan, sharding, simhash, token_planes
+from folio.llm import decontamination, html_text, merkle, mixing, passages, quality, recurrent_lm, secret_scan, sharding, simhash, token_planes
 from folio.llm.common import table
 
 
@@ -136,6 +136,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_tamper(docs: DataFrame) -> F.Column:
+    """The text as tampered for the check: A-Z lower-cased where 3 divides crc32 of the decimal doc_id."""
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return F.when(chosen, merkle.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, op11_tamper(docs)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_planes": op2_token_planes,
@@ -147,5 +160,6 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_passages": op9_passages,
     "op10_secret_scan": op10_secret_scan,
+    "op11_merkle": op11_merkle,
 }
 ORACLES = {"op5_quality": OP5_SQL}
