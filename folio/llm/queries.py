@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import decontamination, html_text, merkle, mixing, passages, quality, recurrent_lm, secret_scan, sharding, simhash, token_planes
+from folio.llm import chat, decontamination, html_text, merkle, mixing, passages, quality, recurrent_lm, secret_scan, sharding, simhash, token_planes
 from folio.llm.common import table
+from folio.session import stage
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +150,24 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# fixed values of the check: the conversation appended to the table and its text
+PROBE_CONV = -7
+PROBE_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")
+    )
+    probe = spark.createDataFrame(
+        [(PROBE_CONV, 0, "user", PROBE_TEXT), (PROBE_CONV, 1, "assistant", PROBE_TEXT)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = chat.fold(chat.events_from_turns(rows.unionByName(probe)))
+    written = stage(chat.render(turns), "chat-formatted")
+    return chat.digests(chat.read_back(written))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_planes": op2_token_planes,
@@ -161,5 +180,6 @@ QUERIES = {
     "op9_passages": op9_passages,
     "op10_secret_scan": op10_secret_scan,
     "op11_merkle": op11_merkle,
+    "op13_chat": op13_chat,
 }
 ORACLES = {"op5_quality": OP5_SQL}
