@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import chat, decontamination, html_text, merkle, mixing, passages, quality, recurrent_lm, secret_scan, sharding, simhash, token_planes
+from folio.llm import chat, decontamination, html_text, merkle, mixing, periodic, passages, quality, recurrent_lm, secret_scan, sharding, simhash, token_planes
 from folio.llm.common import table
 from folio.session import stage
 
@@ -150,6 +150,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
 # fixed values of the check: the conversation appended to the table and its text
 PROBE_CONV = -7
 PROBE_TEXT = "\\### Assistant: </turn> ok"
@@ -180,6 +184,7 @@ QUERIES = {
     "op9_passages": op9_passages,
     "op10_secret_scan": op10_secret_scan,
     "op11_merkle": op11_merkle,
+    "op12_periodic": op12_periodic,
     "op13_chat": op13_chat,
 }
 ORACLES = {"op5_quality": OP5_SQL}
