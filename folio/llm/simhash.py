@@ -98,8 +98,8 @@ class _Forest:
 
 
 def _near(a: np.ndarray, b: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all pairs within ``max_bits``, a slice of ``a`` at a time."""
-    left, right = [], []
+    """Positions of all pairs within ``max_bits``, a slice of ``a`` at a time; none when either side is empty."""
+    left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     step = max(1, (1 << 21) // max(len(b), 1))
     for start in range(0, len(a), step):
         x, y = np.nonzero(_distance(a[start : start + step, None], b[None, :]) <= max_bits)
