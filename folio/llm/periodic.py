@@ -103,6 +103,8 @@ class _Doc:
         self.tried.add(q)
         need = max(MIN_LENGTH, 2 * q) - q
         eq = self.w[:-q] == self.w[q:]
+        if np.count_nonzero(eq) < need:
+            return
         factors = _prime_factors(q)
         for s, e in _stretches(eq, need):
             length = e - s + q
@@ -110,25 +112,34 @@ class _Doc:
                 self.runs.add((s, length, q))
 
 
-def _rolling(ids: np.ndarray, c: int, seed: int) -> np.ndarray:
-    """64-bit hash of every context of ``c`` words (a sum of word keys times powers of an odd base)."""
-    rng = np.random.default_rng(seed)
-    keys = rng.integers(1, 2**63, size=int(ids.max()) + 1, dtype=np.uint64) | np.uint64(1)
-    base = np.uint64(0x9E3779B97F4A7C15)
-    n = ids.size
-    powers = np.empty(n + 1, dtype=np.uint64)
-    powers[0] = 1
-    with np.errstate(over="ignore"):
-        powers[1:] = base
-        powers = np.cumprod(powers, dtype=np.uint64)
-        prefix = np.concatenate(([np.uint64(0)], np.cumsum(keys[ids] * powers[:n], dtype=np.uint64)))
-        inverse = np.uint64(pow(int(base), -1, 2**64))
-        inv_powers = np.empty(n + 1, dtype=np.uint64)
-        inv_powers[0] = 1
-        inv_powers[1:] = inverse
-        inv_powers = np.cumprod(inv_powers, dtype=np.uint64)
-        m = n - c + 1
-        return (prefix[c : c + m] - prefix[:m]) * inv_powers[:m]
+_BASE = 0x9E3779B97F4A7C15
+_KEYS = np.random.default_rng(20240601).integers(1, 2**63, size=1 << 16, dtype=np.uint64) | np.uint64(1)
+
+
+class _Hasher:
+    """Prefix sums of word keys times powers of an odd base, so the hash of every context of c words is one subtraction.
+
+    Word ids index a fixed table of random keys (modulo its size); equal hashes of unequal contexts only
+    propose periods that verification then rejects.
+    """
+
+    def __init__(self, ids: np.ndarray):
+        n = ids.size
+        with np.errstate(over="ignore"):
+            powers = np.full(n + 1, _BASE, dtype=np.uint64)
+            powers[0] = 1
+            powers = np.cumprod(powers, dtype=np.uint64)
+            inverse = np.full(n + 1, pow(_BASE, -1, 2**64), dtype=np.uint64)
+            inverse[0] = 1
+            self.inverse = np.cumprod(inverse, dtype=np.uint64)
+            keys = _KEYS[ids & (_KEYS.size - 1)]
+            self.prefix = np.concatenate(([np.uint64(0)], np.cumsum(keys * powers[:n], dtype=np.uint64)))
+        self.n = n
+
+    def contexts(self, c: int) -> np.ndarray:
+        m = self.n - c + 1
+        with np.errstate(over="ignore"):
+            return (self.prefix[c : c + m] - self.prefix[:m]) * self.inverse[:m]
 
 
 def _sliding(h: np.ndarray, c: int, op: np.ufunc, fill: int) -> np.ndarray:
@@ -173,7 +184,7 @@ def _pairs(positions: np.ndarray, keys: np.ndarray, low: int, high: int) -> set[
         same = k[step:] == k[:-step]
         d = p[step:] - p[:-step]
         good = same & (d >= low) & (d < high)
-        found.update(np.unique(d[good]).tolist())
+        found.update(d[good].tolist())
         if not same.any():
             break
     return found
@@ -200,10 +211,11 @@ def find_runs(ids: np.ndarray) -> list[tuple[int, int, int]]:
     for q in range(1, min(SMALL, n // 2) + 1):
         doc.verify(q)
     scale = SMALL
+    hasher = _Hasher(doc.w) if 2 * scale <= n else None
     while 2 * scale <= n and scale <= n // 2:
         c = max(scale // 4, 1)
         if n >= c + 1:
-            h = _rolling(doc.w, c, seed=scale)
+            h = hasher.contexts(c)
             # contexts inside a found run of period <= c/2 are highly periodic: left out
             reach = np.full(n + 1, -1, dtype=np.int64)
             for s, length, q in doc.runs:
@@ -238,10 +250,7 @@ def perturb(words: list[str], doc_id: int | None) -> list[str]:
 
 def describe(words: list[str]) -> tuple:
     """Summary row of a document's words: runs, the longest, digests of all runs and of the collapsed text."""
-    if words:
-        _, ids = np.unique(np.array(words, dtype=object), return_inverse=True)
-    else:
-        ids = np.zeros(0, dtype=np.int64)
+    ids = pd.factorize(pd.Series(words, dtype=object))[0].astype(np.int64) if words else np.zeros(0, dtype=np.int64)
     runs = find_runs(ids)
     listing = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
     dropped = np.zeros(len(words) + 1, dtype=np.int64)
@@ -249,7 +258,7 @@ def describe(words: list[str]) -> tuple:
         dropped[s + q] += 1
         dropped[s + length] -= 1
     keep = np.cumsum(dropped)[: len(words)] == 0
-    collapsed = " ".join(w for w, k in zip(words, keep) if k)
+    collapsed = " ".join(w for w, k in zip(words, keep) if k) if runs else " ".join(words)
     if runs:
         s, length, q = min(runs, key=lambda r: (-r[1], r[0], r[2]))
         top = (s, length, q, (1000 * length) // q)
