@@ -12,7 +12,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.config import META_C, STACKING_FOLDS
+from folio.config import CV_FOLDS, LR_C, META_C, SEED, STACKING_FOLDS
+from folio.models import batched
 from folio.functions.text import clean_tokens, vectorizer_terms
 from folio.models.linear import (
     BOW_LR,
@@ -31,6 +32,7 @@ from folio.models.naive_bayes import (
     predicted_class,
     softmax,
 )
+from folio.operators.ranking import hash_rank, seeded_digest
 from folio.operators.splits import stratified_kfold
 from folio.operators.terms import term_counts
 from folio.session import stage
@@ -160,3 +162,66 @@ def fit_stacking(
     )
     meta = logistic_regression(meta_rows.count(), c, max_iter=500).fit(meta_rows)
     return StackingModel(tuple(groups[k]), FittedModel("ensemble_stacking", tuple(classes), meta))
+
+
+# the three base learners of the stack and its meta learner, as in the reference's ensemble
+STACK_BASES = (
+    batched.Learner("tfidf_lr", "logistic", "tfidf", c=LR_C, max_n=2),
+    batched.Learner("bow_lr", "logistic", "counts", c=LR_C, max_n=2),
+    batched.Learner("bow_nb", "naive_bayes", "counts", max_n=1),
+)
+STACK_META = batched.Learner("ensemble_stacking", "logistic", "raw", c=META_C, max_n=1, max_iter=500)
+
+
+def stacking_out_of_fold(
+    rows: DataFrame, classes: Sequence[str], outer_k: int = CV_FOLDS, inner_k: int = STACKING_FOLDS, seed: int = SEED
+) -> DataFrame:
+    """``fold, id, y, p``: out-of-fold classes of the stacked ensemble, every outer fold fitted in the same passes.
+
+    ``rows`` has ``id, label, terms``. For outer fold o, the bases are fitted on the other outer folds without
+    inner fold i (training set ``o * (inner_k + 1) + i``) to give the meta rows of inner fold i their
+    probabilities, and on all other outer folds (set ``o * (inner_k + 1) + inner_k``) to score fold o. All
+    ``outer_k * (inner_k + 1) * 3`` base models share one count matrix and one pass per step; the ``outer_k``
+    meta regressions on the stacked probabilities too.
+    """
+    k = len(classes)
+    per = inner_k + 1
+    outer = stratified_kfold(rows.select("id", "label"), outer_k, seed=seed).withColumnRenamed("fold", "outer")
+    # inner folds of every outer training set, in one ranking: (id, o) for every o but the row's own
+    pairs = outer.select("id", "label", "outer", F.explode(F.filter(F.sequence(F.lit(0), F.lit(outer_k - 1)), lambda o: o != F.col("outer"))).alias("o"))
+    inner = hash_rank(pairs, ["o", "label"], seeded_digest(F.col("id"), seed), "__r").withColumn(
+        "inner", ((F.col("__r") - 1) % inner_k).cast("int")
+    )
+    own = F.concat(F.filter(F.sequence(F.lit(0), F.lit(inner_k - 1)), lambda i: i != F.col("inner")), F.array(F.lit(inner_k)))
+    memberships = inner.groupBy("id").agg(
+        F.flatten(F.collect_list(F.transform(own, lambda i: F.col("o") * per + i))).alias("sets"),
+        F.collect_list(F.col("o") * per + F.col("inner")).alias("held"),
+    )
+    labelled = rows.join(outer.select("id", "outer"), "id").join(memberships, "id", "left")
+    ready = labelled.select(
+        "id",
+        label_position(F.col("label"), classes).cast("int").alias("label_idx"),
+        F.coalesce("sets", F.array().cast("array<int>")).alias("sets"),
+        F.concat(F.coalesce("held", F.array().cast("array<int>")), F.array(F.col("outer") * per + inner_k)).alias("scored"),
+        "terms",
+        "outer",
+    )
+    matrix = batched.build_matrix(ready.drop("outer"), STACK_BASES, k)
+    bases = batched.fit(matrix, STACK_BASES)
+    scores = stage(batched.predict(bases), "stacking-base-scores")
+    # meta rows: per (document, outer fold o) the base probabilities of the set that held the row out
+    meta = scores.groupBy("id", (F.col("set") / per).cast("int").alias("o")).agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("learner", "scores"))), lambda x: x["scores"])).alias("x")
+    )
+    meta = meta.join(ready.select("id", "label_idx", "outer"), "id").select(
+        "id",
+        "label_idx",
+        F.when(F.col("o") != F.col("outer"), F.array("o")).otherwise(F.array().cast("array<int>")).alias("sets"),
+        F.when(F.col("o") == F.col("outer"), F.array("o")).otherwise(F.array().cast("array<int>")).alias("scored"),
+        "x",
+    )
+    stacked = batched.fit(batched.dense_matrix(meta, len(STACK_BASES) * k, k), [STACK_META])
+    final = batched.predict(stacked)
+    return final.join(labelled.select("id", "label", "outer"), "id").select(
+        F.col("outer").alias("fold"), "id", F.col("label").alias("y"), predicted_class(F.col("scores"), classes).alias("p")
+    )

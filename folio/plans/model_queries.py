@@ -445,13 +445,9 @@ def voting(spark, sf):
 
 @query("stacking", folds_sql())
 def stacking(spark, sf):
-    """Out-of-fold predictions of the stacked ensemble."""
-
-    def fit_predict(train, test):
-        model = ensembles.fit_stacking(train, class_list(train))
-        return test.select("id", "label").join(model.predict(test), "id")
-
-    return _checked(cross_predict(_staged_terms(spark, sf), fit_predict))
+    """Out-of-fold predictions of the stacked ensemble: every base and meta model of every fold in shared passes."""
+    rows = _staged_terms(spark, sf)
+    return _checked(ensembles.stacking_out_of_fold(rows, class_list(rows)))
 
 
 _EXAMPLES_SQL = """ranked AS (
