@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.config import CV_FOLDS, LR_C, META_C, SEED, STACKING_FOLDS
+from folio.config import CV_FOLDS, LR_C, META_C, SEED, STACKING_FOLDS, SVC_C
 from folio.models import batched
 from folio.functions.text import clean_tokens, vectorizer_terms
 from folio.models.linear import (
@@ -225,3 +225,40 @@ def stacking_out_of_fold(
     return final.join(labelled.select("id", "label", "outer"), "id").select(
         F.col("outer").alias("fold"), "id", F.col("label").alias("y"), predicted_class(F.col("scores"), classes).alias("p")
     )
+
+
+# the reference's single text classifiers, for the batched solver
+TFIDF_LR_LEARNER = batched.Learner("tfidf_lr", "logistic", "tfidf", c=LR_C, max_n=2)
+BOW_LR_LEARNER = batched.Learner("bow_lr", "logistic", "counts", c=LR_C, max_n=2)
+TFIDF_SVC_LEARNER = batched.Learner("tfidf_svc", "squared_hinge", "tfidf", c=SVC_C, max_n=2)
+
+
+def batched_out_of_fold(
+    rows: DataFrame, classes: Sequence[str], learners: Sequence[batched.Learner], k: int = CV_FOLDS, seed: int = SEED
+) -> DataFrame:
+    """``fold, id, y, learner, scores``: every learner fitted on every fold's training rows in shared passes.
+
+    ``rows`` has ``id, label, terms``; fold f's models are fitted on the other folds and score fold f.
+    """
+    folds = stratified_kfold(rows.select("id", "label"), k, seed=seed)
+    ready = rows.join(folds.select("id", "fold"), "id").select(
+        "id",
+        label_position(F.col("label"), classes).cast("int").alias("label_idx"),
+        F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != F.col("fold")).alias("sets"),
+        F.array("fold").alias("scored"),
+        "terms",
+    )
+    fitted = batched.fit(batched.build_matrix(ready, learners, len(classes)), learners)
+    names = F.lit([learner.name for learner in learners])
+    return batched.predict(fitted).join(rows.select("id", "label"), "id").select(
+        F.col("set").alias("fold"), "id", F.col("label").alias("y"), F.get(names, F.col("learner")).alias("learner"), "scores"
+    )
+
+
+def batched_predictions(rows: DataFrame, classes: Sequence[str], learners: Sequence[batched.Learner]) -> DataFrame:
+    """``fold, id, y, p``: the class of the mean of the learners' scores (one learner: its own class)."""
+    scored = batched_out_of_fold(rows, classes, learners)
+    mean = scored.groupBy("fold", "id", "y").agg(
+        F.array(*[F.avg(F.get("scores", F.lit(i))) for i in range(len(classes))]).alias("scores")
+    )
+    return mean.select("fold", "id", "y", predicted_class(F.col("scores"), classes).alias("p"))

@@ -301,26 +301,31 @@ def folds_sql(table="documents", key="doc_id", label="lang", more=", true AS abo
 FROM {table}"""
 
 
+def _batched(spark, sf, *learners):
+    rows = _staged_terms(spark, sf)
+    return _checked(ensembles.batched_predictions(rows, class_list(rows), learners))
+
+
 def _spec_predict(spec):
     return lambda train, test: linear.fit_text_model(spec, train, class_list(train)).predict(test)
 
 
 @query("logistic_fit", folds_sql())
 def logistic(spark, sf):
-    """Out-of-fold predictions of TF-IDF logistic regression, all documents and folds."""
-    return _checked(cross_predict(_staged_terms(spark, sf), _spec_predict(linear.TFIDF_LR)))
+    """Out-of-fold predictions of TF-IDF logistic regression, all documents and folds, fitted together."""
+    return _batched(spark, sf, ensembles.TFIDF_LR_LEARNER)
 
 
 @query("bow_logistic_fit", folds_sql())
 def bow_logistic(spark, sf):
-    """Out-of-fold predictions of logistic regression on counts."""
-    return _checked(cross_predict(_staged_terms(spark, sf), _spec_predict(linear.BOW_LR)))
+    """Out-of-fold predictions of logistic regression on counts, all folds fitted together."""
+    return _batched(spark, sf, ensembles.BOW_LR_LEARNER)
 
 
 @query("linear_svc_fit", folds_sql())
 def linear_svc(spark, sf):
-    """Out-of-fold predictions of the one-vs-rest linear SVM on TF-IDF."""
-    return _checked(cross_predict(_staged_terms(spark, sf), _spec_predict(linear.TFIDF_SVC)))
+    """Out-of-fold predictions of the one-vs-rest linear SVM (squared hinge) on TF-IDF, all folds fitted together."""
+    return _batched(spark, sf, ensembles.TFIDF_SVC_LEARNER)
 
 
 @query("coefficient_features")
@@ -434,13 +439,8 @@ def save_model(spark, sf):
 
 @query("voting_fit", folds_sql())
 def voting(spark, sf):
-    """Out-of-fold predictions of the soft vote of two logistic regressions."""
-
-    def fit_predict(train, test):
-        model = ensembles.fit_voting(train, class_list(train))
-        return test.select("id", "label").join(model.predict(test).select("id", "p"), "id")
-
-    return _checked(cross_predict(_staged_terms(spark, sf), fit_predict))
+    """Out-of-fold predictions of the soft vote of two logistic regressions, both fitted on all folds together."""
+    return _batched(spark, sf, ensembles.TFIDF_LR_LEARNER, ensembles.BOW_LR_LEARNER)
 
 
 @query("stacking", folds_sql())
