@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from threading import Lock
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import CountVectorizerModel
@@ -219,7 +218,7 @@ def coefficient_weights(spark: SparkSession, model: FittedModel) -> DataFrame:
         columns = np.stack([m.coefficients.toArray() for m in fitted.models], 1)
     else:
         columns = fitted.coefficientMatrix.toArray().T
-    rows = spark.createDataFrame(pd.DataFrame({"term": terms, "weights": list(columns)}), "term string, weights array<double>")
+    rows = spark.createDataFrame(list(zip(terms, columns.tolist())), "term string, weights array<double>")
     names = F.lit(list(model.classes))
     return rows.select("term", F.posexplode("weights").alias("c", "weight")).select(F.get(names, F.col("c")).alias("label"), "term", "weight")
 
