@@ -33,8 +33,22 @@ ALLOWED = (
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
     r"(?i)0123456789|abcdefghij|qwertyuiop|example|placeholder|changeme|dummy|xxxxxx",
     r"(.)\1{5}",
-    r"^/?(?:[A-Za-z0-9]{1,14}[/_-]){2,}[A-Za-z0-9]{0,14}$",
 )
+
+
+def path_like(hit: Column) -> Column:
+    """Paths and dashed words: after an optional ``/``, runs of 1 to 14 letters or digits joined by single ``/``, ``_`` or
+    ``-``, at least two joins. Stated as conditions without a repeated group, which Java's regular expressions
+    would follow by recursion, one level a segment, and overflow on a long path."""
+    rest = F.regexp_replace(hit, r"^/", "")
+    return (
+        hit.rlike(r"^/?[A-Za-z0-9][A-Za-z0-9/_-]*$")
+        & ~hit.rlike(r"[/_-][/_-]")
+        & ~hit.rlike(r"[A-Za-z0-9]{15}")
+        & (F.regexp_count(rest, F.lit(r"[/_-]")) >= 2)
+    )
+
+
 ALLOWED_CONTEXT = r"(?i)(?:md5|sha-?\d*|crc\d*|checksum|digest|integrity|commit|uuid)[\x22':=\s-]{0,4}$"
 CONTEXT = 24
 
@@ -115,7 +129,7 @@ def entropy_spans(text: Column) -> Column:
     """``start, end, kind`` of candidates with a window of high entropy that no allow-list rule clears."""
     kept = F.filter(
         located(text, CANDIDATE),
-        lambda c: ~reduce(or_, [c["hit"].rlike(rule) for rule in ALLOWED])
+        lambda c: ~(reduce(or_, [c["hit"].rlike(rule) for rule in ALLOWED]) | path_like(c["hit"]))
         & ~F.substring(
             text, F.greatest(c["start"] - CONTEXT, F.lit(0)) + 1, F.least(c["start"], F.lit(CONTEXT))
         ).rlike(ALLOWED_CONTEXT),

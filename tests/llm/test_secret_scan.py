@@ -78,3 +78,14 @@ def test_entropy_adds_and_the_allow_list_suppresses(spark):
     assert got[0]["spans"] == f"entropy_mixed:6:{6 + len(MIXED)}"
     assert got[4]["spans"].startswith("assign:0:") and "entropy" not in got[4]["spans"]
     assert all(got[i]["spans"] == "" for i in (1, 2, 3, 5, 6, 7))
+
+
+def test_path_rule_equals_its_pattern_and_survives_long_paths(spark):
+    """The flat path conditions allow exactly what the one-line pattern allows, and a 1 MB path does not overflow."""
+    pattern = re.compile(r"^/?(?:[A-Za-z0-9]{1,14}[/_-]){2,}[A-Za-z0-9]{0,14}$")
+    rnd = random.Random(4)
+    hits = ["ab1/" * 2000, "ab1/" * 250_000, "/a/b", "a/b", "a/b/", "/a/b/c", "//a/b", "a//b/c", "x" * 15 + "/a/b", "-a/b/c", "a_b-c", "a/b/" + "c" * 14]
+    hits += ["".join(rnd.choice("ab1/_-") for _ in range(rnd.randint(1, 40))) for _ in range(400)]
+    got = spark.createDataFrame([(h,) for h in hits], "hit string").select(secret_scan.path_like(F.col("hit")).alias("p")).collect()
+    assert [r["p"] for r in got] == [bool(pattern.match(h)) for h in hits]
+    assert scan(spark, ["key ab1/" * 1 + "ab1/" * 250_000]) is not None
