@@ -139,6 +139,21 @@ def auc_hard(predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def auc_binary(decisions: DataFrame, classes: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Per class the ROC area of independent 0/1 decisions (one binary machine per class), (1 + TPR - FPR) / 2.
+
+    ``decisions`` has ``y`` and ``decided``, an array of 0/1 in class order: a row may be given no class or several.
+    A class without positive or without negative rows in a group has a null area.
+    """
+    rows = decisions.select(*keys, "y", F.posexplode("decided").alias("c", "d"))
+    rows = rows.withColumn("class", F.get(F.lit(list(classes)), F.col("c"))).withColumn("pos", F.col("y") == F.col("class"))
+    rates = rows.groupBy(*keys, "class").agg(
+        F.try_divide(F.sum(F.when(F.col("pos"), F.col("d"))), F.count_if(F.col("pos"))).alias("tpr"),
+        F.try_divide(F.sum(F.when(~F.col("pos"), F.col("d"))), F.count_if(~F.col("pos"))).alias("fpr"),
+    )
+    return rates.select(*keys, "class", ((1 + F.col("tpr") - F.col("fpr")) / 2).alias("auc"))
+
+
 def mean_fold_accuracy(predictions: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
     return accuracy(predictions, [*keys, "fold"]).groupBy(*keys).agg(F.avg("accuracy").alias("mean_accuracy"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.config import CV_FOLDS, K_BEST, SVC_C
-from folio.evaluation.metrics import auc_hard, cv_summary
+from folio.evaluation.metrics import auc_binary, cv_summary
 from folio.evaluation.reports import report_lines
 from folio.evaluation.validation import cross_predict, temporal_validation
 from folio.functions import prompts
@@ -363,8 +363,14 @@ def _chi2_svc_predictions(spark, sf):
         ready = linear.sparse_rows(folds, rows.select("id", "term", "n"), columns, K_BEST)
         ready = ready.withColumn("label_idx", linear.label_position(F.col("label"), CLASSES))
         fitted = linear.one_vs_rest(linear.linear_svc(train.count(), SVC_C)).fit(ready.filter(F.col("fold") != fold))
-        done = linear.FittedModel("svc_chi2", CLASSES, fitted).predict(ready.filter(F.col("fold") == fold))
-        return done.select("fold", "id", F.col("label").alias("y"), "p")
+        test = ready.filter(F.col("fold") == fold)
+        done = linear.FittedModel("svc_chi2", CLASSES, fitted).predict(test)
+        # every class's own machine decides on its own, as a one-vs-rest classifier on one-hot targets does
+        for c, machine in enumerate(fitted.models):
+            decided = machine.transform(test.select("id", "features")).select("id", F.col("prediction").cast("int").alias(f"__d{c}"))
+            done = done.join(decided, "id")
+        decisions = F.array(*[F.col(f"__d{c}") for c in range(len(fitted.models))]).alias("decided")
+        return done.select("fold", "id", F.col("label").alias("y"), "p", decisions)
 
     parts = ensembles.fit_together(spark, [lambda f=fold: run(f) for fold in range(CV_FOLDS)])
     return stage(reduce(DataFrame.unionByName, parts), "chi2-predictions")
@@ -377,10 +383,10 @@ def chi2_svc(spark, sf):
 
 @query("legacy_fold_scores")
 def legacy_fold_scores(spark, sf):
-    """Accuracy of every fold of the older pipeline, and the AUC of each class from hard predictions."""
+    """Accuracy of every fold of the older pipeline, and the AUC of each class from its machine's own 0/1 decisions."""
     scored = _chi2_svc_predictions(spark, sf)
     accuracy = scored.groupBy("fold").agg(F.avg((F.col("y") == F.col("p")).cast("double")).alias("accuracy"))
-    return auc_hard(scored, ["fold"]).join(accuracy, "fold").select("fold", "class", "accuracy", "auc")
+    return auc_binary(scored, CLASSES, ["fold"]).join(accuracy, "fold").select("fold", "class", "accuracy", "auc")
 
 
 @query("legacy_confusion")

@@ -130,3 +130,27 @@ def test_density_integrates_to_one(spark):
 def test_date_range_without_dates(spark):
     df = spark.createDataFrame([("a", None)], "category string, date timestamp_ntz")
     assert {tuple(r) for r in descriptive.date_range(df).collect()} == {("a", "?", "?"), ("*", "?", "?")}
+
+
+def test_auc_of_independent_decisions(spark):
+    """One machine per class: rows with no class or two; brute force by the ROC curve of 0/1 scores."""
+    import random
+
+    classes = ["a", "b", "c"]
+    rnd = random.Random(2)
+    rows = [(rnd.choice([0, 1]), rnd.choice(classes), [rnd.randint(0, 1) for _ in classes]) for _ in range(300)]
+    rows += [(0, "a", [0, 0, 0]), (0, "b", [1, 1, 0]), (1, "c", [0, 0, 0])]
+    df = spark.createDataFrame(rows, "fold int, y string, decided array<int>")
+    got = {(r["fold"], r["class"]): r["auc"] for r in metrics.auc_binary(df, classes, ["fold"]).collect()}
+
+    def roc_area(truth, score):
+        pos = [s for t, s in zip(truth, score) if t]
+        neg = [s for t, s in zip(truth, score) if not t]
+        # probability that a positive outranks a negative, ties counted half: the area under the ROC curve
+        return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+
+    for fold in (0, 1):
+        part = [r for r in rows if r[0] == fold]
+        for c, name in enumerate(classes):
+            want = roc_area([r[1] == name for r in part], [r[2][c] for r in part])
+            assert abs(got[(fold, name)] - want) < 1e-12
