@@ -70,20 +70,28 @@ class Matrix:
     width: np.ndarray  # (spaces,) vocabulary sizes
     n_rows: dict[int, int]  # training rows of every set
     k: int
-    _kept: object = None
+    _kept: tuple | None = None
 
-    def bundles(self):
+    def bundles(self, needed: frozenset = frozenset()):
         """The rows as per-partition arrays, persisted (memory, then disk) for the passes of the solver.
 
-        A lost executor's blocks are rebuilt from the staged table they come from.
+        ``needed`` lists the (space, weighting) pairs whose weighted columns are computed once here, not at every
+        pass. A lost executor's blocks are rebuilt from the staged table they come from.
         """
-        if self._kept is None:
+        if self._kept is None or self._kept[0] != needed:
             from pyspark import StorageLevel
 
-            self._kept = self.rows.select("label_idx", "sets", "g", "n").rdd.mapPartitions(_bundle).persist(
-                StorageLevel.MEMORY_AND_DISK
+            if self._kept is not None:
+                self._kept[1].unpersist()
+            parts = self.rows.sparkSession.sparkContext.broadcast((self.local, self.idf))
+            kept = (
+                self.rows.select("label_idx", "sets", "g", "n")
+                .rdd.mapPartitions(_bundle)
+                .map(lambda bundle: _prepare(bundle, needed, *parts.value))
+                .persist(StorageLevel.MEMORY_AND_DISK)
             )
-        return self._kept
+            self._kept = (needed, kept)
+        return self._kept[1]
 
 
 def _vocabularies(postings: DataFrame, n_docs: DataFrame, min_df: int, max_df: float, max_features: int) -> DataFrame:
@@ -249,6 +257,13 @@ def _bundle(rows) -> list[dict]:
     ]
 
 
+def _prepare(bundle: dict, needed, local, idf) -> dict:
+    """Adds the weighted columns of every needed (space, weighting): row, column and value of each known entry."""
+    rows = np.ones(bundle["rows"], dtype=bool)
+    prepared = {key: _features(bundle["entries"], rows, key[0], key[1], local, idf) for key in needed}
+    return {**bundle, "prepared": prepared}
+
+
 def _partial(bundle: dict, jobs, matrix_parts, learners) -> dict[int, np.ndarray]:
     """Per job (model, set, space, learner, params): summed loss and gradient over one partition's rows."""
     local, idf, width, k = matrix_parts
@@ -259,7 +274,13 @@ def _partial(bundle: dict, jobs, matrix_parts, learners) -> dict[int, np.ndarray
         mask[bundle["set_row"][bundle["sets"] == set_id]] = True
         if not mask.any():
             continue
-        row, j, v = _features(bundle["entries"], mask, space, learner.weighting, local, idf)
+        prepared = bundle.get("prepared", {}).get((space, learner.weighting))
+        if prepared is None:
+            row, j, v = _features(bundle["entries"], mask, space, learner.weighting, local, idf)
+        else:
+            all_rows, all_j, all_v = prepared
+            keep = mask[all_rows]
+            row, j, v = (np.cumsum(mask) - 1)[all_rows[keep]], all_j[keep], all_v[keep]
         loss, grad = _loss_grad(learner, row, j, v, bundle["labels"][mask], int(width[space]), k, params)
         totals[model] = np.concatenate([[loss], grad])
     return totals
@@ -279,7 +300,7 @@ def _evaluate(matrix: Matrix, learners: Sequence[Learner], jobs) -> dict[int, tu
     shipped = sc.broadcast(jobs)
     learner_list = list(learners)
     try:
-        sums = matrix.bundles().treeAggregate(
+        sums = matrix.bundles(matrix._kept[0] if matrix._kept else frozenset()).treeAggregate(
             {}, lambda acc, bundle: _merge(acc, _partial(bundle, shipped.value, parts.value, learner_list)), _merge, depth=2
         )
     finally:
@@ -366,6 +387,11 @@ def fit(matrix: Matrix, learners: Sequence[Learner], tol: float = TOL) -> Fitted
             b = np.log(np.maximum(classes, 1e-300) / max(classes.sum(), 1.0))
             params[(s, li)] = np.concatenate([w.ravel(), b])
     # the others: one L-BFGS per model, every step's points evaluated together
+    needed = frozenset(
+        (sp, learners[li].weighting) for s, li, sp in models if learners[li].loss != "naive_bayes"
+    )
+    if needed:
+        matrix.bundles(needed)
     solvers, pending, shape = {}, {}, {}
     for m, (s, li, sp) in enumerate(models):
         learner = learners[li]
