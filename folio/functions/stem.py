@@ -1,14 +1,22 @@
-"""Spanish Snowball stemming as a column expression.
+"""Spanish Snowball stemming, as a column expression and for whole token arrays.
 
 The published algorithm (snowballstem.org) in terms of regular expressions: the
 regions are suffix positions found by a pattern, each step removes the longest
-listed ending that lies inside its region. No Python runs per word.
+listed ending that lies inside its region. ``stem_es`` runs no Python and suits
+columns of distinct words. The tokens of running text repeat, so ``stem_tokens``
+takes them by Arrow batches and works out each distinct word of a batch once.
 """
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.functions.arrays import let
 
@@ -185,3 +193,135 @@ def stem_es(token: Column) -> Column:
         return let(sizes, steps)
 
     return F.translate(let(F.lower(token), with_regions), "áéíóú", "aeiou")
+
+
+# ---------------------------------------------------------------- the same steps on one Python string
+
+CACHED_WORDS = 1 << 18  # stems a Python worker remembers
+
+
+def _pattern_size(pattern: str):
+    found = re.compile(f"(?:{pattern})(.*)$")
+
+    def size(word: str) -> int:
+        match = found.match(word)
+        return len(match[1]) if match else 0
+
+    return size
+
+
+def _longest(endings: str):
+    by_size = sorted(set(endings.split()), key=len, reverse=True)
+    listed, sizes = frozenset(by_size), sorted({len(e) for e in by_size}, reverse=True)
+    return lambda word: next((word[-n:] for n in sizes if n <= len(word) and word[-n:] in listed), "")
+
+
+_SIZES = tuple(_pattern_size(p) for p in (_R1, _R2, _RV))
+_PRONOUN = _longest(PRONOUNS)
+_ACCENTED_FORM = re.compile(rf"^.*?(iéndo|ándo|ár|ér|ír)(?:{_any(PRONOUNS)})$")
+_PLAIN_FORM = re.compile(rf"^.*?(ando|iendo|ar|er|ir)(?:{_any(PRONOUNS)})$")
+_U_FORM = re.compile(rf"^.*?u(yendo)(?:{_any(PRONOUNS)})$")
+_SUFFIX = _longest(
+    " ".join(
+        [STANDARD, WITH_IC, "logía logías ución uciones encia encias"]
+        + ["amente mente idad idades iva ivo ivas ivos"]
+    )
+)
+_IC, _YVERB, _VERB, _RESIDUE = frozenset(WITH_IC.split()), _longest(Y_VERBS), _longest(f"{VERBS} {GU_VERBS}"), _longest(RESIDUAL)
+_PLAIN_VOWELS = str.maketrans("áéíóú", "aeiou")
+
+
+def _short(word: str, n: int) -> str:
+    return word[: max(len(word) - n, 0)]
+
+
+def _pronoun_step(word: str, rv: int) -> str:
+    found = _PRONOUN(word)
+    bare = _short(word, len(found))
+    accented, plain, after_u = ((m[1] if (m := form.match(word)) else "") for form in (_ACCENTED_FORM, _PLAIN_FORM, _U_FORM))
+    if accented and len(accented) + len(found) <= rv:
+        return _short(bare, len(accented)) + accented.translate(_PLAIN_VOWELS)
+    if any(part and len(part) + len(found) <= rv for part in (plain, after_u)):
+        return bare
+    return word
+
+
+def _suffix_step(word: str, r1: int, r2: int) -> str:
+    found = _SUFFIX(word)
+    size = len(found)
+    bare = _short(word, size)
+
+    def then_drop(*endings: str) -> str:
+        second = max((e for e in endings if bare.endswith(e)), key=len, default="")
+        return _short(bare, len(second)) if second and size + len(second) <= r2 else bare
+
+    if not found:
+        return word
+    if found == "amente":
+        if size > r1:
+            return word
+        if bare.endswith("iv") and size + 2 <= r2:
+            return _short(bare, 4 if bare.endswith("ativ") and size + 4 <= r2 else 2)
+        return then_drop("os", "ic", "ad")
+    if size > r2:
+        return word
+    if found in _IC:
+        return then_drop("ic")
+    if found in ("logía", "logías"):
+        return bare + "log"
+    if found in ("ución", "uciones"):
+        return bare + "u"
+    if found in ("encia", "encias"):
+        return bare + "ente"
+    if found == "mente":
+        return then_drop("ante", "able", "ible")
+    if found in ("idad", "idades"):
+        return then_drop("abil", "ic", "iv")
+    if found in ("iva", "ivo", "ivas", "ivos"):
+        return then_drop("at")
+    return bare
+
+
+def _verb_step(word: str, rv: int) -> str:
+    region = word[-rv:] if rv > 0 else ""
+    y_end, verb = _YVERB(region), _VERB(region)
+    y_cut, cut = _short(word, len(y_end)), _short(word, len(verb))
+    if y_end and y_cut.endswith("u"):
+        return y_cut
+    if not verb:
+        return word
+    return _short(cut, 1) if verb in GU_VERBS.split() and cut.endswith("gu") else cut
+
+
+def _residual_step(word: str, rv: int) -> str:
+    region = word[-rv:] if rv > 0 else ""
+    ending, bare = _RESIDUE(region), _short(word, 1)
+    if ending:
+        return _short(word, len(ending))
+    if region.endswith(("e", "é")):
+        return _short(bare, 1) if bare.endswith("gu") and rv >= 2 else bare
+    return word
+
+
+@lru_cache(CACHED_WORDS)
+def stem_word(token: str) -> str:
+    """Stem of one Spanish word; what ``stem_es`` gives."""
+    word = token.lower()
+    r1, r2, rv = (size(word) for size in _SIZES)
+
+    def left_in(region: int, current: str) -> int:
+        return max(region - (len(word) - len(current)), 0)
+
+    w0 = _pronoun_step(word, rv)
+    w1 = _suffix_step(w0, left_in(r1, w0), left_in(r2, w0))
+    w2 = w1 if w1 != w0 else _verb_step(w0, left_in(rv, w0))
+    return _residual_step(w2, left_in(rv, w2)).translate(_PLAIN_VOWELS)
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def stem_tokens(tokens: pa.Array) -> pa.Array:
+    """Stems of an array of tokens."""
+    words = tokens.flatten().dictionary_encode()
+    stems = pa.array([None if w is None else stem_word(w) for w in words.dictionary.to_pylist()], pa.string())
+    offsets = pc.cumulative_sum(pa.concat_arrays([pa.array([0], pa.int32()), tokens.value_lengths().fill_null(0)]))
+    return pa.ListArray.from_arrays(offsets, stems.take(words.indices), mask=tokens.is_null() if tokens.null_count else None)

@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.functions.stem import stem_es
+from folio.functions.stem import stem_tokens
 from folio.functions.stopwords import STOPWORDS_ES
 
 TAG_PATTERN = r"<[^>]+>"
@@ -177,7 +177,7 @@ def clean_tokens(
     if stopwords:
         tokens = drop_stopwords(tokens, stopwords)
     if stem:
-        tokens = F.transform(tokens, stem_es)
+        tokens = stem_tokens(tokens)
     return tokens
 
 

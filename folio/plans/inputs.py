@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.config import LEGACY_MAX_DF
-from folio.functions.stem import stem_es
+from folio.functions.stem import stem_tokens
 from folio.functions.stopwords import STOPWORDS_ES, STOPWORDS_ES_PLAIN
 from folio.functions.text import (
     LEGACY_TOKEN,
@@ -106,7 +106,7 @@ def legacy_bags(spark: SparkSession, sf: str, stem: bool = False) -> DataFrame:
     """Staged ``id, label, bag`` of the older vectoriser: accents off, its own token pattern, accent-free stopwords, one- and two-word terms."""
     tokens = tokenize_regex(remove_accents(F.lower(F.col("text"))))
     if stem:
-        tokens = F.transform(tokens, stem_es)
+        tokens = stem_tokens(tokens)
     tokens = drop_stopwords(tokens, STOPWORDS_ES_PLAIN)
     docs = documents(spark, sf).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), "text")
     return stage(term_bags(docs, tokens, ("id", "label"), ngram_range=(1, 2)), "legacy-bags")
