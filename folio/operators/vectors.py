@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.config import EMBED_BATCH
+from folio.session import stage
 
 
 def _dense(vec: Column) -> Column:
@@ -41,21 +42,25 @@ def mean_word_vector(
 
     ``docs`` has ``id`` (and ``text`` for ``denominator="chars"``, which divides the sum
     by the text length instead of the matched tokens).
+
+    The table of words is staged, so its measured size decides the join: one that fits the tasks' memory is sent there and
+    the postings stay where they are. The sums are plain columns, which add up to one row per document in the task that reads
+    its postings; of the texts only their lengths are shuffled.
     """
-    table = words.select(F.col("word").alias("term"), "vec")
+    table = stage(words.select(F.col("word").alias("term"), F.col("vec").cast("array<double>").alias("vec")), "word-vectors")
     matched = postings.join(table, "term")
-    means = matched.groupBy("id").agg(
-        vector_to_array(Summarizer.mean(_dense(F.col("vec")), F.col("n").cast("double"))).alias("vec"),
+    sums = matched.groupBy("id").agg(
         F.sum("n").alias("__matched"),
+        *[F.sum(F.col("n") * F.get("vec", F.lit(i))).alias(f"__s{i}") for i in range(dim)],
     )
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    joined = docs.join(means, "id", "left")
     if denominator == "chars":
-        scale = F.col("__matched") / F.length("text")
-        value = F.transform("vec", lambda x: x * scale)
+        joined = docs.select("id", F.length("text").alias("__chars")).join(sums, "id", "left")
+        scale = F.col("__chars")
     else:
-        value = F.col("vec")
-    return joined.select("id", F.coalesce(value, zeros).alias("vec"))
+        joined, scale = docs.select("id").join(sums, "id", "left"), F.col("__matched")
+    means = F.array(*[F.try_divide(F.col(f"__s{i}"), scale) for i in range(dim)])
+    vec = F.when(F.col("__matched").isNotNull(), means).otherwise(F.array_repeat(F.lit(0.0), dim))
+    return joined.select("id", vec.alias("vec"))
 
 
 def concat_layers(hidden: DataFrame, keys: Sequence[str] = ("doc", "pos"), layers: Sequence[int] = (12, 11, 10, 9)) -> DataFrame:
