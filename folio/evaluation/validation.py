@@ -49,12 +49,17 @@ def temporal_validation(
 
 
 def cross_predict(df: DataFrame, fit_predict: FitPredict, k: int = CV_FOLDS) -> DataFrame:
-    """Out-of-fold predictions ``fold, id, y, p`` by fitting once per fold, several folds at a time."""
+    """Out-of-fold predictions ``fold, id, y, p`` by fitting once per fold, several folds at a time.
+
+    The training rows come in one partition per core: every pass of an optimiser sends a result per partition to the
+    driver, so their number must not grow with the rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
     folds = stratified_kfold(df.select("id", "label"), k).select("id", "fold")
     folded = stage(df.join(folds, "id"), "cv-folds")
 
     def run(fold: int) -> DataFrame:
-        train = folded.filter(F.col("fold") != fold).drop("fold")
+        train = folded.filter(F.col("fold") != fold).drop("fold").coalesce(cores)
         test = folded.filter(F.col("fold") == fold).drop("fold")
         return fit_predict(train, test).select(F.lit(fold).alias("fold"), "id", F.col("label").alias("y"), "p")
 
