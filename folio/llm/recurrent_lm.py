@@ -31,10 +31,9 @@ ROUNDS = 2
 # Gradients, like all counts, come from every training document, each read once: a round takes one of ROUNDS disjoint
 # parts. A larger number leaves that share of the documents out of the gradients.
 GRADIENT_SHARE = 1
-# Words counted in place and not by a shuffle: the most frequent of a sample. They only choose the way a word is
-# counted, never its count.
+# Words counted in place and not by a shuffle: the most frequent of all training documents. The network's own words are
+# the first of them.
 FREQUENT = 128_000
-SAMPLE_ROWS = 8000
 CACHE_WORDS = 200_000
 GROUP_BYTES = 6 << 20
 
@@ -248,21 +247,20 @@ class Gru:
         return totals
 
 
-def _frequent(rows: DataFrame, sample_rows: int, size: int) -> list[bytes]:
-    """Most frequent words of a bounded sample, drawn by a hash of the text; words as they are counted."""
-    total = rows.count()
-    draw = F.pmod(F.xxhash64("text", F.lit("lm")), F.lit(1 << 20)) < (sample_rows << 20) // max(total, sample_rows)
+def _frequent(rows: DataFrame, size: int) -> list[bytes]:
+    """Most frequent words of all training rows, by their exact counts; equal counts in word order."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[bytes, int] = {}
-            for value in batch.column(0):
-                for word in value.as_py().encode().lower().split():
-                    if len(word) <= 64:
-                        seen[word] = seen.get(word, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-
-    counted = rows.where(draw & ~F.col("held_out")).select("text").mapInArrow(split, "word binary, n long")
+            for start, stop in text_groups(batch.column(0)):
+                texts = batch.column(0)[start:stop]
+                words = pc.ascii_split_whitespace(pc.ascii_lower(texts)).flatten().cast(pa.binary()).value_counts()
+                word, n = words.field("values"), words.field("counts")
+                size = pc.binary_length(word)
+                kept = pc.and_(pc.greater(size, 0), pc.less_equal(size, 64))
+                yield pa.RecordBatch.from_arrays([word.filter(kept), n.filter(kept)], names=["word", "n"])
+
+    counted = rows.where(~F.col("held_out")).select("text").mapInArrow(split, "word binary, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
     return [bytes(r["word"]) for r in top.collect()]
 
@@ -394,7 +392,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         is_held_out(F.col(id_col)).alias("held_out"),
         text.alias("text"),
     )
-    words = spark.sparkContext.broadcast(_frequent(rows, SAMPLE_ROWS, FREQUENT))
+    words = spark.sparkContext.broadcast(_frequent(rows, FREQUENT))
     counted = _counts(rows, words)
 
     frequent = np.zeros(len(words.value) + 1, np.int64)
