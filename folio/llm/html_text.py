@@ -188,9 +188,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Each page is parsed once into blocks. Pages with blocks are ordered by host and URL path; a page's partner is the neighbour
     in that order, of the same host, whose path shares the longer prefix (of equals the earlier one), and the two pages'
     lines are aligned by longest common subsequence. Shared lines go, but for those in an element marked as the
-    article: what two articles share is content. Only keys are ordered, by a range sort, so a host with a third of the pages
-    spreads over tasks; only pages with undecided lines look at their partner's lines, one page each; texts stay where they
-    were written unless lines of them go.
+    article: what two articles share is content. Where a page marks an article, its text is that article, unless the lines
+    outside it that are the page's own (not shared) are longer: then the mark is a teaser's, and they are text too. Only keys
+    are ordered, by a range sort, so a host with a third of the pages spreads over tasks; a page looks at the lines of one
+    partner; texts stay where they were written.
 
     Null or empty html gives an empty text. Pages without a URL or host are paired among themselves; a page alone on its host
     has no partner and keeps its undecided blocks. Repeated rows each give a row; an empty table gives none.
@@ -201,11 +202,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts, decided, keys, hosts, paths = [], [], [], [], []
+                texts, marked, keys, hosts, paths = [], [], [], [], []
                 for url, page in zip(part.column(1), part.column(2)):
                     lines, zones = blocks(page.as_py())
-                    decided.append(MAIN in zones)
-                    texts.append(main_lines(lines, zones))
+                    marked.append([z == MAIN for z in zones])
+                    texts.append(lines)
                     keys.append([xxhash.xxh64_intdigest(t) - (1 << 63) for t in lines])
                     place = URL.match(url.as_py() or "")
                     hosts.append(place[1].lower() if place else "")
@@ -217,17 +218,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                         pa.array(hosts, pa.string()),
                         pa.array(paths, pa.string()),
                         pa.array(texts, pa.list_(pa.string())),
-                        pa.array(decided, pa.bool_()),
+                        pa.array(marked, pa.list_(pa.bool_())),
                         pa.array(keys, pa.list_(pa.int64())),
                     ],
-                    names=["id", "url", "host", "path", "texts", "decided", "keys"],
+                    names=["id", "url", "host", "path", "texts", "marked", "keys"],
                 )
 
-    schema = f"id {id_type}, url string, host string, path string, texts array<string>, decided boolean, keys array<long>"
+    schema = f"id {id_type}, url string, host string, path string, texts array<string>, marked array<boolean>, keys array<long>"
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")))
     parsed = stage(rows.mapInArrow(parse, schema).withColumn("row", F.monotonically_increasing_id()), "page-blocks")
 
-    places = parsed.where(F.size("keys") > 0).select("row", "host", "path", "decided")
+    places = parsed.where(F.size("keys") > 0).select("row", "host", "path")
     ranked = stage(staged_rank(places, [], ["host", "path", "row"], "place"), "page-places")
 
     def neighbour(name: str, step: int) -> DataFrame:
@@ -245,7 +246,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         return F.when(F.col(f"{name}_host") == F.col("host"), F.when(shorter > 0, length).otherwise(0)).otherwise(-1)
 
     both = ranked.join(neighbour("before", 1), "place", "left").join(neighbour("after", -1), "place", "left")
-    partners = both.where("NOT decided").select(
+    partners = both.select(
         "row",
         F.when(F.greatest(prefix("before"), prefix("after")) < 0, None)
         .when(prefix("before") >= prefix("after"), F.col("before_row"))
@@ -266,5 +267,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(shared, pa.list_(pa.int32()))], names=["row", "shared"])
 
     template = stage(paired.select("row", "keys", "theirs").mapInArrow(align, "row long, shared array<int>"), "page-template")
-    kept = F.filter("texts", lambda _, i: ~F.coalesce(F.array_contains("shared", i), F.lit(False)))
+    shared = lambda i: F.coalesce(F.array_contains("shared", i), F.lit(False))
+    own = F.filter("texts", lambda _, i: ~F.get("marked", i) & ~shared(i))
+    size = lambda lines: F.length(F.array_join(lines, ""))
+    in_article = F.filter("texts", lambda _, i: F.get("marked", i))
+    # what the two pages do not share outweighs the mark: the mark is a teaser's
+    is_article = (F.size(in_article) > 0) & (size(in_article) >= size(own))
+    kept = F.when(is_article, in_article).otherwise(F.filter("texts", lambda _, i: F.get("marked", i) | ~shared(i)))
     return parsed.join(template, "row", "left").select("id", "url", F.array_join(kept, "\n").alias("text"))

@@ -47,3 +47,14 @@ def test_template_lines_go_by_the_nearest_page(spark):
     # the empty page of equal path is no partner
     assert all(got[i] == f"Story number {i}" for i in range(40))
     assert got[100] == "Welcome to us\nAlone\nCall 555" and got[101] == got[102] == "same" and got[103] == ""
+
+
+def test_every_page_is_aligned_and_its_own_lines_outweigh_a_teaser(spark):
+    page = "<div>Welcome to us all</div><article><h2>Teaser {0}</h2></article><div>{1}</div><div>Call 555 or write to us</div>"
+    rows = [(i, f"http://h.example/{i}", page.format(i, f"Own long text number {i}")) for i in range(6)]
+    # an article with a shared line in it and little outside: the mark holds, and the shared line of the article stays
+    marked = "<div>Welcome to us all</div><article><p>Same words in all articles</p><p>Body {0}</p></article><div>by {0}</div>"
+    rows += [(10 + i, f"http://m.example/{i}", marked.format(i)) for i in range(4)]
+    got = {r["id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Teaser {i}\nOwn long text number {i}" for i in range(6))
+    assert all(got[10 + i] == f"Same words in all articles\nBody {i}" for i in range(4))
