@@ -169,3 +169,17 @@ def test_every_row_is_scored_by_its_held_out_sets(spark, fitted):
     rows, fit = fitted
     got = B.predict(fit).groupBy("id").count().collect()
     assert {r["id"]: r["count"] for r in got} == {i: len(LEARNERS) for i, _, _ in rows}
+
+
+def test_a_pass_keeps_entries_once_and_sends_one_vector_per_model(spark):
+    rows = corpus(1, 200)
+    m = matrix(spark, rows, min_df=2, max_df=0.9, max_features=60)
+    entries = sum(len(r["g"]) for r in m.rows.select("g").collect())
+    pieces = m.pieces().collect()
+    assert m.pieces().getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sum(len(np.frombuffer(p[3], np.int32)) for p in pieces) == entries  # not once per set
+    jobs = [(s, s, m.spaces.index((s, 2)), 0, np.zeros(int(m.width[m.spaces.index((s, 2))]) * K + K)) for s in range(3)]
+    sums = B._evaluate(m, LEARNERS, jobs)
+    n = [sum(s in sets_of(i)[0] for i, _, _ in rows) for s in range(3)]
+    assert [sums[s][0] for s in range(3)] == pytest.approx([c * math.log(K) for c in n])
+    m.release()
