@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+COUNTED_ROWS = 256  # rows whose tokens are coded at once in a task
+_BAG = "array<struct<term:string,n:bigint>>"
+_BAG_TYPE = pa.list_(pa.struct([("term", pa.string()), ("n", pa.int64())]))
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, however often body uses it."""
@@ -14,47 +21,96 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def count_items(items: Column) -> Column:
-    """Distinct items of an array with their counts: ``array<struct<term, n>>``.
+    """Distinct items of an array with their counts: ``array<struct<term, n>>``, ordered by term; null for no item.
 
-    Sorts the array and measures its runs, so a bag of words costs no shuffle.
+    The items of a batch get integer codes, which are sorted and measured in runs, so a bag of words costs no shuffle.
     """
-
-    def runs(ordered: Column) -> Column:
-        size = F.size(ordered)
-        starts = F.filter(
-            F.sequence(F.lit(0), size - 1),
-            lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
-        )
-        return let(
-            starts,
-            lambda at: F.transform(
-                at,
-                lambda i, j: F.struct(
-                    F.get(ordered, i).alias("term"),
-                    (F.coalesce(F.get(at, j + 1), size) - i).cast("bigint").alias("n"),
-                ),
-            ),
-        )
-
-    return F.when(F.size(items) > 0, let(F.sort_array(items), runs))
+    return count_ngrams(items, 1, 1)
+
+
+def count_ngrams(tokens: Column, lo: int = 1, hi: int = 1) -> Column:
+    """``count_items(ngrams(tokens, lo, hi))`` without the strings of repeated n-grams: only the distinct ones of a batch are joined."""
+
+    @F.arrow_udf(_BAG)
+    def bags(column: pa.Array) -> pa.Array:
+        parts = [_count(column.slice(at, COUNTED_ROWS), lo, hi) for at in range(0, len(column), COUNTED_ROWS)]
+        return pa.concat_arrays(parts) if parts else pa.array([], _BAG_TYPE)
+
+    return bags(tokens)
+
+
+def _flat(tokens: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All tokens one after the other, each one's row, and where its row ends."""
+    lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return tokens.flatten(), np.repeat(np.arange(len(tokens)), lengths), np.repeat(np.cumsum(lengths), lengths)
+
+
+def _count(tokens: pa.ListArray, lo: int, hi: int) -> pa.ListArray:
+    flat, row, ends = _flat(tokens)
+    coded = flat.dictionary_encode()
+    words, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    at, ids, names = np.arange(len(codes)), codes, words
+    rows, keys, terms, base = [], [], [], 0
+    for n in range(1, hi + 1):
+        if n > 1:
+            inside = at + n - 1 < ends[at]
+            at = at[inside]
+            pairs = pa.array(ids[inside] * max(len(words), 1) + codes[at + n - 1]).dictionary_encode()
+            ids, pair = pairs.indices.to_numpy().astype(np.int64), pairs.dictionary.to_numpy()
+            first, last = np.divmod(pair, max(len(words), 1))
+            names = pc.binary_join_element_wise(names.take(pa.array(first)), words.take(pa.array(last)), " ")
+        if n >= lo:
+            rows.append(row[at])
+            keys.append(ids + base)
+            terms.append(names)
+            base += len(names)
+    every = pa.concat_arrays(terms)
+    order = pc.sort_indices(every).to_numpy()
+    ordered = every.take(pa.array(order))
+    # equal strings of several lengths (words with blanks) are one term
+    begins = np.r_[base > 0, pc.not_equal(ordered[1:], ordered[:-1]).to_numpy(zero_copy_only=False)][:base].astype(bool)
+    rank = np.empty(base, dtype=np.int64)
+    rank[order] = np.cumsum(begins) - 1
+    ordered = ordered.filter(pa.array(begins))
+    size = max(len(ordered), 1)
+    cells = np.sort(np.concatenate(rows) * size + rank[np.concatenate(keys)])
+    starts = np.flatnonzero(np.r_[len(cells) > 0, cells[1:] != cells[:-1]][: len(cells)])
+    n = np.diff(np.r_[starts, len(cells)])
+    of, term = np.divmod(cells[starts], size)
+    found = np.bincount(of, minlength=len(tokens))
+    items = pa.StructArray.from_arrays([ordered.take(pa.array(term)), pa.array(n.astype(np.int64))], names=["term", "n"])
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(found)].astype(np.int32)), items, mask=pa.array(found == 0))
 
 
 def ngrams(tokens: Column, lo: int = 1, hi: int = 2) -> Column:
-    """All contiguous n-grams with lo <= n <= hi, joined by one space."""
-
-    def of_size(t: Column, n: int) -> Column:
-        if n == 1:
-            return t
-        count = F.size(t) - (n - 1)
-        # sequence counts down when its end lies before its start, hence the guard
-        return F.when(
-            count > 0,
-            F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(t, i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
-
+    """All contiguous n-grams with lo <= n <= hi, joined by one space, the shorter ones first; null for a null array."""
     if lo == hi == 1:
         return tokens
-    return let(tokens, lambda t: F.concat(*[of_size(t, n) for n in range(lo, hi + 1)]))
+
+    @F.arrow_udf("array<string>")
+    def joined(column: pa.Array) -> pa.Array:
+        parts = [_join(column.slice(at, COUNTED_ROWS), lo, hi) for at in range(0, len(column), COUNTED_ROWS)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
+
+    return joined(tokens)
+
+
+def _join(tokens: pa.ListArray, lo: int, hi: int) -> pa.ListArray:
+    flat, row, ends = _flat(tokens)
+    at, names = np.arange(len(flat)), flat
+    rows, terms = [], []
+    for n in range(1, hi + 1):
+        if n > 1:
+            inside = at + n - 1 < ends[at]
+            at = at[inside]
+            names = pc.binary_join_element_wise(names.filter(pa.array(inside)), flat.take(pa.array(at + n - 1)), " ")
+        if n >= lo:
+            rows.append(row[at])
+            terms.append(names)
+    of = np.concatenate(rows)
+    found = np.bincount(of, minlength=len(tokens))
+    ordered = pa.concat_arrays(terms).take(pa.array(np.argsort(of, kind="stable")))
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(found)].astype(np.int32)), ordered, mask=tokens.is_null())
 
 
 def l2_norm(vector: Column) -> Column:

@@ -125,8 +125,8 @@ class TrainingSet:
         self.rows = with_terms(train, max_n)
         self.classes = tuple(classes or class_list(self.rows))
         self.max_n = max_n
-        postings = self.rows.select(F.inline(count_items(F.col("terms"))))
-        kept = fit_vocabulary(postings, count_rows(self.rows)).select("term", "idf").collect()
+        bags = self.rows.select(count_items(F.col("terms")).alias("bag"))
+        kept = fit_vocabulary(bags, count_rows(self.rows)).select("term", "idf").collect()
         if not kept:
             raise ValueError("no term survives the document frequency limits")
         kept.sort()

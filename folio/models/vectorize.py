@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.config import MAX_DF, MAX_FEATURES, MIN_DF
-from folio.functions.arrays import count_items, ngrams
+from folio.functions.arrays import count_ngrams, ngrams
 from folio.functions.text import clean_tokens, vectorizer_terms
 from folio.operators.terms import count_rows, fit_vocabulary
 
@@ -116,7 +116,8 @@ class TextVectorizer(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         cleaner = TextCleaner(inputCol=self.getInputCol(), outputCol="terms", maxN=self.getOrDefault(self.maxN))
-        terms = cleaner.transform(dataset.select(self.getInputCol())).select(F.inline(count_items(F.col("terms"))))
+        words = TextCleaner(inputCol=self.getInputCol(), outputCol="words").transform(dataset.select(self.getInputCol()))
+        terms = words.select(count_ngrams(F.col("words"), 1, self.getOrDefault(self.maxN)).alias("bag"))
         vocabulary = fit_vocabulary(
             terms,
             count_rows(dataset),

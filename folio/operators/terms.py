@@ -1,6 +1,6 @@
 """Term statistics over postings ``(id, [label,] term, n)``.
 
-Postings come out of each document row without a shuffle (``count_items``), so every
+Postings come out of each document row without a shuffle (``count_ngrams``), so every
 later aggregate starts from one row per document and term and combines map-side.
 Joins with a vocabulary carry no hint: its measured size decides whether it is broadcast, and in
 a shuffle adaptive execution splits frequent terms.
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from folio.config import K_BEST, MAX_DF, MAX_FEATURES, MIN_DF, TOP_FEATURES
-from folio.functions.arrays import count_items, ngrams
+from folio.functions.arrays import count_ngrams
 from folio.operators.ranking import staged_rank
 from folio.session import stage
 
@@ -28,12 +28,12 @@ WEIGHED_ROWS = 256  # documents weighed at once in a task
 
 def term_bags(df: DataFrame, tokens: Column, keep: Sequence[str] = ("id",), *, ngram_range=(1, 1)) -> DataFrame:
     """Bag of words in the document's row: ``keep`` columns and ``bag``, an array of (term, n)."""
-    return df.select(*keep, count_items(ngrams(tokens, *ngram_range)).alias("bag"))
+    return df.select(*keep, count_ngrams(tokens, *ngram_range).alias("bag"))
 
 
 def term_counts(df: DataFrame, tokens: Column, keep: Sequence[str] = ("id",), *, ngram_range=(1, 1)) -> DataFrame:
     """Bag of words: ``keep`` columns, term, n."""
-    items = count_items(ngrams(tokens, *ngram_range))
+    items = count_ngrams(tokens, *ngram_range)
     return df.select(*keep, F.inline(items))
 
 
@@ -44,6 +44,49 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     )
 
 
+def bag_tallies(bags: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``term, by, df, total``: documents and occurrences of every term (per ``by`` group) in the bags.
+
+    The bags of an Arrow batch are added up by integer codes first, so a row per batch, group and term meets the shuffle, not a posting.
+    """
+    kept = [bags.schema[c] for c in by]
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bag = batch.column("bag")
+            lengths = bag.value_lengths().fill_null(0).to_numpy()
+            flat = bag.flatten()
+            if not len(flat):
+                continue
+            terms = flat.field("term").dictionary_encode()
+            group, keys = np.zeros(batch.num_rows, dtype=np.int64), []
+            for c in by:
+                coded = batch.column(c).dictionary_encode("encode")
+                keys.append(coded.dictionary)
+                group = group * len(coded.dictionary) + coded.indices.to_numpy()
+            size = len(terms.dictionary)
+            cells = np.repeat(group, lengths) * size + terms.indices.to_numpy()
+            n = flat.field("n").to_numpy()
+            if (group.max() + 1) * size <= 16 * len(cells):  # few groups: counted by cell, without a sort
+                dfs, totals = np.bincount(cells), np.bincount(cells, weights=n)
+                found = np.flatnonzero(dfs)
+                dfs, totals = dfs[found], totals[found]
+            else:
+                found, at = np.unique(cells, return_inverse=True)
+                dfs, totals = np.bincount(at), np.bincount(at, weights=n)
+            cell_group, term = np.divmod(found, size)
+            columns = [terms.dictionary.take(pa.array(term))]
+            for values in reversed(keys):
+                cell_group, place = np.divmod(cell_group, len(values))
+                columns.insert(1, values.take(pa.array(place)))
+            counts = [pa.array(v.astype(np.int64)) for v in (dfs, totals)]
+            yield pa.RecordBatch.from_arrays([*columns, *counts], names=["term", *by, "df", "total"])
+
+    fields = [T.StructField("term", T.StringType()), *kept, T.StructField("df", T.LongType()), T.StructField("total", T.LongType())]
+    parts = bags.select(*by, "bag").mapInArrow(tally, T.StructType(fields))
+    return parts.groupBy("term", *by).agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+
+
 def prune_by_df(stats: DataFrame, n_docs: Column, min_df: int = MIN_DF, max_df: float = MAX_DF) -> DataFrame:
     """Terms in at least ``min_df`` documents and at most the ``max_df`` share of them."""
     return stats.filter((F.col("df") >= min_df) & (F.col("df") <= n_docs * F.lit(max_df)))
@@ -93,8 +136,9 @@ def fit_vocabulary(
     postings: DataFrame, n_docs: Column, *, min_df: int = MIN_DF, max_df: float = MAX_DF,
     max_features: int | None = MAX_FEATURES,
 ) -> DataFrame:
-    """``term, df, total, idf`` of the kept terms."""
-    stats = stage(prune_by_df(document_frequency(postings), n_docs, min_df, max_df), "term-stats")
+    """``term, df, total, idf`` of the kept terms; ``postings`` may be bags, which are added up batch by batch."""
+    counted = bag_tallies(postings) if "bag" in postings.columns else document_frequency(postings)
+    stats = stage(prune_by_df(counted, n_docs, min_df, max_df), "term-stats")
     kept = top_vocabulary(stats, max_features)
     return kept.withColumn("idf", smooth_idf(F.col("df"), n_docs))
 
@@ -158,9 +202,9 @@ def transform_postings(postings: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 def tfidf(bags: DataFrame, n_docs: Column, *, max_features: int | None = MAX_FEATURES, **limits) -> DataFrame:
     """Fit on and transform the same documents; ``bags`` (``id, bag``) is read twice."""
-    postings = bags.select("*", F.inline("bag")).drop("bag")
-    vocabulary = fit_vocabulary(postings, n_docs, max_features=max_features, **limits)
+    vocabulary = fit_vocabulary(bags, n_docs, max_features=max_features, **limits)
     if max_features is None:
+        postings = bags.select("*", F.inline("bag")).drop("bag")
         return transform_postings(postings, vocabulary.select("term", "idf"))
     return transform_with_vocabulary(bags, vocabulary)
 
@@ -191,6 +235,51 @@ def chi2_scores(postings: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def fold_chi2_best(cells: DataFrame, docs: DataFrame, folds: int, k: int = K_BEST) -> list[list[str]]:
+    """``select_k_best`` on the rows outside each fold, for all folds from one table of counts: the terms per fold, in term order.
+
+    ``cells`` has ``term, label, fold, total``, ``docs`` a row per document with ``label, fold``. A fold's training counts are the
+    totals minus its own.
+    """
+    outside = docs.groupBy("label").agg(F.array(*[F.count_if(F.col("fold") != f) for f in range(folds)]).alias("docs"))
+    sizes = docs.agg(F.array(*[F.count_if(F.col("fold") != f) for f in range(folds)]).alias("n")).scalar()
+    shares = outside.select("label", F.array(*[F.get("docs", F.lit(f)) / F.get(sizes, F.lit(f)) for f in range(folds)]).alias("share"))
+    counts = cells.groupBy("term", "label").agg(
+        *[F.sum(F.when(F.col("fold") != f, F.col("total")).otherwise(0)).alias(f"o{f}") for f in range(folds)]
+    )
+    squares = lambda f: F.when(F.col(f"o{f}") > 0, F.col(f"o{f}") * F.col(f"o{f}") / F.get("share", F.lit(f)))
+    sums = counts.join(shares, "label").groupBy("term").agg(
+        *[F.sum(f"o{f}").alias(f"t{f}") for f in range(folds)], *[F.sum(squares(f)).alias(f"q{f}") for f in range(folds)]
+    )
+    scores = stage(sums, "chi2-sums")
+    best = []
+    for f in range(folds):
+        scored = scores.filter(F.col(f"t{f}") > 0).select("term", (F.col(f"q{f}") / F.col(f"t{f}") - F.col(f"t{f}")).alias("score"))
+        best.append(sorted(r["term"] for r in rank_features(scored, k).collect()))  # at most k
+    return best
+
+
+def match_terms(bags: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The other columns of ``bags``, with ``g`` (places in the short list ``names``) and ``n`` of the listed terms of each bag."""
+    known = bags.sparkSession.sparkContext.broadcast(pa.array(names, pa.string()))
+    kept = [f for f in bags.schema.fields if f.name != "bag"]
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bag = batch.column("bag")
+            row = np.repeat(np.arange(len(bag)), bag.value_lengths().fill_null(0).to_numpy())
+            flat = bag.flatten()
+            place = pc.index_in(flat.field("term"), value_set=known.value)
+            found = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False))
+            taken = pa.array(found)
+            offsets = pa.array(np.r_[0, np.cumsum(np.bincount(row[found], minlength=len(bag)))].astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, place.take(taken)), pa.ListArray.from_arrays(offsets, flat.field("n").take(taken))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *lists], names=[*[f.name for f in kept], "g", "n"])
+
+    added = [T.StructField("g", T.ArrayType(T.IntegerType())), T.StructField("n", T.ArrayType(T.LongType()))]
+    return bags.select(*[f.name for f in kept], "bag").mapInArrow(match, T.StructType([*kept, *added]))
+
+
 def rank_features(scores: DataFrame, top_n: int = -1) -> DataFrame:
     """Features by descending score; ``top_n=-1`` keeps all."""
     ordered = scores.orderBy(F.desc("score"), "term")

@@ -16,7 +16,7 @@ from folio.functions.text import (
     tokenize_regex,
     vectorizer_terms,
 )
-from folio.operators.terms import count_rows, document_frequency, prune_by_df, term_bags, term_counts
+from folio.operators.terms import bag_tallies, count_rows, prune_by_df, term_bags, term_counts
 from folio.session import stage
 from folio.sources.tables import read_table
 
@@ -79,10 +79,14 @@ def staged_postings(spark: SparkSession, sf: str, ngram_range=(1, 1)) -> DataFra
     return stage(postings(spark, sf, ngram_range), "postings")
 
 
+def _bags(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), "text")
+    return term_bags(docs, clean_terms(), ("id", "label"))
+
+
 def staged_bags(spark: SparkSession, sf: str) -> DataFrame:
     """``id, label, bag`` of the documents, written once."""
-    docs = documents(spark, sf).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), "text")
-    return stage(term_bags(docs, clean_terms(), ("id", "label")), "bags")
+    return stage(_bags(spark, sf), "bags")
 
 
 def labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,7 +98,7 @@ def labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def folded_bags(spark: SparkSession, sf: str, folds: DataFrame) -> DataFrame:
     """Staged ``id, label, bag, fold``: counted terms meet the folds, texts are not shuffled."""
-    return stage(staged_bags(spark, sf).join(folds.select("id", "fold"), "id"), "fold-bags")
+    return stage(_bags(spark, sf).join(folds.select("id", "fold"), "id"), "fold-bags")
 
 
 def folded_postings(spark: SparkSession, sf: str, folds: DataFrame) -> DataFrame:
@@ -114,7 +118,7 @@ def legacy_bags(spark: SparkSession, sf: str, stem: bool = False) -> DataFrame:
 
 def legacy_terms(bags: DataFrame) -> DataFrame:
     """The terms of the older vectoriser's vocabulary, staged: document frequency limits and no cap."""
-    stats = document_frequency(bags.select("id", F.inline("bag")))
+    stats = bag_tallies(bags)
     return stage(prune_by_df(stats, count_rows(bags), max_df=LEGACY_MAX_DF), "legacy-terms")
 
 
