@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ MARGIN = 50  # words looked at beyond both ends of a chain: a single seed at one
 JOIN_GAP = 4  # passages this close in a document count as one when their length is judged
 BLOCK = 64  # words of a fetched piece of text
 FILTER_BITS = 26
+CELLS = 1 << 21  # pairs of words compared at once
 
 _NULL = -(1 << 63)
 
@@ -123,84 +125,171 @@ def _gap_matches(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def _reach(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """Words to extend by along the diagonal and the matches among them: where matches minus twice the mismatches peaks."""
-    n = min(len(a), len(b))
-    if not n:
-        return 0, 0
-    same = a[:n] == b[:n]
-    score = np.cumsum(np.where(same, 1, -2))
-    top = int(score.argmax())
-    return (top + 1, int(same[: top + 1].sum())) if score[top] > 0 else (0, 0)
+def _ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and place within the owner of each cell, for owners of ``counts`` cells."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner]
 
 
-def align(ours: np.ndarray, theirs: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = K) -> list[tuple[int, int, int, int, float]]:
-    """``start, end, other start, other end, identity`` of the passages of a chain of matches between two word arrays.
+def _slabs(counts: np.ndarray) -> Iterator[slice]:
+    """Ranges of owners of at most ``CELLS`` cells together; a larger owner is a range of its own."""
+    ends, start = np.cumsum(counts), 0
+    while start < len(counts):
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + CELLS, "right")), start + 1)
+        yield slice(start, stop)
+        start = stop
+
+
+def _reach(words: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words to extend by along the diagonal and the matches among them: where matches minus twice the mismatches peaks.
 
-    Stretches between matches at one distance are compared word by word, others by longest common subsequence. Where
-    less than half of a stretch agrees the chain is cut; both ends of a passage are extended while that gains. Identity is
-    matched words over the longer of its two sides.
+    Entry i compares the ``n[i]`` words from ``a[i]`` on with those from ``b[i]`` on, in the direction ``way``.
     """
-    matched = [0]
-    cuts = [0]
-    for i in range(1, len(x)):
-        dx, dy = x[i] - x[i - 1], y[i] - y[i - 1]
-        a, b = ours[x[i - 1] : x[i]], theirs[y[i - 1] : y[i]]
-        matched.append(int((a == b).sum()) if dx == dy else _gap_matches(a, b))
-        if 2 * (matched[-1] - k) < max(dx, dy) - k and max(dx, dy) > 2 * k:
-            cuts.append(i)
-    found = []
-    for first, after in zip(cuts, [*cuts[1:], len(x)]):
-        last = after - 1
-        left, left_same = _reach(ours[: x[first]][::-1], theirs[: y[first]][::-1])
-        right, right_same = _reach(ours[x[last] + k :], theirs[y[last] + k :])
-        start, end, other, other_end = x[first] - left, x[last] + k + right, y[first] - left, y[last] + k + right
-        same = k + sum(matched[first + 1 : after]) + left_same + right_same
-        found.append((int(start), int(end), int(other), int(other_end), float(same / max(end - start, other_end - other))))
-    return found
+    reach, matches = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+    some = np.flatnonzero(n > 0)
+    for part in _slabs(n[some]):
+        of = some[part]
+        owner, at = _ragged(n[of])
+        same = words[a[of][owner] + way * at] == words[b[of][owner] + way * at]
+        starts = np.cumsum(n[of]) - n[of]
+        score, found = np.cumsum(np.where(same, 1, -2)), np.cumsum(same)
+        score -= np.r_[0, score][starts][owner]
+        top = np.maximum.reduceat(score, starts)
+        peak = np.minimum.reduceat(np.where(score == top[owner], at, len(at)), starts)
+        reach[of] = np.where(top > 0, peak + 1, 0)
+        matches[of] = np.where(top > 0, found[starts + peak] - np.r_[0, found][starts], 0)
+    return reach, matches
+
+
+def align_chains(
+    words: np.ndarray,
+    ours: tuple[np.ndarray, np.ndarray],
+    theirs: tuple[np.ndarray, np.ndarray],
+    sizes: np.ndarray,
+    x: np.ndarray,
+    y: np.ndarray,
+    k: int = K,
+) -> tuple[np.ndarray, ...]:
+    """``chain, start, end, other start, other end, identity`` of the passages of all chains, in the order of the chains.
+
+    Chain c has ``sizes[c]`` of the matches ``x, y``; its words are ``words[ours[0][c]:ours[1][c]]`` and those of ``theirs``, and
+    matches and passages are places in ``words``. Stretches between matches at one distance are compared word by word, others
+    by longest common subsequence. Where less than half of a stretch agrees the chain is cut; both ends of a passage
+    are extended while that gains. Identity is matched words over the longer of its two sides.
+    """
+    chain = np.repeat(np.arange(len(sizes)), sizes)
+    if not len(chain):
+        return (*[np.zeros(0, np.int64)] * 5, np.zeros(0))
+    inner = np.flatnonzero(chain[1:] == chain[:-1]) + 1
+    dx, dy = x[inner] - x[inner - 1], y[inner] - y[inner - 1]
+    matched = np.zeros(len(inner), np.int64)
+    straight = np.flatnonzero(dx == dy)
+    for part in _slabs(dx[straight]):
+        of = straight[part]
+        owner, at = _ragged(dx[of])
+        before = inner[of] - 1
+        same = words[x[before][owner] + at] == words[y[before][owner] + at]
+        matched[of] = np.bincount(owner[same], minlength=len(of))
+    for i in np.flatnonzero(dx != dy).tolist():
+        j = inner[i]
+        matched[i] = _gap_matches(words[x[j - 1] : x[j]], words[y[j - 1] : y[j]])
+    longer = np.maximum(dx, dy)
+    cut = (2 * (matched - k) < longer - k) & (longer > 2 * k)
+    begins = np.ones(len(chain), bool)
+    begins[inner[~cut]] = False
+    first = np.flatnonzero(begins)
+    last = np.r_[first[1:], len(chain)] - 1
+    gained = np.zeros(len(chain), np.int64)
+    gained[inner] = np.where(cut, 0, matched)
+    of = chain[first]
+    left, left_same = _reach(words, x[first] - 1, y[first] - 1, np.minimum(x[first] - ours[0][of], y[first] - theirs[0][of]), -1)
+    x_end, y_end = x[last] + k, y[last] + k
+    right, right_same = _reach(words, x_end, y_end, np.minimum(ours[1][of] - x_end, theirs[1][of] - y_end), 1)
+    start, end, other, other_end = x[first] - left, x_end + right, y[first] - left, y_end + right
+    same = k + np.add.reduceat(gained, first) + left_same + right_same
+    return of, start, end, other, other_end, same / np.maximum(end - start, other_end - other)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table]:
-    """Runs of equal values of a sorted column, as tables, across batches."""
+def align(ours: np.ndarray, theirs: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = K) -> list[tuple[int, int, int, int, float]]:
+    """``start, end, other start, other end, identity`` of the passages of one chain of matches between two word arrays."""
+    n, both = len(ours), len(ours) + len(theirs)
+    bounds = [(np.array([a]), np.array([b])) for a, b in ((0, n), (n, both))]
+    found = align_chains(np.concatenate([ours, theirs]), *bounds, np.array([len(x)]), x, y + n, k)
+    return [(s, e, t - n, f - n, same) for _, s, e, t, f, same in zip(*(c.tolist() for c in found))]
+
+
+def settle(of: np.ndarray, start: np.ndarray, end: np.ndarray, min_words: int) -> np.ndarray:
+    """Of passages sorted by document and start, those that make up ``min_words`` with the ones that touch them."""
+    if not len(of):
+        return np.zeros(0, bool)
+    lift = np.cumsum(np.r_[0, of[1:] != of[:-1]]) << 33
+    start, reached = start + lift, np.maximum.accumulate(end + lift)
+    first = np.flatnonzero(np.r_[True, start[1:] > reached[:-1] + JOIN_GAP])
+    after = np.r_[first[1:], len(of)]
+    return np.repeat(reached[after - 1] - start[first] >= min_words, after - first)
+
+
+def _whole(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table]:
+    """The batches of an ascending column without nulls as tables that hold all rows of each of their values."""
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
         values = batch.column(column).to_numpy()
-        edges = np.r_[0, np.flatnonzero(values[1:] != values[:-1]) + 1, len(values)]
-        for a, b in zip(edges, edges[1:]):
-            if held and values[a] != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = values[a]
+        cut = int(np.searchsorted(values, values[-1]))
+        if cut or held and values[-1] != last:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
+            held = []
+        held.append(batch.slice(cut))
+        last = values[-1]
     if held:
-        yield pa.Table.from_batches(held)
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it, the first row included."""
+    differs = np.zeros(len(columns[0]), bool)
+    differs[:1] = True
+    for values in columns:
+        differs[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(differs)
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column next to each other, and each row's end among them; a null has none."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes, dtype=np.int64)
 
 
 def _chained(matches: DataFrame, k: int) -> DataFrame:
     """``id, chain, other, xs, ys``: chains of one seed and more; their alignment decides what they are worth."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches, 0):
-            other, x, y = (table.column(i).to_numpy() for i in (1, 2, 3))
-            edges = np.r_[0, np.flatnonzero(other[1:] != other[:-1]) + 1, len(other)]
-            rows = []
-            for a, b in zip(edges, edges[1:]):
-                found = chains(x[a:b], y[a:b], k) if b - a > 1 else [slice(None)]
-                rows += [(int(other[a]), x[a:b][c], y[a:b][c]) for c in found]
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(rows), table.column(0)[0].as_py())),
-                        pa.array(np.arange(len(rows), dtype=np.int32)),
-                        pa.array([r[0] for r in rows], pa.int64()),
-                        pa.array([r[1] for r in rows], pa.list_(pa.int32())),
-                        pa.array([r[2] for r in rows], pa.list_(pa.int32())),
-                    ],
-                    names=["id", "chain", "other", "xs", "ys"],
-                )
+        for table in _whole(batches, 0):
+            own, other, x, y = (table.column(i).to_numpy() for i in range(4))
+            starts = _changes(own, other)
+            found, heads = [], []
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(own)]):
+                some = [p + a for p in chains(x[a:b], y[a:b], k)] if b - a > 1 else [np.array([a])]
+                found += some
+                heads += [a] * len(some)
+            heads, place = np.array(heads), np.concatenate(found)
+            ends = pa.array(np.r_[0, np.cumsum([len(p) for p in found])].astype(np.int32))
+            number = np.arange(len(heads))
+            ids = _changes(own[heads])
+            number -= np.repeat(ids, np.diff(np.r_[ids, len(heads)]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(own[heads]),
+                    pa.array(number.astype(np.int32)),
+                    pa.array(other[heads]),
+                    pa.ListArray.from_arrays(ends, pa.array(x[place])),
+                    pa.ListArray.from_arrays(ends, pa.array(y[place])),
+                ],
+                names=["id", "chain", "other", "xs", "ys"],
+            )
 
     ordered = matches.repartition("id").sortWithinPartitions("id", "other", "x")
     return ordered.mapInArrow(run, "id long, chain int, other long, xs array<int>, ys array<int>")
@@ -300,46 +389,40 @@ def shared_passages(
         "id", "chain", F.lit(0).alias("side"), F.lit(0).alias("block"), F.lit(None).cast("array<int>").alias("words"), "other", "xs", "ys"
     )
 
-    def settle(passages: list[tuple]) -> list[tuple]:
-        passages.sort()
-        kept, i = [], 0
-        while i < len(passages):
-            j, end = i + 1, passages[i][1]
-            while j < len(passages) and passages[j][0] <= end + JOIN_GAP:
-                end, j = max(end, passages[j][1]), j + 1
-            if end - passages[i][0] >= min_words:
-                kept += passages[i:j]
-            i = j
-        return kept
-
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches, 0):
-            chain, side, block = (table.column(i).to_numpy() for i in (1, 2, 3))
-            words, others = table.column(4), table.column(5)
-            edges = np.r_[0, np.flatnonzero(chain[1:] != chain[:-1]) + 1, len(chain)]
-            passages = []
-            for a, b in zip(edges, edges[1:]):
-                x, y = (np.array(table.column(c)[a].as_py(), np.int64) for c in (6, 7))
-                sides = []
-                for which in (1, 2):
-                    of = [i for i in range(a, b) if side[i] == which]
-                    first = int(block[of[0]]) * BLOCK if of else 0
-                    sides.append((first, np.concatenate([words[i].values.to_numpy() for i in of]) if of else np.empty(0, np.int32)))
-                (fx, ours), (fy, theirs) = sides
-                if len(ours) < x[-1] + k - fx or len(theirs) < y[-1] + k - fy:
-                    continue  # of rows that share an id, another text was fetched
-                for s, e, t, f, same in align(ours, theirs, x - fx, y - fy, k):
-                    if same >= identity:
-                        passages.append((s + fx, e + fx, others[a].as_py(), t + fy, f + fy, same))
-            kept = settle(passages)
-            if kept:
-                columns = list(zip(*kept))
+        for table in _whole(batches, 0):
+            own, side, block = (table.column(i).to_numpy() for i in (0, 2, 3))
+            words, filled = _lists(table.column(4))
+            (x, ends), (y, _) = _lists(table.column(6)), _lists(table.column(7))
+            # a chain's rows: its head, our blocks, their blocks
+            head = np.flatnonzero(side == 0)
+            after = np.r_[head[1:], len(side)]
+            middle = head + 1 + np.add.reduceat(side == 1, head, dtype=np.int64)
+            sizes = np.diff(np.r_[0, ends[head]])
+            filled = np.r_[0, filled]
+            ours, theirs = (filled[head + 1], filled[middle]), (filled[middle], filled[after])
+            # from places in the texts to places in the fetched words
+            block = np.r_[block, 0].astype(np.int64) * BLOCK
+            to_x = ours[0] - np.where(middle > head + 1, block[head + 1], 0)
+            to_y = theirs[0] - np.where(after > middle, block[middle], 0)
+            x, y = x + np.repeat(to_x, sizes), y + np.repeat(to_y, sizes)
+            last = np.cumsum(sizes) - 1
+            # of rows that share an id, another text may have been fetched
+            there = (x[last] + k <= ours[1]) & (y[last] + k <= theirs[1])
+            kept = np.flatnonzero(there)
+            matches = np.repeat(there, sizes)
+            ours, theirs = ([edge[kept] for edge in bounds] for bounds in (ours, theirs))
+            of, start, end, t, f, same = align_chains(words, ours, theirs, sizes[kept], x[matches], y[matches], k)
+            good = same >= identity
+            of, same = kept[of[good]], same[good]
+            start, end, t, f = start[good] - to_x[of], end[good] - to_x[of], t[good] - to_y[of], f[good] - to_y[of]
+            other = pc.fill_null(table.column(5), 0).to_numpy()[head][of]
+            of = own[head][of]
+            order = np.lexsort((same, f, t, other, end, start, of))
+            order = order[settle(of[order], start[order], end[order], min_words)]
+            if len(order):
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(kept), table.column(0)[0].as_py())),
-                        *[pa.array(np.array(c, np.int64)) for c in columns[:5]],
-                        pa.array(np.array(columns[5], float)),
-                    ],
+                    [pa.array(c[order]) for c in (of, start, end, other, t, f, same)],
                     names=["id", "start", "end", "other", "other_start", "other_end", "identity"],
                 )
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from folio.llm import passages
@@ -123,3 +124,78 @@ def test_passages_with_changed_words_are_found(spark):
     }
     print(recall)
     assert recall[80, 10] >= 0.95 and recall[120, 15] >= 0.9 and recall[55, 10] >= 0.8, recall
+
+
+def plain_align(ours, theirs, x, y, k=8):
+    """The alignment of one chain, seed by seed."""
+
+    def reach(a, b):
+        best = score = same = 0
+        found = (0, 0)
+        for n, (p, q) in enumerate(zip(a, b)):
+            score, same = (score + 1, same + 1) if p == q else (score - 2, same)
+            if score > best:
+                best, found = score, (n + 1, same)
+        return found
+
+    matched, cuts = [0], [0]
+    for i in range(1, len(x)):
+        a, b = ours[x[i - 1] : x[i]], theirs[y[i - 1] : y[i]]
+        matched.append(sum(p == q for p, q in zip(a, b)) if len(a) == len(b) else passages._gap_matches(np.array(a), np.array(b)))
+        if 2 * (matched[-1] - k) < max(len(a), len(b)) - k and max(len(a), len(b)) > 2 * k:
+            cuts.append(i)
+    found = []
+    for first, after in zip(cuts, [*cuts[1:], len(x)]):
+        left, left_same = reach(ours[: x[first]][::-1], theirs[: y[first]][::-1])
+        right, right_same = reach(ours[x[after - 1] + k :], theirs[y[after - 1] + k :])
+        start, end, other, other_end = x[first] - left, x[after - 1] + k + right, y[first] - left, y[after - 1] + k + right
+        same = k + sum(matched[first + 1 : after]) + left_same + right_same
+        found.append((start, end, other, other_end, same / max(end - start, other_end - other)))
+    return found
+
+
+@pytest.mark.parametrize("cells", [1, 64, 1 << 21])
+def test_chains_aligned_together_are_those_aligned_alone(monkeypatch, cells):
+    monkeypatch.setattr(passages, "CELLS", cells)
+    rng = np.random.default_rng(9)
+    words, bounds, sizes, xs, ys, expected, at = [], [], [], [], [], [], 0
+    for number in range(200):
+        theirs = rng.integers(0, 20 if number % 3 else 500, rng.integers(8, 200))
+        ours = np.delete(theirs, rng.integers(0, len(theirs), rng.integers(0, 5)))
+        ours[rng.integers(0, len(ours), rng.integers(0, 20))] = 7
+        if len(ours) < 8:
+            continue
+        n = min(len(ours) - 7, 1 + number % 5)
+        x = np.sort(rng.choice(len(ours) - 7, n, replace=False))
+        y = np.sort(rng.choice(len(theirs) - 7, n, replace=False)) if number % 2 else x
+        expected += [(len(sizes), *p) for p in plain_align(ours.tolist(), theirs.tolist(), x.tolist(), y.tolist())]
+        bounds.append((at, at + len(ours), at + len(ours) + len(theirs)))
+        words += [ours, theirs]
+        sizes.append(n)
+        xs.append(x + at)
+        ys.append(y + at + len(ours))
+        at = bounds[-1][2]
+    begin, middle, end = np.array(bounds).T
+    of, *places, identity = passages.align_chains(
+        np.concatenate(words), (begin, middle), (middle, end), np.array(sizes), np.concatenate(xs), np.concatenate(ys)
+    )
+    start, stop, other, other_stop = places
+    got = zip(of, start - begin[of], stop - begin[of], other - middle[of], other_stop - middle[of], identity)
+    assert [tuple(g) for g in got] == expected
+
+
+def test_groups_of_a_sorted_column_stay_whole_across_batches():
+    values = [1, 1, 2, 3, 3, 3, 3, 3, 4, 5, 5]
+    rows = pa.record_batch({"v": values})
+    for cuts in ([], [1], [3, 5], [4, 5, 6], [2, 2, 8], list(range(1, 11))):
+        batches = [rows.slice(a, b - a) for a, b in zip([0, *cuts], [*cuts, len(values)])]
+        tables = [t.column(0).to_pylist() for t in passages._whole(iter(batches), 0)]
+        assert sum(tables, []) == values and all(a[-1] < b[0] for a, b in zip(tables, tables[1:]))
+
+
+def test_passages_count_with_those_that_touch_them():
+    of = np.array([1, 1, 1, 2, 2, 3])
+    start, end = np.array([0, 10, 60, 20, 75, 3]), np.array([40, 30, 75, 70, 90, 52])
+    assert passages.settle(of, start, end, 50).tolist() == [False, False, False, True, False, False]
+    assert passages.settle(of, start, end, 15).all()
+    assert passages.settle(of[:0], start[:0], end[:0], 50).tolist() == []
