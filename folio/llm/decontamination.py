@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.tokens import WordHashes, groups, window_hash
+from folio.llm.tokens import groups, window_hash
 from folio.session import stage
 
 # A seed compares the positions marked 1: a changed word at a 0 does not disturb it.
@@ -32,10 +32,9 @@ def _seeds(rows: DataFrame, masks: Sequence[str], overlap: int, lookup=None) ->
     id_type = rows.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         bits = np.frombuffer(lookup.value, np.uint8) if lookup else None
         for batch in batches:
-            for group in groups(batch.column(1), known):
+            for group in groups(batch.column(1)):
                 padded = np.r_[np.zeros(overlap, np.uint32), group.tokens.astype(np.uint32) | 1, np.zeros(overlap, np.uint32)]
                 seeds, places = [], []
                 for number, keep in enumerate(keeps):

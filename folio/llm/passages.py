@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.tokens import WordHashes, groups, window_hash
+from folio.llm.tokens import groups, window_hash
 from folio.session import stage
 
 K = 8  # words of a seed
@@ -35,9 +35,8 @@ def seed_table(docs: DataFrame, k: int = K, spacing: int = SPACING) -> DataFrame
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
-            for group in groups(batch.column(1), known):
+            for group in groups(batch.column(1)):
                 hashes = window_hash(group.tokens, list(range(k)))
                 chosen = []
                 if len(hashes) >= spacing:
@@ -313,11 +312,11 @@ def _pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     lookup = docs.sparkSession.sparkContext.broadcast(bytes(bitmap))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = WordHashes(), np.frombuffer(lookup.value, np.uint8)
+        bits = np.frombuffer(lookup.value, np.uint8)
         for batch in batches:
             at = batch.column(2).to_numpy()
             batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
-            for group in groups(batch.column(1), known):
+            for group in groups(batch.column(1)):
                 n = -(-group.counts // BLOCK)
                 text = np.repeat(np.arange(len(n)), n)
                 number = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)

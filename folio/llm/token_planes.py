@@ -123,13 +123,16 @@ class WordEncoder:
             self.known, self.older = {}, self.known
 
         pool = np.frombuffer(b"".join(ids), self.dtype)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // self.dtype.itemsize
         word = coded.indices.to_numpy()
         counts = sizes[word]
-        ends = np.cumsum(counts)
+        ends = np.cumsum(counts, dtype=np.int64)
         # the ids of word i stand at its place in the pool, moved to where the word begins
-        moved = (np.cumsum(sizes) - sizes)[word] - (ends - counts)
-        stream = pool[np.repeat(moved, counts) + np.arange(ends[-1] if len(ends) else 0)]
+        moved = (np.cumsum(sizes, dtype=np.int64) - sizes)[word] - (ends - counts)
+        kind = np.int32 if len(pool) + ends[-1:].sum() < 1 << 31 else np.int64
+        place = np.repeat(moved.astype(kind), counts)
+        place += np.arange(len(place), dtype=kind)
+        stream = pool[place]
         last = np.r_[0, ends][np.cumsum(pc.list_value_length(split).to_numpy())]
         return np.split(stream, last[:-1])
 
@@ -292,6 +295,7 @@ def write_tokens(
             for start, stop in zip(cuts, cuts[1:]):
                 for doc_id, found in zip(ids[start:stop], encoder.encode(texts[start:stop])):
                     writer.add(doc_id.as_py(), np.concatenate([found, end]))
+            pa.default_memory_pool().release_unused()
         if writer is not None:
             writer.close()
             sink.close()
@@ -306,6 +310,7 @@ def read_documents(files: DataFrame) -> DataFrame:
     """``id, start, n_tokens, ids_crc32`` of every document, from the listed files alone; a task per file, a block at a time."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_encoder.cache_clear()  # the files are complete: no words are kept for whatever the worker does next
         for batch in batches:
             for row in batch.to_pylist():
                 system, name = open_fs(row["file"])
