@@ -90,14 +90,35 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Exponentials in place of the scores, the log probability of each row's target, and the rows' sums."""
-    x -= x.max(1, keepdims=True)
+    """Exponentials in place of the scores, the log probability of each row's target, and the rows' sums.
+
+    The width is a power of two: the largest score of a row is found by halving, which takes whole columns at a time.
+    """
+    top, width = x, x.shape[1]
+    while width > 1:
+        width //= 2
+        top = np.maximum(top[:, :width], top[:, width:])
+    x -= top
     chosen = x[np.arange(len(x)), target]
     np.exp(x, out=x)
-    total = x.sum(1)
+    total = x @ np.ones(x.shape[1], x.dtype)
     return x, chosen - np.log(total), total
 
 
+def _run_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows that begin at ``first``; each round adds every second row of a run to the one before it."""
+    rows, sizes = rows.copy(), np.diff(np.r_[first, len(rows)])
+    live = np.flatnonzero(sizes > 1)
+    starts, sizes, step = first[live], sizes[live], 1
+    while len(starts):
+        pairs = sizes // 2
+        at = np.repeat(starts, pairs) + 2 * step * (np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs))
+        rows[at] += rows[at + step]
+        sizes, step = sizes - pairs, 2 * step
+        starts, sizes = starts[sizes > 1], sizes[sizes > 1]
+    return rows[first]
+
+
 class Gru:
     """Input table, recurrent weights and a softmax in two factors: the class of the next token, then its member."""
 
@@ -141,55 +162,98 @@ class Gru:
     def log_prob(self, h: np.ndarray, targets: np.ndarray, gradient: dict | None = None):
         """Natural log probability of each target; with ``gradient`` adds to it and returns the error of ``h`` instead."""
         group, member = targets // MEMBERS, targets % MEMBERS
+        every = np.arange(len(targets))
         dc, total, sums = _softmax(h @ self.p["wc"] + self.p["bc"], group)
         if gradient is not None:
             dc /= sums[:, None]
-            dc[np.arange(len(targets)), group] -= 1
+            dc[every, group] -= 1
             gradient["wc"] += h.T @ dc
             gradient["bc"] += dc.sum(0)
             dh = dc @ self.p["wc"].T
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(cuts)):
-            of = order[cuts[c] : cuts[c + 1]]
-            hc = h[of]
-            dm, found, sums = _softmax(hc @ self.p["wm"][c] + self.p["bm"][c], member[of])
-            if gradient is None:
-                total[of] += found
-            else:
-                dm /= sums[:, None]
-                dm[np.arange(len(of)), member[of]] -= 1
-                gradient["wm"][c] += hc.T @ dm
-                gradient["bm"][c] += dm.sum(0)
-                dh[of] += dm @ self.p["wm"][c].T
-        return total if gradient is None else dh
+        # states of one class next to each other, with a one for the bias
+        order = np.argsort(group.astype(np.int8), kind="stable")
+        cuts = np.r_[0, np.cumsum(np.bincount(group, minlength=CLASSES))].tolist()
+        parts = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+        hc, member = np.ones((len(order), HIDDEN + 1), h.dtype), member[order]
+        hc[:, :HIDDEN] = h[order]
+        weights = np.concatenate([self.p["wm"], self.p["bm"][:, None]], 1)
+        scores = np.empty((len(order), MEMBERS), h.dtype)
+        for c, part in parts:
+            np.matmul(hc[part], weights[c], out=scores[part])
+        dm, found, sums = _softmax(scores, member)
+        if gradient is None:
+            total[order] += found
+            return total
+        dm /= sums[:, None]
+        dm[every, member] -= 1
+        errors = np.empty((len(order), HIDDEN), h.dtype)
+        for c, part in parts:
+            both = hc[part].T @ dm[part]
+            gradient["wm"][c] += both[:HIDDEN]
+            gradient["bm"][c] += both[HIDDEN]
+            np.matmul(dm[part], self.p["wm"][c].T, out=errors[part])
+        dh[order] += errors
+        return dh
 
     def train_window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, Gru]:
         """Gradient of one window (steps x lanes) and the state after it; gradients stop at its start."""
-        kept, states = [], []
-        for tokens in inputs:
-            h, saved = self.step(tokens, h)
-            kept.append(saved)
-            states.append(h)
         grad = Gru(np.zeros_like(self.flat))
-        errors = self.log_prob(np.concatenate(states), targets.ravel(), grad.p).reshape(*targets.shape, HIDDEN)
-        back, u, dxs = np.zeros_like(h), self.p["u"], []
-        for t in reversed(range(len(inputs))):
-            before, z, r, n, hun = kept[t]
-            d = errors[t] + back
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * hun * r * (1 - r)
-            dxs.append(np.concatenate([dz, dr, dn], 1))
-            dhu = np.concatenate([dz, dr, dn * r], 1)
-            grad.p["u"] += before.T @ dhu
-            back = (dhu @ u.T + d * z) * (inputs[t] != 0)[:, None]
+        h, read, rows = self._window(inputs, targets, h, grad)
+        grad.p["x"][read] = rows
+        return h, grad
+
+    def _window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, grad: Gru) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The state after a window; adds its gradient to ``grad``, but that of the input table is returned: tokens and their rows."""
+        # a lane is a column here, so that gates are whole blocks of rows
+        (steps, lanes), u, wide = inputs.shape, self.p["u"], 2 * HIDDEN
+        going = (inputs != 0)[:, None].astype(h.dtype)
+        x, h, u_t = np.ascontiguousarray(self.p["x"][inputs].transpose(0, 2, 1)), h.T, np.ascontiguousarray(u.T)
+        befores, states, gates, news, hus = (np.empty((steps, n, lanes), h.dtype) for n in (HIDDEN, HIDDEN, wide, HIDDEN, 3 * HIDDEN))
+        for t in range(steps):
+            before = np.multiply(h, going[t], out=befores[t])
+            hu = np.matmul(u_t, before, out=hus[t])
+            gate, n = gates[t], news[t]
+            np.add(x[t, :wide], hu[:wide], out=gate)
+            gate *= 0.5
+            np.tanh(gate, out=gate)
+            gate += 1
+            gate *= 0.5
+            np.multiply(gate[HIDDEN:], hu[wide:], out=n)
+            n += x[t, wide:]
+            np.tanh(n, out=n)
+            h = np.subtract(before, n, out=states[t])
+            h *= gate[:HIDDEN]
+            h += n
+        by_row = lambda values: values.transpose(0, 2, 1).reshape(steps * lanes, -1)
+        errors = self.log_prob(by_row(states), targets.ravel(), grad.p).reshape(steps, lanes, HIDDEN)
+        errors = np.ascontiguousarray(errors.transpose(0, 2, 1))
+        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
+        # what the error of a state is multiplied by for the new value, the gates and the state before
+        to_n = (1 - z) * (1 - news * news)
+        to_z = (befores - news) * z * (1 - z)
+        to_r = hus[:, wide:] * r * (1 - r)
+        rises = np.empty((steps, 3 * HIDDEN, lanes), h.dtype)  # errors of the three sums, those of h @ u
+        dns = np.empty((steps, HIDDEN, lanes), h.dtype)
+        z, back = z * going, 0
+        for t in reversed(range(steps)):
+            d, rise = errors[t], rises[t]
+            d += back
+            dn = np.multiply(d, to_n[t], out=dns[t])
+            np.multiply(d, to_z[t], out=rise[:HIDDEN])
+            np.multiply(dn, to_r[t], out=rise[HIDDEN:wide])
+            np.multiply(dn, r[t], out=rise[wide:])
+            back = u @ rise
+            back *= going[t]
+            d *= z[t]
+            back += d
+        rows = by_row(rises)
+        grad.p["u"] += by_row(befores).T @ rows
+        rows[:, wide:] = by_row(dns)
         # rows of one token are added up next to each other
-        read = inputs[::-1].ravel()
-        order = np.argsort(read, kind="stable")
+        read = inputs.ravel()
+        order = np.argsort(read.astype(np.int16), kind="stable")
         first = np.flatnonzero(np.r_[True, np.diff(read[order]) != 0])
-        grad.p["x"][read[order[first]]] = np.add.reduceat(np.concatenate(dxs)[order], first)
-        return h, grad
+        return np.ascontiguousarray(states[-1].T), read[order[first]], _run_sums(rows[order], first)
 
     def train(self, stream: np.ndarray, squares: np.ndarray) -> None:
         """One pass over a stream of documents, cut into lanes; the state is carried from window to window."""
@@ -199,13 +263,28 @@ class Gru:
             return
         lane = stream[: lanes * length].reshape(lanes, length).T
         h = np.zeros((lanes, HIDDEN), np.float32)
+        # rows of the input table that a window doesn't read have no gradient: they and their squares stay as they are
+        table, rest = self.p["x"], self.p["x"].size
+        table_squares, rest_squares = squares[:rest].reshape(table.shape), squares[rest:]
+        grad = Gru(np.zeros_like(self.flat))
         for start in range(0, length - 1, WINDOW):
             inputs, targets = lane[start : start + WINDOW], lane[start + 1 : start + 1 + WINDOW]
-            h, grad = self.train_window(inputs[: len(targets)], targets, h)
-            g = grad.flat / targets.size
-            g *= min(1.0, 5.0 / (np.linalg.norm(g) + 1e-12))
-            squares += g * g
-            self.flat -= RATE * g / np.sqrt(squares)
+            others = grad.flat[rest:]
+            others[:] = 0
+            h, read, rows = self._window(inputs[: len(targets)], targets, h, grad)
+            norm = np.sqrt(np.vdot(others, others) + np.vdot(rows, rows)) / targets.size
+            by = float(min(1.0, 5.0 / (norm + 1e-12)) / targets.size)
+            others *= by
+            rows *= by
+            rest_squares += others * others
+            found = table_squares[read] + rows * rows
+            table_squares[read] = found
+            others *= RATE
+            others /= np.sqrt(rest_squares)
+            self.flat[rest:] -= others
+            rows *= RATE
+            rows /= np.sqrt(found)
+            table[read] -= rows
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each document, its end included.

@@ -102,3 +102,41 @@ def test_every_training_document_is_read_by_a_round(spark):
     read = {r["r"]: r["count"] for r in rounds}
     assert sum(read.get(i, 0) for i in range(recurrent_lm.ROUNDS)) == docs.where("NOT held_out").count()
     assert all(read.get(i, 0) > 0 for i in range(recurrent_lm.ROUNDS))
+
+
+def test_sums_of_runs_of_rows():
+    rng = np.random.default_rng(6)
+    sizes = np.array([1, 2, 7, 1, 64, 5, 33, 1])
+    rows = rng.integers(-50, 50, (sizes.sum(), 3)).astype(np.float32)
+    first = np.cumsum(sizes) - sizes
+    kept = rows.copy()
+    assert np.array_equal(recurrent_lm._run_sums(rows, first), np.add.reduceat(rows, first))
+    assert np.array_equal(rows, kept)
+
+
+def test_largest_scores_do_not_overflow():
+    scores = np.array([[900.0, 1, 2, 3], [-900, -900, -900, -1000]], np.float32)
+    powers, log_of, sums = recurrent_lm._softmax(scores, np.array([0, 3]))
+    assert log_of == pytest.approx([0, -100 - math.log(3)]) and sums == pytest.approx([1, 3])
+    assert np.isfinite(powers).all()
+
+
+def test_training_is_a_step_per_window_of_the_whole_gradient(model):
+    """Against the same steps on all weights at once; tokens that no window reads keep their rows."""
+    stream = np.random.default_rng(8).integers(0, 60, 900).astype(np.int16)
+    trained, plain = Gru(model[0].flat.copy()), Gru(model[0].flat.copy())
+    squares, plain_squares = (np.full(len(plain.flat), 1e-6, np.float32) for _ in range(2))
+    trained.train(stream, squares)
+    lanes = min(recurrent_lm.LANES, len(stream) // (2 * recurrent_lm.WINDOW))
+    lane = stream[: len(stream) // lanes * lanes].reshape(lanes, -1).T
+    h = np.zeros((lanes, recurrent_lm.HIDDEN), np.float32)
+    for start in range(0, len(lane) - 1, recurrent_lm.WINDOW):
+        targets = lane[start + 1 : start + 1 + recurrent_lm.WINDOW]
+        h, grad = plain.train_window(lane[start : start + len(targets)], targets, h)
+        g = grad.flat / targets.size
+        g *= min(1.0, 5.0 / np.linalg.norm(g))
+        plain_squares += g * g
+        plain.flat -= recurrent_lm.RATE * g / np.sqrt(plain_squares)
+    assert np.abs(trained.flat - plain.flat).max() < 1e-4 and np.abs(trained.flat - model[0].flat).max() > 0.01
+    assert squares == pytest.approx(plain_squares, rel=1e-3)
+    assert np.array_equal(trained.p["x"][60:], model[0].p["x"][60:])
