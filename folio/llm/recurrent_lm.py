@@ -25,7 +25,9 @@ BUCKETS = 63  # classes of words outside the vocabulary, by their last character
 HIDDEN = 24
 WINDOW = 16  # steps that gradients flow back through
 LANES = 64  # streams trained at once
-SCORE_LANES, SCORE_WINDOW = 256, 64
+SCORE_LANES, SCORE_WINDOW = 256, 16
+SORTED_WINDOWS = 64  # windows whose tokens are sorted at once
+SAFE_SCORE = 60  # the exponential of such a score, added up or divided by, stays within a float
 RATE = 0.15
 ROUNDS = 2
 # Gradients, like all counts, come from every training document, each read once: a round takes one of ROUNDS disjoint
@@ -34,7 +36,6 @@ GRADIENT_SHARE = 1
 # Words counted in place and not by a shuffle: the most frequent of all training documents. The network's own words are
 # the first of them.
 FREQUENT = 128_000
-CACHE_WORDS = 200_000
 GROUP_BYTES = 6 << 20
 
 
@@ -47,88 +48,164 @@ def is_held_out(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(HELD_OUT_OF)) == 0
 
 
-class Codes(dict):
+class Codes:
     """Word to code: frequent words have the codes 1, 2, ...; 0 is the end; others share codes by bucket."""
 
     def __init__(self, words: list[bytes]):
-        super().__init__((w, i + 1) for i, w in enumerate(words))
-        self.fixed = len(words) + 1
-        self.words = words
-
-    def __missing__(self, word: bytes) -> int:
-        code = self.fixed + bucket(word)
-        if len(word) <= 64:
-            self[word] = code
+        self.words, self.fixed = pa.array(words, pa.binary()), len(words) + 1
+
+    def __getitem__(self, word: bytes) -> int:
+        return int(self.of(pa.array([word], pa.binary()))[0])
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        """Codes of some words; each distinct ending of the words that are not frequent is hashed once."""
+        found = pc.index_in(words, value_set=self.words)
+        code = found.fill_null(-1).to_numpy() + 1
+        rare = np.flatnonzero(code == 0)
+        endings = pc.binary_slice(words.take(pa.array(rare)), -3).dictionary_encode()
+        buckets = np.fromiter(map(bucket, endings.dictionary.to_pylist()), np.int32, len(endings.dictionary))
+        code[rare] = self.fixed + buckets[endings.indices.to_numpy()]
         return code
 
-    def coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-        """Of an array of texts (strings): the code of every word, words per text, the distinct words and each word's place among
-        them. Each distinct word is looked up once."""
-        if len(self) > self.fixed + CACHE_WORDS:
-            self.clear()
-            self.update((w, i + 1) for i, w in enumerate(self.words))
+    def places(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """Of an array of texts (strings): the codes of its distinct words, words per text, the distinct words and each word's
+        place among them."""
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         table = split.flatten().cast(pa.binary()).dictionary_encode()
-        distinct = table.dictionary.to_pylist()
-        code_of = np.fromiter(map(self.__getitem__, distinct), np.int32, len(distinct))
-        word = table.indices.to_numpy()
-        text = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
-        real = np.fromiter(map(bool, distinct), bool, len(distinct))[word]  # white space at an end leaves an empty piece
-        word = word[real]
-        return code_of[word], np.bincount(text[real], minlength=len(texts)), distinct, word
+        word, counts = table.indices.to_numpy(), pc.list_value_length(split).to_numpy()
+        empty = pc.index(table.dictionary, b"").as_py()  # white space at an end leaves an empty piece
+        if empty >= 0:
+            real = word != empty
+            counts = np.bincount(np.repeat(np.arange(len(texts)), counts)[real], minlength=len(texts))
+            word = word[real]
+        return self.of(table.dictionary), counts, table.dictionary, word
+
+    def coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """As ``places``, but with the code of every word, and the distinct words as bytes."""
+        codes, counts, distinct, place = self.places(texts)
+        return codes[place], counts, distinct.to_pylist(), place
 
 
-def text_groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
+def text_groups(texts: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of some megabytes of text each; a longer text is a range of its own."""
-    part = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // GROUP_BYTES
-    cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(texts)]
-    yield from ((int(a), int(b)) for a, b in zip(cuts, cuts[1:]) if b > a)
+    return size_groups(pc.binary_length(texts).to_numpy(), limit)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1.0)
+def size_groups(sizes: np.ndarray, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """The ranges of texts of these sizes."""
+    part = np.cumsum(sizes.astype(np.int64)) // limit
+    cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(sizes)]
+    yield from ((int(a), int(b)) for a, b in zip(cuts, cuts[1:]) if b > a)
 
 
 def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Exponentials in place of the scores, the log probability of each row's target, and the rows' sums.
 
-    The width is a power of two: the largest score of a row is found by halving, which takes whole columns at a time.
+    Scores of a usual size need no largest score taken off. Else it is found by halving, which takes whole columns at a time;
+    the width is a power of two.
     """
-    top, width = x, x.shape[1]
-    while width > 1:
-        width //= 2
-        top = np.maximum(top[:, :width], top[:, width:])
-    x -= top
-    chosen = x[np.arange(len(x)), target]
+    if len(x) and (x.max() > SAFE_SCORE or x.min() < -SAFE_SCORE):
+        top, width = x, x.shape[1]
+        while width > 1:
+            width //= 2
+            top = np.maximum(top[:, :width], top[:, width:])
+        x -= top
+    chosen = x.ravel().take(np.arange(0, x.size, x.shape[1]) + target)
     np.exp(x, out=x)
     total = x @ np.ones(x.shape[1], x.dtype)
     return x, chosen - np.log(total), total
 
 
 def _run_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of runs of rows that begin at ``first``; each round adds every second row of a run to the one before it."""
-    rows, sizes = rows.copy(), np.diff(np.r_[first, len(rows)])
+    """Sums of runs of rows that begin at ``first``."""
+    return _add_runs(rows.copy(), first)
+
+
+def _add_runs(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """As ``_run_sums``, in place: each round adds every second row of a run to the one before it."""
+    sizes = np.empty(len(first), np.int64)
+    np.subtract(first[1:], first[:-1], out=sizes[:-1])
+    sizes[-1:] = len(rows) - first[-1:]
     live = np.flatnonzero(sizes > 1)
     starts, sizes, step = first[live], sizes[live], 1
     while len(starts):
-        pairs = sizes // 2
-        at = np.repeat(starts, pairs) + 2 * step * (np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs))
-        rows[at] += rows[at + step]
+        pairs = sizes >> 1
+        ends = pairs.cumsum()
+        at = np.arange(ends[-1])
+        at -= np.repeat(ends - pairs, pairs)
+        at *= 2 * step
+        at += np.repeat(starts, pairs)
+        sums = rows.take(at, 0)
+        sums += rows.take(at + step, 0)
+        rows[at] = sums
         sizes, step = sizes - pairs, 2 * step
-        starts, sizes = starts[sizes > 1], sizes[sizes > 1]
-    return rows[first]
+        more = sizes > 1
+        starts, sizes = starts[more], sizes[more]
+    return rows.take(first, 0)
+
+
+class Targets:
+    """Targets of windows (a row each), sorted, so that the states of a class lie next to each other."""
+
+    def __init__(self, targets: np.ndarray):
+        targets = targets.astype(np.int16, copy=False)
+        self.order = np.argsort(targets, 1, kind="stable")
+        self.back = np.empty_like(self.order)  # where the states of the window's order are among the sorted
+        np.put_along_axis(self.back, self.order, np.arange(targets.shape[1])[None], 1)
+        ranked = np.take_along_axis(targets, self.order, 1)
+        self.group, self.member = ranked // MEMBERS, ranked % MEMBERS
+        offset = CLASSES * np.arange(len(targets))[:, None]
+        sizes = np.bincount((self.group + offset).ravel(), minlength=CLASSES * len(targets)).reshape(-1, CLASSES)
+        self.cuts = np.concatenate([np.zeros((len(targets), 1), np.int64), np.cumsum(sizes, 1)], 1).tolist()
+        self.picks = np.concatenate([self.group, self.member], 1)  # columns of the scores of classes, then of members
+
+    def parts(self, window: int) -> list[tuple[int, slice]]:
+        cuts = self.cuts[window]
+        return [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+
+
+class Space:
+    """Arrays of one window of ``steps`` x ``lanes``, used again for the next one, and views of their steps.
+
+    A lane is a column in them, so that gates are whole blocks of rows.
+    """
+
+    def __init__(self, steps: int, lanes: int, kind: np.dtype, backward: bool = False):
+        n, wide = steps * lanes, 2 * HIDDEN
+        self.shape = steps, lanes
+        self.rows = np.empty((n, 3 * HIDDEN), kind)
+        self.x = np.empty((steps, 3 * HIDDEN, lanes), kind)  # sums, then gates (as 1 / value) and new values
+        self.hu = np.empty((3 * HIDDEN, lanes), kind)
+        self.states = np.empty((steps + 1, HIDDEN, lanes), kind)
+        self.reset = np.empty((steps, HIDDEN, lanes), kind)  # h @ u of the new value times its gate
+        self.by_row = np.ones((n + lanes, HIDDEN + 1), kind)  # states as rows, with a one for the bias
+        self.steps = [(s, x[:wide], x[:HIDDEN], x[HIDDEN:wide], x[wide:], r, h) for s, x, r, h in zip(self.states, self.x, self.reset, self.states[1:])]
+        if backward:
+            self.errors = np.empty((steps, HIDDEN, lanes), kind)
+            # of the error of a state: the errors of the three sums of h @ u, of the new value, of the state before
+            self.back = np.empty((steps, 5, HIDDEN, lanes), kind)
+            self.rises = self.back.reshape(steps, 5 * HIDDEN, lanes)[:, : 3 * HIDDEN]
+            self.steps_back = list(enumerate(zip(self.errors, self.back, self.rises, self.back[:, 4])))[::-1]
+            self.error_before = np.empty((HIDDEN, lanes), kind)
+            self.hu_rows = np.empty((n, HIDDEN), kind)
+
+    def state_rows(self) -> np.ndarray:
+        steps, lanes = self.shape
+        self.by_row.reshape(steps + 1, lanes, HIDDEN + 1)[:, :, :HIDDEN] = self.states.transpose(0, 2, 1)
+        return self.by_row[lanes:]
 
 
 class Gru:
-    """Input table, recurrent weights and a softmax in two factors: the class of the next token, then its member."""
+    """Input table, recurrent weights and a softmax in two factors: the class of the next token, then its member.
+
+    The last row of the weights of a softmax (``c``, ``m``) is its bias.
+    """
 
     SHAPES = (
         ("x", (VOCABULARY, 3 * HIDDEN)),
         ("u", (HIDDEN, 3 * HIDDEN)),
-        ("wc", (HIDDEN, CLASSES)),
-        ("bc", (CLASSES,)),
-        ("wm", (CLASSES, HIDDEN, MEMBERS)),
-        ("bm", (CLASSES, MEMBERS)),
+        ("c", (HIDDEN + 1, CLASSES)),
+        ("m", (CLASSES, HIDDEN + 1, MEMBERS)),
     )
 
     def __init__(self, flat: np.ndarray):
@@ -137,6 +214,8 @@ class Gru:
             size = int(np.prod(shape))
             self.p[name] = flat[at : at + size].reshape(shape)
             at += size
+        c, m = self.p["c"], self.p["m"]
+        self.p |= {"wc": c[:HIDDEN], "bc": c[HIDDEN], "wm": m[:, :HIDDEN], "bm": m[:, HIDDEN]}
 
     @classmethod
     def start(cls, counts: np.ndarray) -> Gru:
@@ -150,110 +229,141 @@ class Gru:
         model.p["bm"][:] = np.log(share / share.sum(1, keepdims=True))
         return model
 
-    def step(self, tokens: np.ndarray, h: np.ndarray) -> tuple:
+    def step(self, tokens: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, Space]:
         """A document's first step reads the end token 0 and starts from an empty state."""
-        h = h * (tokens != 0)[:, None]
-        x, hu = self.p["x"][tokens], h @ self.p["u"]
-        gates = _sigmoid(x[:, : 2 * HIDDEN] + hu[:, : 2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN :] + r * hu[:, 2 * HIDDEN :])
-        return n + z * (h - n), (h, z, r, n, hu[:, 2 * HIDDEN :])
-
-    def log_prob(self, h: np.ndarray, targets: np.ndarray, gradient: dict | None = None):
-        """Natural log probability of each target; with ``gradient`` adds to it and returns the error of ``h`` instead."""
-        group, member = targets // MEMBERS, targets % MEMBERS
-        every = np.arange(len(targets))
-        dc, total, sums = _softmax(h @ self.p["wc"] + self.p["bc"], group)
-        if gradient is not None:
-            dc /= sums[:, None]
-            dc[every, group] -= 1
-            gradient["wc"] += h.T @ dc
-            gradient["bc"] += dc.sum(0)
-            dh = dc @ self.p["wc"].T
-        # states of one class next to each other, with a one for the bias
-        order = np.argsort(group.astype(np.int8), kind="stable")
-        cuts = np.r_[0, np.cumsum(np.bincount(group, minlength=CLASSES))].tolist()
-        parts = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
-        hc, member = np.ones((len(order), HIDDEN + 1), h.dtype), member[order]
-        hc[:, :HIDDEN] = h[order]
-        weights = np.concatenate([self.p["wm"], self.p["bm"][:, None]], 1)
-        scores = np.empty((len(order), MEMBERS), h.dtype)
-        for c, part in parts:
-            np.matmul(hc[part], weights[c], out=scores[part])
-        dm, found, sums = _softmax(scores, member)
-        if gradient is None:
-            total[order] += found
-            return total
-        dm /= sums[:, None]
-        dm[every, member] -= 1
-        errors = np.empty((len(order), HIDDEN), h.dtype)
-        for c, part in parts:
-            both = hc[part].T @ dm[part]
-            gradient["wm"][c] += both[:HIDDEN]
-            gradient["bm"][c] += both[HIDDEN]
-            np.matmul(dm[part], self.p["wm"][c].T, out=errors[part])
-        dh[order] += errors
-        return dh
+        space = Space(1, len(tokens), h.dtype)
+        self._states(tokens[None], self._ends(tokens[None]), h.T, space)
+        return space.states[1].T, space
+
+    @staticmethod
+    def _ends(inputs: np.ndarray) -> list[np.ndarray | None]:
+        """By step, the lanes that read the end token."""
+        at, lane = np.nonzero(inputs == 0)
+        cuts = np.searchsorted(at, np.arange(len(inputs) + 1)).tolist()
+        return [lane[a:b] if b > a else None for a, b in zip(cuts, cuts[1:])]
+
+    def _states(self, inputs: np.ndarray, ends: list[np.ndarray | None], h: np.ndarray, space: Space) -> None:
+        """States after each step of a window that begins with the states ``h`` (columns)."""
+        steps, lanes = inputs.shape
+        self.p["x"].take(inputs.ravel(), 0, out=space.rows, mode="clip")
+        hu, wide = space.hu, 2 * HIDDEN
+        space.x[:] = space.rows.reshape(steps, lanes, -1).transpose(0, 2, 1)
+        u = np.ascontiguousarray(self.p["u"].T)
+        np.negative(u[:wide], out=u[:wide])  # a gate is 1 / (1 + exp(-sum))
+        space.states[0] = h
+        gates_u, new_u = hu[:wide], hu[wide:]
+        with np.errstate(over="ignore"):
+            for ended, (before, gates, z, r, n, reset, h) in zip(ends, space.steps):
+                if ended is not None:
+                    before = before.copy()
+                    before[:, ended] = 0
+                np.dot(u, before, out=hu)
+                np.subtract(gates_u, gates, out=gates)
+                np.exp(gates, out=gates)
+                gates += 1
+                np.divide(new_u, r, out=reset)
+                n += reset
+                np.tanh(n, out=n)
+                np.subtract(before, n, out=h)
+                h /= z
+                h += n
+
+    def log_prob(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        """Natural log probability of each target."""
+        rows = np.ones((len(h), HIDDEN + 1), h.dtype)
+        rows[:, :HIDDEN] = h
+        ranked = Targets(targets[None])
+        found = np.empty(len(h), h.dtype)
+        found[ranked.order[0]] = self._output(rows, ranked, 0)
+        return found
+
+    def _output(self, rows: np.ndarray, ranked: Targets, window: int, grad: Gru | None = None) -> np.ndarray:
+        """Log probability of each target in their sorted order; with ``grad`` adds to it and returns the error of the states."""
+        hc, parts, n = rows.take(ranked.order[window], 0), ranked.parts(window), len(rows)
+        scores, c, m = np.empty((2 * n, MEMBERS), rows.dtype), self.p["c"], self.p["m"]
+        of_class, of_member = scores[:n], scores[n:]
+        np.dot(hc, c, out=of_class)
+        for group, part in parts:
+            np.dot(hc[part], m[group], out=of_member[part])
+        picks = ranked.picks[window]
+        powers, found, sums = _softmax(scores, picks)
+        if grad is None:
+            return found[:n] + found[n:]
+        powers /= sums[:, None]
+        at = np.arange(0, powers.size, MEMBERS) + picks
+        flat = powers.ravel()
+        flat[at] -= 1
+        grad.p["c"] += hc.T @ of_class
+        errors, others, grad_m, m = of_class @ c[:HIDDEN].T, np.empty((n, HIDDEN), rows.dtype), grad.p["m"], m[:, :HIDDEN].transpose(0, 2, 1)
+        for group, part in parts:
+            error = of_member[part]
+            np.dot(hc[part].T, error, out=grad_m[group])
+            np.dot(error, m[group], out=others[part])
+        errors += others
+        return errors
 
     def train_window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, Gru]:
         """Gradient of one window (steps x lanes) and the state after it; gradients stop at its start."""
-        grad = Gru(np.zeros_like(self.flat))
-        h, read, rows = self._window(inputs, targets, h, grad)
+        grad, space = Gru(np.zeros_like(self.flat)), Space(*inputs.shape, h.dtype, backward=True)
+        order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
+        read, rows = self._window(inputs, self._ends(inputs), order, Targets(targets.reshape(1, -1)), 0, h.T, grad, space)
         grad.p["x"][read] = rows
-        return h, grad
-
-    def _window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, grad: Gru) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The state after a window; adds its gradient to ``grad``, but that of the input table is returned: tokens and their rows."""
-        # a lane is a column here, so that gates are whole blocks of rows
-        (steps, lanes), u, wide = inputs.shape, self.p["u"], 2 * HIDDEN
-        going = (inputs != 0)[:, None].astype(h.dtype)
-        x, h, u_t = np.ascontiguousarray(self.p["x"][inputs].transpose(0, 2, 1)), h.T, np.ascontiguousarray(u.T)
-        befores, states, gates, news, hus = (np.empty((steps, n, lanes), h.dtype) for n in (HIDDEN, HIDDEN, wide, HIDDEN, 3 * HIDDEN))
-        for t in range(steps):
-            before = np.multiply(h, going[t], out=befores[t])
-            hu = np.matmul(u_t, before, out=hus[t])
-            gate, n = gates[t], news[t]
-            np.add(x[t, :wide], hu[:wide], out=gate)
-            gate *= 0.5
-            np.tanh(gate, out=gate)
-            gate += 1
-            gate *= 0.5
-            np.multiply(gate[HIDDEN:], hu[wide:], out=n)
-            n += x[t, wide:]
-            np.tanh(n, out=n)
-            h = np.subtract(before, n, out=states[t])
-            h *= gate[:HIDDEN]
-            h += n
-        by_row = lambda values: values.transpose(0, 2, 1).reshape(steps * lanes, -1)
-        errors = self.log_prob(by_row(states), targets.ravel(), grad.p).reshape(steps, lanes, HIDDEN)
-        errors = np.ascontiguousarray(errors.transpose(0, 2, 1))
+        return space.states[-1].T, grad
+
+    def _window(
+        self, inputs: np.ndarray, ends: list, order: np.ndarray, ranked: Targets, window: int, h: np.ndarray, grad: Gru, space: Space
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Runs a window in ``space``; adds its gradient to ``grad``, but that of the input table is returned: tokens and their rows.
+
+        ``order`` sorts the window's inputs.
+        """
+        (steps, lanes), wide = inputs.shape, 2 * HIDDEN
+        self._states(inputs, ends, h, space)
+        errors = self._output(space.state_rows(), ranked, window, grad).take(ranked.back[window], 0)
+        space.errors[:] = errors.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1)
+        gates, news, back = space.x[:, :wide], space.x[:, wide:], space.back
+        np.reciprocal(gates, out=gates)
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        # what the error of a state is multiplied by for the new value, the gates and the state before
-        to_n = (1 - z) * (1 - news * news)
-        to_z = (befores - news) * z * (1 - z)
-        to_r = hus[:, wide:] * r * (1 - r)
-        rises = np.empty((steps, 3 * HIDDEN, lanes), h.dtype)  # errors of the three sums, those of h @ u
-        dns = np.empty((steps, HIDDEN, lanes), h.dtype)
-        z, back = z * going, 0
-        for t in reversed(range(steps)):
-            d, rise = errors[t], rises[t]
-            d += back
-            dn = np.multiply(d, to_n[t], out=dns[t])
-            np.multiply(d, to_z[t], out=rise[:HIDDEN])
-            np.multiply(dn, to_r[t], out=rise[HIDDEN:wide])
-            np.multiply(dn, r[t], out=rise[wide:])
-            back = u @ rise
-            back *= going[t]
-            d *= z[t]
-            back += d
-        rows = by_row(rises)
-        grad.p["u"] += by_row(befores).T @ rows
-        rows[:, wide:] = by_row(dns)
+        # first what the error of a state is multiplied by
+        to_z, to_r, to_hu, to_n, keep = (back[:, i] for i in range(5))
+        np.subtract(1, z, out=keep)
+        np.multiply(news, news, out=to_n)
+        np.subtract(1, to_n, out=to_n)
+        to_n *= keep
+        np.subtract(space.states[1:], news, out=to_z)
+        to_z *= keep
+        np.subtract(1, r, out=to_r)
+        to_r *= space.reset
+        to_r *= to_n
+        np.multiply(to_n, r, out=to_hu)
+        keep[:] = z
+        u, error_before = self.p["u"], space.error_before
+        error_before[:] = 0
+        for t, (error, factors, rise, kept) in space.steps_back:
+            error += error_before
+            factors *= error
+            np.dot(u, rise, out=error_before)
+            error_before += kept
+            if ends[t] is not None:
+                error_before[:, ends[t]] = 0
+        rows = space.rows.reshape(steps, lanes, -1)
+        rows[:, :, :wide] = space.rises[:, :wide].transpose(0, 2, 1)
+        rows[:, :, wide:] = to_n.transpose(0, 2, 1)
+        space.hu_rows.reshape(steps, lanes, HIDDEN)[:] = to_hu.transpose(0, 2, 1)
+        befores = space.by_row[:-lanes, :HIDDEN]
+        for t, ended in enumerate(ends):
+            if ended is not None:
+                befores[t * lanes + ended] = 0
+        grad_u = grad.p["u"]
+        grad_u[:, :wide] += befores.T @ space.rows[:, :wide]
+        grad_u[:, wide:] += befores.T @ space.hu_rows
         # rows of one token are added up next to each other
-        read = inputs.ravel()
-        order = np.argsort(read.astype(np.int16), kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(read[order]) != 0])
-        return np.ascontiguousarray(states[-1].T), read[order[first]], _run_sums(rows[order], first)
+        read = inputs.ravel().take(order)
+        new = np.empty(len(read), bool)
+        new[:1] = True
+        np.not_equal(read[1:], read[:-1], out=new[1:])
+        first = np.flatnonzero(new)
+        return read.take(first), _add_runs(space.rows.take(order, 0), first)
 
     def train(self, stream: np.ndarray, squares: np.ndarray) -> None:
         """One pass over a stream of documents, cut into lanes; the state is carried from window to window."""
@@ -261,30 +371,49 @@ class Gru:
         length = len(stream) // lanes
         if length < 2:
             return
-        lane = stream[: lanes * length].reshape(lanes, length).T
-        h = np.zeros((lanes, HIDDEN), np.float32)
+        lane = np.ascontiguousarray(stream[: lanes * length].reshape(lanes, length).T)
+        ends = self._ends(lane)
+        h = np.zeros((HIDDEN, lanes), np.float32)
         # rows of the input table that a window doesn't read have no gradient: they and their squares stay as they are
         table, rest = self.p["x"], self.p["x"].size
         table_squares, rest_squares = squares[:rest].reshape(table.shape), squares[rest:]
         grad = Gru(np.zeros_like(self.flat))
-        for start in range(0, length - 1, WINDOW):
-            inputs, targets = lane[start : start + WINDOW], lane[start + 1 : start + 1 + WINDOW]
-            others = grad.flat[rest:]
-            others[:] = 0
-            h, read, rows = self._window(inputs[: len(targets)], targets, h, grad)
-            norm = np.sqrt(np.vdot(others, others) + np.vdot(rows, rows)) / targets.size
-            by = float(min(1.0, 5.0 / (norm + 1e-12)) / targets.size)
-            others *= by
-            rows *= by
-            rest_squares += others * others
-            found = table_squares[read] + rows * rows
-            table_squares[read] = found
-            others *= RATE
-            others /= np.sqrt(rest_squares)
-            self.flat[rest:] -= others
-            rows *= RATE
-            rows /= np.sqrt(found)
-            table[read] -= rows
+        others, weights, roots = grad.flat[rest:], self.flat[rest:], np.empty_like(rest_squares)
+        space = Space(min(WINDOW, length - 1), lanes, h.dtype, backward=True)
+        for begin in range(0, length - 1, SORTED_WINDOWS * WINDOW):
+            end = min(begin + SORTED_WINDOWS * WINDOW, length - 1)
+            for first, last in ((begin, end - (end - begin) % WINDOW), (end - (end - begin) % WINDOW, end)):
+                if first == last:
+                    continue
+                steps = min(WINDOW, last - first)
+                if steps != space.shape[0]:
+                    space = Space(steps, lanes, h.dtype, backward=True)
+                inputs = lane[first:last].reshape(-1, steps, lanes)
+                orders = np.argsort(inputs.reshape(len(inputs), -1), 1, kind="stable")
+                ranked = Targets(lane[first + 1 : last + 1].reshape(len(inputs), -1))
+                for window in range(len(inputs)):
+                    others[:] = 0
+                    at = first + window * steps
+                    read, rows = self._window(inputs[window], ends[at : at + steps], orders[window], ranked, window, h, grad, space)
+                    h = space.states[-1]
+                    tokens = steps * lanes
+                    norm = np.sqrt(np.vdot(others, others) + np.vdot(rows, rows)) / tokens
+                    by = float(min(1.0, 5.0 / (norm + 1e-12)) / tokens)
+                    others *= by
+                    rows *= by
+                    np.multiply(others, others, out=roots)
+                    rest_squares += roots
+                    np.sqrt(rest_squares, out=roots)
+                    others *= RATE
+                    others /= roots
+                    weights -= others
+                    found = rows * rows
+                    found += table_squares.take(read, 0)
+                    table_squares[read] = found
+                    np.sqrt(found, out=found)
+                    rows *= RATE
+                    rows /= found
+                    table[read] -= rows
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each document, its end included.
@@ -311,27 +440,35 @@ class Gru:
                 owner[at : at + len(docs[d]) + 1, i] = d
                 at += len(docs[d]) + 1
         totals = np.zeros(len(docs))
-        h = np.zeros((len(lanes), HIDDEN), np.float32)
+        h, space = np.zeros((HIDDEN, len(lanes)), np.float32), None
         for start in range(0, steps, SCORE_WINDOW):
             active = int((lengths > start).sum())
-            h = h[:active]
-            states = []
-            for t in range(start, min(start + SCORE_WINDOW, steps)):
-                h, _ = self.step(tokens[t, :active], h)
-                states.append(h)
-            window = slice(start, start + len(states))
-            found = self.log_prob(np.concatenate(states), tokens[start + 1 : start + 1 + len(states), :active].ravel().astype(np.int64))
-            real = (np.arange(start, start + len(states))[:, None] < lengths[:active]).ravel()
-            totals += np.bincount(owner[window, :active].ravel()[real], found[real], len(docs))
+            window = slice(start, min(start + SCORE_WINDOW, steps))
+            inputs = tokens[window, :active]
+            if space is None or space.shape != inputs.shape:
+                space = Space(*inputs.shape, np.dtype(np.float32))
+            self._states(inputs, self._ends(inputs), h[:, :active], space)
+            h = space.states[-1]
+            ranked = Targets(tokens[start + 1 : window.stop + 1, :active].reshape(1, -1))
+            order = ranked.order[0]
+            found = self._output(space.state_rows(), ranked, 0)
+            real = (np.arange(start, window.stop)[:, None] < lengths[:active]).ravel().take(order)
+            totals += np.bincount(owner[window, :active].ravel().take(order), np.where(real, found, 0), len(docs))
         return totals
 
 
 def _frequent(rows: DataFrame, size: int) -> list[bytes]:
     """Most frequent words of all training rows, by their exact counts; equal counts in word order."""
+    return [word for word, _ in _frequent_counts(rows, size)]
+
+
+def _frequent_counts(rows: DataFrame, size: int) -> list[tuple[bytes, int]]:
+    """The words of ``_frequent`` with their counts."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in text_groups(batch.column(0)):
+            # few groups, because a word is shuffled once per group
+            for start, stop in text_groups(batch.column(0), 4 * GROUP_BYTES):
                 texts = batch.column(0)[start:stop]
                 words = pc.ascii_split_whitespace(pc.ascii_lower(texts)).flatten().cast(pa.binary()).value_counts()
                 word, n = words.field("values"), words.field("counts")
@@ -341,61 +478,63 @@ def _frequent(rows: DataFrame, size: int) -> list[bytes]:
 
     counted = rows.where(~F.col("held_out")).select("text").mapInArrow(split, "word binary, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return [bytes(r["word"]) for r in top.collect()]
+    return [(bytes(r["word"]), r["n"]) for r in top.collect()]
 
 
-def _counts(rows: DataFrame, words) -> DataFrame:
-    """Staged ``code, word, bucket, key, n, train``: a frequent word once per task, another once per row.
+def _counts(rows: DataFrame, words, tables) -> DataFrame:
+    """Staged rows of two kinds: each document's rare words ``word, bucket, key, n, train``, and the document itself.
 
-    ``code`` is set for frequent words and the end (training rows only), ``word`` (a 64-bit hash) for the others. Each row
-    also gives ``n = 1`` without either, to count the rows of a key.
+    ``word`` is a 64-bit hash. A document has no ``word`` but ``n = 1``, which counts the rows of a key, its ``id``, the ``size``
+    of its text in bytes, its ``tokens`` (the end after them) as 16-bit numbers by the first of ``tables``, and of its frequent
+    words how many are ``known``, the sum ``logs`` of the second of ``tables`` and ``outside``, that of the third.
     """
+    id_type = rows.schema["id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes(words.value)
-        totals = np.zeros(codes.fixed, np.int64)
-        names = ["code", "word", "bucket", "key", "n", "train"]
+        codes, (token_of, *sums) = Codes(words.value), tables.value
+        names = ["word", "bucket", "key", "n", "train", "id", "size", "tokens", "known", "logs", "outside"]
         for batch in batches:
-            for start, stop in text_groups(batch.column(2)):
+            for start, stop in text_groups(batch.column(3)):
                 part = batch.slice(start, stop - start)
-                held_out = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                code, counts, distinct, place = codes.coded(part.column(2))
-                row = np.repeat(np.arange(part.num_rows), counts)
+                train = pa.array(~part.column(2).to_numpy(zero_copy_only=False).astype(bool))
+                code_of, counts, distinct, place = codes.places(part.column(3))
+                code, ends = code_of[place], np.cumsum(counts)
+                # each document is followed by the end
+                data = pa.py_buffer(np.insert(token_of[code], ends, 0))
+                cuts = pa.py_buffer(np.r_[0, 2 * (ends + np.arange(1, len(ends) + 1))])
+                tokens = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, cuts, data]).cast(pa.binary())
                 common = code < codes.fixed
-                totals += np.bincount(code[common & ~held_out[row]], minlength=codes.fixed)
-                totals[0] += (~held_out).sum()
+                known, *logs = (np.diff(np.r_[0, np.cumsum(v)][np.r_[0, ends]]) for v in (common.astype(np.int64), *(t[code] for t in sums)))
+                none = [pa.nulls(len(ends), kind) for kind in (pa.int64(), pa.int32())]
+                document = [part.column(1), pa.array(np.ones(len(ends), np.int64)), train, part.column(0)]
+                own = [pc.binary_length(part.column(3)).cast(pa.int64()), tokens, *map(pa.array, (known, *logs))]
+                yield pa.RecordBatch.from_arrays([*none, *document, *own], names=names)
+                # a number for each pair of a document and a rare word in it
+                row = np.repeat(np.arange(part.num_rows), counts)
+                rare = ~common
+                pairs = row[rare] * len(distinct) + place[rare]
+                pairs.sort()
+                first = np.flatnonzero(np.r_[len(pairs) > 0, pairs[1:] != pairs[:-1]][: len(pairs)])
+                n = np.diff(np.r_[first, len(pairs)])
+                row, word = np.divmod(pairs[first], max(len(distinct), 1))
+                needed = np.flatnonzero(code_of >= codes.fixed)
                 hashes = np.zeros(len(distinct), np.uint64)
-                needed = np.unique(place[~common])
-                hashes[needed] = [xxhash.xxh64_intdigest(distinct[i]) for i in needed.tolist()]
-                word, bucket_of, row = hashes[place[~common]], code[~common] - codes.fixed, row[~common]
-                order = np.lexsort((word, row))
-                word, bucket_of, row = word[order], bucket_of[order], row[order]
-                first = np.flatnonzero(np.r_[len(word) > 0, (word[1:] != word[:-1]) | (row[1:] != row[:-1])][: len(word)])
-                n = np.diff(np.r_[first, len(word)])
-                at = np.r_[row[first], np.arange(part.num_rows)].astype(np.int64)
-                only_key = np.arange(len(at)) >= len(first)
-                pad = np.zeros(part.num_rows, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.nulls(len(at), pa.int32()),
-                        pa.array(np.r_[word[first].view(np.int64), pad], mask=only_key),
-                        pa.array(np.r_[bucket_of[first], pad].astype(np.int32), mask=only_key),
-                        part.column(0).take(pa.array(at)),
-                        pa.array(np.r_[n, pad + 1]),
-                        pa.array(~held_out[at]),
-                    ],
-                    names=names,
-                )
-        some = np.flatnonzero(totals)
-        none = pa.nulls(len(some), pa.int64())
-        codes_seen = pa.array(some.astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [codes_seen, none, pa.nulls(len(some), pa.int32()), none, pa.array(totals[some]), pa.array(np.ones(len(some), bool))],
-            names=names,
-        )
-
-    schema = "code int, word long, bucket int, key long, n long, train boolean"
-    return stage(rows.select("key", "held_out", "text").mapInArrow(count, schema), "lm-counts")
+                hashes[needed] = np.fromiter(map(xxhash.xxh64_intdigest, distinct.take(pa.array(needed)).to_pylist()), np.uint64, len(needed))
+                at = pa.array(row)
+                pair = [hashes[word].view(np.int64), code_of[word] - codes.fixed, part.column(1).take(at), n, train.take(at)]
+                none = [pa.nulls(len(at), column.type) for column in (part.column(0), *own)]
+                yield pa.RecordBatch.from_arrays([*(c if isinstance(c, pa.Array) else pa.array(c) for c in pair), *none], names=names)
+
+    schema = f"word long, bucket int, key long, n long, train boolean, id {id_type}, size long, tokens binary, known long, logs double, outside double"
+    return stage(rows.select("id", "key", "held_out", "text").mapInArrow(count, schema), "lm-counts")
+
+
+def _tokens(column: pa.Array, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The network's tokens of all documents of a staged column, one after the other, and where documents begin and end."""
+    column = column.cast(pa.large_binary())
+    cuts = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    staged = np.frombuffer(column.buffers()[2], np.uint8)[cuts[0] : cuts[-1]].view(np.int16)
+    return place.take(staged), (cuts - cuts[0]) // 2
 
 
 def gradient_round(key: Column) -> Column:
@@ -403,22 +542,21 @@ def gradient_round(key: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("gradient")), F.lit(GRADIENT_SHARE * ROUNDS))
 
 
-def _fit(rows: DataFrame, words, table, counts: np.ndarray) -> Gru:
-    """Rounds of local training in every partition, each followed by the average weighted by tokens."""
+def _fit(docs: DataFrame, table, counts: np.ndarray) -> Gru:
+    """Rounds of local training in every partition of the staged documents, each followed by the average weighted by tokens."""
     model = Gru.start(counts)
-    context = rows.sparkSession.sparkContext
+    context = docs.sparkSession.sparkContext
     for number in range(ROUNDS):
         weights = context.broadcast(model.flat.copy())
 
         def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            codes, local = Codes(words.value), Gru(weights.value.copy())
+            local = Gru(weights.value.copy())
             squares = np.full(len(local.flat), 1e-6, np.float32)
             tokens, pending, waiting = 0, [], 0
-            for batch in batches:
-                for start, stop in text_groups(batch.column(0)):
-                    code, counts, _, _ = codes.coded(batch.column(0)[start:stop])
-                    # each document is followed by the end
-                    pending.append(np.insert(table.value[code], np.cumsum(counts), 0))
+            for batch in (b for b in batches if b.num_rows):
+                stream, cuts = _tokens(batch.column(0), table.value)
+                for start, stop in size_groups(batch.column(1).to_numpy()):
+                    pending.append(stream[cuts[start] : cuts[stop]])
                     waiting += len(pending[-1])
                     if waiting >= 1 << 16:
                         local.train(np.concatenate(pending), squares)
@@ -441,7 +579,7 @@ def _fit(rows: DataFrame, words, table, counts: np.ndarray) -> Gru:
 
         share = gradient_round(F.col("key")) == number
         schema = "weights binary, tokens long"
-        local = rows.where(~F.col("held_out") & share).select("text").mapInArrow(train, schema)
+        local = docs.where(F.col("train") & share).select("tokens", "size").mapInArrow(train, schema)
         # partial sums in a few tasks, so that the driver adds a fixed number of them
         parts = local.repartition(16, F.spark_partition_id()).mapInArrow(add, schema).collect()
         if parts:
@@ -471,22 +609,31 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         is_held_out(F.col(id_col)).alias("held_out"),
         text.alias("text"),
     )
-    words = spark.sparkContext.broadcast(_frequent(rows, FREQUENT))
-    counted = _counts(rows, words)
+    top = _frequent_counts(rows, FREQUENT)
+    words = spark.sparkContext.broadcast([word for word, _ in top])
+    frequent = np.array([0, *(n for _, n in top)], np.int64)  # by code; the end's count is that of training rows
 
-    frequent = np.zeros(len(words.value) + 1, np.int64)
-    for r in counted.where("code IS NOT NULL").groupBy("code").agg(F.sum("n").alias("n")).collect():
-        frequent[r["code"]] = r["n"]
+    # the network's tokens: the end, the most frequent words, the buckets; numbered anew once all counts are known
+    own = np.arange(1, min(len(top), VOCABULARY - 1 - BUCKETS) + 1)
+    outside = np.array([bucket(w) for w in words.value], np.int64)
+    other = np.arange(1, len(frequent)) > len(own)
+    staged = np.r_[np.arange(len(frequent)), len(own) + 1 + np.arange(BUCKETS)]  # by code
+    staged[1 : len(frequent)][other] = len(own) + 1 + outside[other]
+    log_count = np.r_[0, np.log10(frequent[1:] + SMOOTHING), np.zeros(BUCKETS)]
+    log_outside = np.where(np.r_[False, other, np.zeros(BUCKETS, bool)], log_count, 0.0)
+    counted = _counts(rows, words, spark.sparkContext.broadcast((staged.astype(np.int16), log_count, log_outside)))
+    documents = counted.where("tokens IS NOT NULL")
+    frequent[0] = documents.where("train").count()
 
     of_word = Window.partitionBy("word")
     count = F.coalesce(F.sum(F.when(F.col("train"), F.col("n"))).over(of_word), F.lit(0))
-    first = F.row_number().over(of_word.orderBy("key"))
-    known = counted.where("word IS NOT NULL").select("key", "bucket", "n", count.alias("c"), first.alias("first"), "train")
+    share = F.lit(1.0) / F.count("*").over(of_word)  # a word's rows add up to one
+    known = counted.where("word IS NOT NULL").select("key", "bucket", "n", count.alias("c"), share.alias("share"), "train")
     sums = stage(
         known.groupingSets([["key"], ["bucket"]], "key", "bucket").agg(
             F.sum(F.col("n") * F.log10(F.col("c") + SMOOTHING)).alias("logs"),
             F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"),
-            F.count(F.when((F.col("first") == 1) & (F.col("c") > 0), 1)).alias("types"),
+            F.round(F.sum(F.when(F.col("c") > 0, F.col("share")).otherwise(0))).alias("types"),
             F.sum(F.when(F.col("train"), F.col("n")).otherwise(0)).alias("tokens"),
         ),
         "lm-rare",
@@ -495,79 +642,58 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     for r in sums.where("bucket IS NOT NULL").collect():
         rare_tokens[r["bucket"]], rare_types[r["bucket"]] = r["tokens"], r["types"]
 
-    # the network's tokens: the end, the buckets, the most frequent words; sorted by count into classes
-    own = [c for c in np.argsort(-frequent[1:], kind="stable")[: VOCABULARY - 1 - BUCKETS] + 1 if frequent[c] > 0]
-    outside = np.array([bucket(w) for w in words.value], np.int64)
-    in_vocabulary = np.zeros(len(frequent), bool)
-    in_vocabulary[[0, *own]] = True
-    other = ~in_vocabulary[1:]
+    # tokens sorted by count into classes
     bucket_tokens = rare_tokens + np.bincount(outside[other], frequent[1:][other], BUCKETS)
-    bucket_types = rare_types + np.bincount(outside[other], frequent[1:][other] > 0, BUCKETS)
+    bucket_types = rare_types + np.bincount(outside[other], minlength=BUCKETS)
     ranked = np.r_[frequent[own], bucket_tokens]
-    place = np.empty(len(ranked), np.int64)
-    place[np.argsort(-ranked, kind="stable")] = np.arange(1, len(ranked) + 1)
+    place = np.zeros(len(ranked) + 1, np.int16)  # by staged token; the end stays 0
+    place[1 + np.argsort(-ranked, kind="stable")] = np.arange(1, len(ranked) + 1)
     token_counts = np.zeros(VOCABULARY)
     token_counts[0] = frequent[0]
-    token_counts[place] = ranked
-    network = np.zeros(len(frequent) + BUCKETS, np.int16)  # by code
-    network[own] = place[: len(own)]
-    network[len(frequent) :] = place[len(own) :]
-    network[1 : len(frequent)][other] = place[len(own) :][outside[other]]
+    token_counts[place[1:]] = ranked
 
     n_train, n_types = int(frequent.sum() + rare_tokens.sum()), int((frequent > 0).sum() + rare_types.sum())
-    log_count = np.r_[np.log10(frequent + SMOOTHING), np.zeros(BUCKETS)]
-    log_bucket = np.log10(bucket_tokens + SMOOTHING * (bucket_types + 1))
     # of a word outside the network's vocabulary, what its class's probability is multiplied by, without its count's log
-    inner = np.zeros(len(network))
-    inner[1 : len(frequent)][other] = -log_bucket[outside[other]]
-    inner[len(frequent) :] = -log_bucket
-    inner_count = np.where(np.r_[in_vocabulary, np.zeros(BUCKETS, bool)], 0.0, log_count)
-
-    table = spark.sparkContext.broadcast(network)
-    model = _fit(rows, words, table, token_counts)
-    shared = spark.sparkContext.broadcast((model.flat, log_count, inner + inner_count, frequent))
+    inner = np.zeros(VOCABULARY)
+    inner[place[1 + len(own) :]] = -np.log10(bucket_tokens + SMOOTHING * (bucket_types + 1))
+
+    table = spark.sparkContext.broadcast(place)
+    model = _fit(documents, table, token_counts)
+    shared = spark.sparkContext.broadcast((model.flat, inner))
+    end_log, end_known = float(np.log10(frequent[0] + SMOOTHING)), int(frequent[0] > 0)
     all_log = float(np.log10(n_train + SMOOTHING * (n_types + 1)))
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, logs, within, counts = shared.value
-        codes, net = Codes(words.value), Gru(flat)
-        is_known = np.r_[counts > 0, np.zeros(BUCKETS, bool)].astype(np.int64)
-        for batch in batches:
-            found, rest = [], []
-            for start, stop in text_groups(batch.column(3)):
-                code, counts, _, _ = codes.coded(batch.column(3)[start:stop])
-                ends = np.cumsum(counts)
-                found += np.split(table.value[code], ends[:-1])
-                sums = [np.r_[0, np.cumsum(values[code])][np.r_[0, ends]] for values in (is_known, logs, within)]
-                known_of, log_of, within_of = (np.diff(x) for x in sums)
-                rest.append((counts + 1, known_of + int(is_known[0]), log_of + logs[0], within_of))
-            if not found:
-                continue
-            log10 = net.score(found) / np.log(10)
-            n, n_known, base, inside = (np.concatenate(c) for c in zip(*rest))
+        flat, within = shared.value
+        net = Gru(flat)
+        for batch in (b for b in batches if b.num_rows):
+            tokens, cuts = _tokens(batch.column(3), table.value)
+            log10 = net.score([d[:-1] for d in np.split(tokens, cuts[1:-1])]) / np.log(10)
+            inside = np.diff(np.r_[0, np.cumsum(within[tokens])][cuts])
+            n, (known, logs, outside) = np.diff(cuts), (batch.column(i).to_numpy() for i in (4, 5, 6))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3],
                     pa.array(n, pa.int64()),
-                    pa.array(n_known, pa.int64()),
-                    pa.array(base - n * all_log),
-                    pa.array(log10 + inside),
+                    pa.array(known + end_known),
+                    pa.array(logs + end_log - n * all_log),
+                    pa.array(log10 + inside + outside),
                 ],
-                names=["id", "key", "held_out", "n_tokens", "n_known", "base_score", "score"],
+                names=["id", "key", "train", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    schema = f"id {id_type}, key long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    scored = rows.mapInArrow(run, schema)
+    schema = f"id {id_type}, key long, train boolean, n_tokens long, n_known long, base_score double, score double"
+    scored = documents.select("id", "key", "train", "tokens", "known", "logs", "outside").mapInArrow(run, schema)
     # rows of one key are equal in id and text: their sums hold each of them
-    copies = counted.where("key IS NOT NULL AND word IS NULL").groupBy("key").agg(F.sum("n").alias("rows"))
+    copies = documents.groupBy("key").agg(F.sum("n").alias("rows"))
     rare = sums.where("key IS NOT NULL").join(copies, "key").select(
         "key", (F.col("logs") / F.col("rows")).alias("logs"), (F.col("known") / F.col("rows")).cast("long").alias("known")
     )
     logs, known_rare = F.coalesce("logs", F.lit(0.0)), F.coalesce("known", F.lit(0))
     return scored.join(rare, "key", "left").select(
         "id",
-        "held_out",
+        (~F.col("train")).alias("held_out"),
         "n_tokens",
         (F.col("n_known") + known_rare).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),

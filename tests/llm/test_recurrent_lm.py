@@ -140,3 +140,49 @@ def test_training_is_a_step_per_window_of_the_whole_gradient(model):
     assert np.abs(trained.flat - plain.flat).max() < 1e-4 and np.abs(trained.flat - model[0].flat).max() > 0.01
     assert squares == pytest.approx(plain_squares, rel=1e-3)
     assert np.array_equal(trained.p["x"][60:], model[0].p["x"][60:])
+
+
+def test_texts_are_coded_once(spark, tmp_path):
+    """Training and scoring read the staged tokens, not the texts again."""
+    rows = [(i, f"one Two three{i % 7} " * (i % 9)) for i in range(60)] + [(60, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "texts"))
+    got = recurrent_lm.score(spark.read.parquet(str(tmp_path / "texts")))
+    assert not [f for f in got.inputFiles() if str(tmp_path) in f]
+    assert {r["id"]: r["n_tokens"] for r in got.collect()} == {i: len((text or "").split()) + 1 for i, text in rows}
+
+
+def test_tokens_of_a_part_of_a_staged_column():
+    documents = [np.array(d, np.int16) for d in ([0], [3, 1, 0], [2, 2, 2, 0], [1, 0])]
+    column = pa.array([d.tobytes() for d in documents], pa.binary())
+    place = np.array([0, 7, 8, 9], np.int16)
+    for start, stop in ((0, 4), (1, 3), (3, 4)):
+        tokens, cuts = recurrent_lm._tokens(column[start:stop], place)
+        assert [tokens[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [place[d].tolist() for d in documents[start:stop]]
+
+
+def test_codes_of_rare_words_are_those_of_their_buckets():
+    words = [b"", b"a", b"ab", b"abc", b"xabc", b"\xc3\xa9t\xc3\xa9", b"f", b"x" * 200]
+    codes = recurrent_lm.Codes([b"a", b"f"])
+    rare = lambda w: 3 + recurrent_lm.bucket(w)
+    assert codes.of(pa.array(words, pa.binary())).tolist() == [{b"a": 1, b"f": 2}.get(w) or rare(w) for w in words]
+
+
+def test_scores_of_a_usual_size_give_the_same_as_shifted_ones():
+    rng = np.random.default_rng(9)
+    scores, target = rng.normal(0, 10, (200, 32)), rng.integers(0, 32, 200)
+    powers, log_of, sums = recurrent_lm._softmax(scores.copy(), target)
+    assert log_of == pytest.approx(scores[np.arange(200), target] - np.log(np.exp(scores).sum(1)))
+    scores[0, 0] = 400
+    _, shifted, _ = recurrent_lm._softmax(scores.copy(), target)
+    assert shifted[1:] == pytest.approx(log_of[1:])
+
+
+def test_windows_sorted_together_do_not_change_training(model, monkeypatch):
+    stream = np.random.default_rng(10).integers(0, 90, 5000).astype(np.int16)
+    flats = []
+    for windows in (64, 1):
+        monkeypatch.setattr(recurrent_lm, "SORTED_WINDOWS", windows)
+        net = Gru(model[0].flat.copy())
+        net.train(stream, np.full(len(net.flat), 1e-6, np.float32))
+        flats.append(net.flat)
+    assert np.array_equal(*flats)
