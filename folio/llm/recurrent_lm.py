@@ -101,16 +101,21 @@ def size_groups(sizes: np.ndarray, limit: int = GROUP_BYTES) -> Iterator[tuple[i
 def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Exponentials in place of the scores, the log probability of each row's target, and the rows' sums.
 
-    Scores of a usual size need no largest score taken off. Else it is found by halving, which takes whole columns at a time;
+    ``target`` is a column by row. Scores of a usual size need no largest score taken off. Else it is found by halving, which takes whole columns at a time;
     the width is a power of two.
     """
+    return _softmax_at(x, np.arange(0, x.size, x.shape[1]) + target)
+
+
+def _softmax_at(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``_softmax``, with the targets' places among all scores."""
     if len(x) and (x.max() > SAFE_SCORE or x.min() < -SAFE_SCORE):
         top, width = x, x.shape[1]
         while width > 1:
             width //= 2
             top = np.maximum(top[:, :width], top[:, width:])
         x -= top
-    chosen = x.ravel().take(np.arange(0, x.size, x.shape[1]) + target)
+    chosen = x.ravel().take(at)
     np.exp(x, out=x)
     total = x @ np.ones(x.shape[1], x.dtype)
     return x, chosen - np.log(total), total
@@ -118,30 +123,64 @@ def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def _run_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of runs of rows that begin at ``first``."""
-    return _add_runs(rows.copy(), first)
-
-
-def _add_runs(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """As ``_run_sums``, in place: each round adds every second row of a run to the one before it."""
-    sizes = np.empty(len(first), np.int64)
-    np.subtract(first[1:], first[:-1], out=sizes[:-1])
-    sizes[-1:] = len(rows) - first[-1:]
-    live = np.flatnonzero(sizes > 1)
-    starts, sizes, step = first[live], sizes[live], 1
-    while len(starts):
-        pairs = sizes >> 1
-        ends = pairs.cumsum()
-        at = np.arange(ends[-1])
-        at -= np.repeat(ends - pairs, pairs)
-        at *= 2 * step
-        at += np.repeat(starts, pairs)
-        sums = rows.take(at, 0)
-        sums += rows.take(at + step, 0)
-        rows[at] = sums
-        sizes, step = sizes - pairs, 2 * step
-        more = sizes > 1
-        starts, sizes = starts[more], sizes[more]
-    return rows.take(first, 0)
+    new = np.zeros((1, len(rows)), bool)
+    new[0, first] = True
+    return Runs(new).sums(rows.copy(), 0)
+
+
+class Runs:
+    """Runs of rows of windows (a row of ``new`` each, which is true where a run begins) and the additions that sum them up.
+
+    Each round adds every second row of a run to the one before it.
+    """
+
+    def __init__(self, new: np.ndarray):
+        windows, n = new.shape
+        at = np.arange(n, dtype=np.int32)
+        place = at - np.maximum.accumulate(np.where(new, at, 0), 1)
+        stops = np.full((windows, n + 1), n, np.int32)
+        np.copyto(stops[:, :n], at, where=new)
+        left = np.minimum.accumulate(stops[:, ::-1], 1)[:, ::-1][:, 1:] - at
+        self.first, self.cuts = self._dealt(new)
+        self.rounds, step = [], 1
+        while (pairs := (place & (2 * step - 1) == 0) & (left > step)).any():
+            self.rounds.append((step, *self._dealt(pairs)))
+            step *= 2
+
+    @staticmethod
+    def _dealt(chosen: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        window, at = np.nonzero(chosen)
+        return at, np.searchsorted(window, np.arange(len(chosen) + 1)).tolist()
+
+    def starts(self, window: int) -> np.ndarray:
+        return self.first[self.cuts[window] : self.cuts[window + 1]]
+
+    def sums(self, rows: np.ndarray, window: int) -> np.ndarray:
+        """Of a window's rows, which are changed."""
+        for step, every, cuts in self.rounds:
+            at = every[cuts[window] : cuts[window + 1]]
+            if len(at):
+                added = rows.take(at, 0)
+                added += rows.take(at + step, 0)
+                rows[at] = added
+        return rows.take(self.starts(window), 0)
+
+
+class Inputs:
+    """Inputs of windows (a row each), sorted, so that those of one token lie next to each other."""
+
+    def __init__(self, inputs: np.ndarray):
+        inputs = inputs.astype(np.int16, copy=False)
+        self.order = np.argsort(inputs, 1, kind="stable")
+        self.ranked = np.take_along_axis(inputs, self.order, 1)
+        new = np.ones(inputs.shape, bool)
+        np.not_equal(self.ranked[:, 1:], self.ranked[:, :-1], out=new[:, 1:])
+        self.runs = Runs(new)
+
+    def sums(self, rows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of a window and the sums of their rows."""
+        read = self.ranked[window].take(self.runs.starts(window))
+        return read, self.runs.sums(rows.take(self.order[window], 0), window)
 
 
 class Targets:
@@ -150,14 +189,13 @@ class Targets:
     def __init__(self, targets: np.ndarray):
         targets = targets.astype(np.int16, copy=False)
         self.order = np.argsort(targets, 1, kind="stable")
-        self.back = np.empty_like(self.order)  # where the states of the window's order are among the sorted
-        np.put_along_axis(self.back, self.order, np.arange(targets.shape[1])[None], 1)
         ranked = np.take_along_axis(targets, self.order, 1)
-        self.group, self.member = ranked // MEMBERS, ranked % MEMBERS
+        group, member = ranked // MEMBERS, ranked % MEMBERS
         offset = CLASSES * np.arange(len(targets))[:, None]
-        sizes = np.bincount((self.group + offset).ravel(), minlength=CLASSES * len(targets)).reshape(-1, CLASSES)
+        sizes = np.bincount((group + offset).ravel(), minlength=CLASSES * len(targets)).reshape(-1, CLASSES)
         self.cuts = np.concatenate([np.zeros((len(targets), 1), np.int64), np.cumsum(sizes, 1)], 1).tolist()
-        self.picks = np.concatenate([self.group, self.member], 1)  # columns of the scores of classes, then of members
+        # places among the scores of classes, then of members
+        self.picks = np.concatenate([group, member], 1) + MEMBERS * np.arange(2 * targets.shape[1])
 
     def parts(self, window: int) -> list[tuple[int, slice]]:
         cuts = self.cuts[window]
@@ -286,13 +324,12 @@ class Gru:
         for group, part in parts:
             np.dot(hc[part], m[group], out=of_member[part])
         picks = ranked.picks[window]
-        powers, found, sums = _softmax(scores, picks)
+        powers, found, sums = _softmax_at(scores, picks)
         if grad is None:
             return found[:n] + found[n:]
         powers /= sums[:, None]
-        at = np.arange(0, powers.size, MEMBERS) + picks
         flat = powers.ravel()
-        flat[at] -= 1
+        flat[picks] -= 1
         grad.p["c"] += hc.T @ of_class
         errors, others, grad_m, m = of_class @ c[:HIDDEN].T, np.empty((n, HIDDEN), rows.dtype), grad.p["m"], m[:, :HIDDEN].transpose(0, 2, 1)
         for group, part in parts:
@@ -305,38 +342,35 @@ class Gru:
     def train_window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, Gru]:
         """Gradient of one window (steps x lanes) and the state after it; gradients stop at its start."""
         grad, space = Gru(np.zeros_like(self.flat)), Space(*inputs.shape, h.dtype, backward=True)
-        order = np.argsort(inputs.ravel().astype(np.int16), kind="stable")
-        read, rows = self._window(inputs, self._ends(inputs), order, Targets(targets.reshape(1, -1)), 0, h.T, grad, space)
+        read, rows = self._window(inputs, self._ends(inputs), Inputs(inputs.reshape(1, -1)), Targets(targets.reshape(1, -1)), 0, h.T, grad, space)
         grad.p["x"][read] = rows
         return space.states[-1].T, grad
 
     def _window(
-        self, inputs: np.ndarray, ends: list, order: np.ndarray, ranked: Targets, window: int, h: np.ndarray, grad: Gru, space: Space
+        self, inputs: np.ndarray, ends: list, tokens: Inputs, ranked: Targets, window: int, h: np.ndarray, grad: Gru, space: Space
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Runs a window in ``space``; adds its gradient to ``grad``, but that of the input table is returned: tokens and their rows.
-
-        ``order`` sorts the window's inputs.
-        """
+        """Runs a window in ``space``; adds its gradient to ``grad``, but that of the input table is returned: tokens and their rows."""
         (steps, lanes), wide = inputs.shape, 2 * HIDDEN
         self._states(inputs, ends, h, space)
-        errors = self._output(space.state_rows(), ranked, window, grad).take(ranked.back[window], 0)
+        found = self._output(space.state_rows(), ranked, window, grad)
+        errors = np.empty_like(found)
+        errors[ranked.order[window]] = found
         space.errors[:] = errors.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1)
-        gates, news, back = space.x[:, :wide], space.x[:, wide:], space.back
-        np.reciprocal(gates, out=gates)
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
+        rest, r, news = space.x[:, :HIDDEN], space.x[:, HIDDEN:wide], space.x[:, wide:]
         # first what the error of a state is multiplied by
-        to_z, to_r, to_hu, to_n, keep = (back[:, i] for i in range(5))
-        np.subtract(1, z, out=keep)
+        to_z, to_r, to_hu, to_n, keep = (space.back[:, i] for i in range(5))
+        np.reciprocal(rest, out=keep)
+        np.subtract(1, keep, out=rest)
+        np.reciprocal(r, out=r)
         np.multiply(news, news, out=to_n)
         np.subtract(1, to_n, out=to_n)
-        to_n *= keep
+        to_n *= rest
         np.subtract(space.states[1:], news, out=to_z)
-        to_z *= keep
+        to_z *= rest
         np.subtract(1, r, out=to_r)
         to_r *= space.reset
         to_r *= to_n
         np.multiply(to_n, r, out=to_hu)
-        keep[:] = z
         u, error_before = self.p["u"], space.error_before
         error_before[:] = 0
         for t, (error, factors, rise, kept) in space.steps_back:
@@ -357,13 +391,7 @@ class Gru:
         grad_u = grad.p["u"]
         grad_u[:, :wide] += befores.T @ space.rows[:, :wide]
         grad_u[:, wide:] += befores.T @ space.hu_rows
-        # rows of one token are added up next to each other
-        read = inputs.ravel().take(order)
-        new = np.empty(len(read), bool)
-        new[:1] = True
-        np.not_equal(read[1:], read[:-1], out=new[1:])
-        first = np.flatnonzero(new)
-        return read.take(first), _add_runs(space.rows.take(order, 0), first)
+        return tokens.sums(space.rows, window)
 
     def train(self, stream: np.ndarray, squares: np.ndarray) -> None:
         """One pass over a stream of documents, cut into lanes; the state is carried from window to window."""
@@ -389,16 +417,15 @@ class Gru:
                 if steps != space.shape[0]:
                     space = Space(steps, lanes, h.dtype, backward=True)
                 inputs = lane[first:last].reshape(-1, steps, lanes)
-                orders = np.argsort(inputs.reshape(len(inputs), -1), 1, kind="stable")
+                tokens = Inputs(inputs.reshape(len(inputs), -1))
                 ranked = Targets(lane[first + 1 : last + 1].reshape(len(inputs), -1))
                 for window in range(len(inputs)):
                     others[:] = 0
                     at = first + window * steps
-                    read, rows = self._window(inputs[window], ends[at : at + steps], orders[window], ranked, window, h, grad, space)
+                    read, rows = self._window(inputs[window], ends[at : at + steps], tokens, ranked, window, h, grad, space)
                     h = space.states[-1]
-                    tokens = steps * lanes
-                    norm = np.sqrt(np.vdot(others, others) + np.vdot(rows, rows)) / tokens
-                    by = float(min(1.0, 5.0 / (norm + 1e-12)) / tokens)
+                    norm = np.sqrt(np.vdot(others, others) + np.vdot(rows, rows)) / (steps * lanes)
+                    by = float(min(1.0, 5.0 / (norm + 1e-12)) / (steps * lanes))
                     others *= by
                     rows *= by
                     np.multiply(others, others, out=roots)
@@ -413,7 +440,8 @@ class Gru:
                     np.sqrt(found, out=found)
                     rows *= RATE
                     rows /= found
-                    table[read] -= rows
+                    np.subtract(table.take(read, 0), rows, out=rows)
+                    table[read] = rows
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each document, its end included.
