@@ -504,8 +504,15 @@ def _frequent_counts(rows: DataFrame, size: int) -> list[tuple[bytes, int]]:
                 kept = pc.and_(pc.greater(size, 0), pc.less_equal(size, 64))
                 yield pa.RecordBatch.from_arrays([word.filter(kept), n.filter(kept)], names=["word", "n"])
 
-    counted = rows.where(~F.col("held_out")).select("text").mapInArrow(split, "word binary, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    pieces = rows.where(~F.col("held_out")).select("text").mapInArrow(split, "word binary, n long")
+    counted = stage(pieces.groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+    # tasks send the driver only words whose count is that of a chosen one
+    least, above = 1, 0
+    for r in sorted(counted.groupBy("n").count().collect(), reverse=True):
+        least, above = r["n"], above + r["count"]
+        if above >= size:
+            break
+    top = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(size)
     return [(bytes(r["word"]), r["n"]) for r in top.collect()]
 
 
@@ -640,9 +647,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     top = _frequent_counts(rows, FREQUENT)
     words = spark.sparkContext.broadcast([word for word, _ in top])
     frequent = np.array([0, *(n for _, n in top)], np.int64)  # by code; the end's count is that of training rows
+    del top
 
     # the network's tokens: the end, the most frequent words, the buckets; numbered anew once all counts are known
-    own = np.arange(1, min(len(top), VOCABULARY - 1 - BUCKETS) + 1)
+    own = np.arange(1, min(len(words.value), VOCABULARY - 1 - BUCKETS) + 1)
     outside = np.array([bucket(w) for w in words.value], np.int64)
     other = np.arange(1, len(frequent)) > len(own)
     staged = np.r_[np.arange(len(frequent)), len(own) + 1 + np.arange(BUCKETS)]  # by code

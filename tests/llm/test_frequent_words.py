@@ -14,3 +14,12 @@ def test_frequent_words_have_the_largest_exact_counts(spark):
     df = spark.createDataFrame(rows, "key long, held_out boolean, text string")
     assert recurrent_lm._frequent(df, 12) == want[:12]
     assert recurrent_lm._frequent(df, 1000) == want
+
+
+def test_words_of_the_least_count_are_chosen_in_word_order(spark):
+    rows = [(i, False, f"often twice{i // 2 % 40} once{i}") for i in range(80)]
+    df = spark.createDataFrame(rows, "key long, held_out boolean, text string")
+    twice = sorted(f"twice{i}".encode() for i in range(40))
+    assert recurrent_lm._frequent_counts(df, 7) == [(b"often", 80), *((w, 2) for w in twice[:6])]
+    assert len(recurrent_lm._frequent(df, 100)) == 100
+    assert recurrent_lm._frequent(df.limit(0), 5) == []
